@@ -9,6 +9,7 @@ format with row-level operations.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import timedelta
 from functools import reduce
 from operator import and_
 
@@ -27,9 +28,13 @@ DAY = "event_day"
 def merged(
     target: DataFrame, updates: DataFrame, keys: Sequence[str] = (KEY,), order_by: Sequence[str] = (TIME,)
 ) -> DataFrame:
-    """Target rows without an update, plus the first update of each key."""
-    first = first_occurrence(updates, keys, order_by)
-    return new_keys(target, first, keys).unionByName(first)
+    """Target rows without an update, plus the first update of each key.
+
+    The anti-join needs the distinct keys only, combined before their shuffle.
+    While these are few Spark broadcasts them and leaves the target unshuffled.
+    """
+    changed = updates.select(*keys).distinct()
+    return new_keys(target, changed, keys).unionByName(first_occurrence(updates, keys, order_by))
 
 
 def with_day(frame: DataFrame, time: str = TIME) -> DataFrame:
@@ -82,32 +87,48 @@ def upsert_days(
     keys: Sequence[str] = (KEY,),
     time: str = TIME,
     keys_fix_day: bool = False,
+    search_back: int | None = None,
 ) -> None:
     """Upsert into a day-partitioned Parquet table; applying it twice changes nothing.
 
-    `updates` is read several times and must give the same rows each time: pass
-    a table or files. Days are touched when they hold updates or old rows of
-    updated keys; the latter search reads the key column of the table and is
-    skipped when the key itself fixes the day (`keys_fix_day`). A run that was
-    cut short is repaired by running it again.
+    The first update of each key is written next to the table, so the updates
+    are evaluated once and stay fixed while the table changes. Then only days
+    that hold updates, or old rows of updated keys, are read and rewritten.
+
+    Finding old rows reads the key column of the whole table. That search is
+    not needed when the key fixes the day (`keys_fix_day`), and `search_back`
+    limits it to so many days before the oldest update, for sources that never
+    correct older rows. A run that was cut short is repaired by repeating it.
     """
-    first = with_day(first_occurrence(updates.select(*schema.names), keys, (time,)), time)
     if not table_exists(spark, path):
-        write_days(first, path, time)
+        write_days(first_occurrence(updates.select(*schema.names), keys, (time,)), path, time)
         return
+    staged = f"{path.rstrip('/')}_staged"
+    first_occurrence(updates.select(*schema.names), keys, (time,)).transform(with_day, time).write.mode(
+        "overwrite"
+    ).parquet(staged)
+    first = read_days(spark, staged, schema)
     target = read_days(spark, path, schema)
     changed = first.select(*keys)
     landing = _days(first)
-    leaving = set() if keys_fix_day else _days(target.join(changed, list(keys), "left_semi"))
+    if not landing:
+        return
+    leaving = set()
+    if not keys_fix_day:
+        searched = target
+        if search_back is not None:
+            searched = target.where(F.col(DAY) >= F.lit(min(landing) - timedelta(days=search_back)))
+        leaving = _days(searched.join(changed, list(keys), "left_semi"))
     kept = new_keys(target.where(F.col(DAY).isin(landing | leaving)), changed, keys)
     write_days(kept.unionByName(first), path, time, partitionOverwriteMode="dynamic")
 
     # A day that lost all its rows is not part of the write above.
     only_left = leaving - landing
     if only_left:
-        rest = new_keys(target.where(F.col(DAY).isin(only_left)), changed, keys)
+        rewritten = read_days(spark, path, schema)
+        rest = new_keys(rewritten.where(F.col(DAY).isin(only_left)), changed, keys)
         for day in only_left - _days(rest):
-            target.limit(0).drop(DAY).write.mode("overwrite").parquet(f"{path}/{DAY}={day}")
+            rewritten.limit(0).drop(DAY).write.mode("overwrite").parquet(f"{path}/{DAY}={day}")
 
 
 def merge_into(updates: DataFrame, table: str, keys: Sequence[str] = (KEY,), order_by: Sequence[str] = (TIME,)) -> None:

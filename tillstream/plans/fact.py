@@ -29,17 +29,21 @@ def build_fact(
 
 
 def refresh_fact(
-    spark: SparkSession, raw: DataFrame, path: str, lookback: str | None = None, full_refresh: bool = False
+    spark: SparkSession,
+    raw: DataFrame,
+    path: str,
+    lookback: str | None = None,
+    full_refresh: bool = False,
+    search_back: int | None = None,
 ) -> None:
     """Run one fact build against a day-partitioned Parquet table.
 
-    `raw` must be a stored table. Its new rows are found before the target
-    changes and written next to the table, so that the merge reads a fixed set.
+    The newest loaded time comes from the newest partition, the scan of `raw`
+    is limited by it, and only the days concerned are rewritten.
     """
     if full_refresh or not table_exists(spark, path):
         write_days(build_fact(raw), path)
         return
     target = read_days(spark, path, FACT_SCHEMA)
-    staged = f"{path.rstrip('/')}_updates"
-    with_revenue(newer_than(raw, target, lookback, DAY)).write.mode("overwrite").parquet(staged)
-    upsert_days(spark, path, spark.read.schema(FACT_SCHEMA).parquet(staged), FACT_SCHEMA)
+    updates = with_revenue(newer_than(raw, target, lookback, DAY))
+    upsert_days(spark, path, updates, FACT_SCHEMA, search_back=search_back)

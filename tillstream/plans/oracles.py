@@ -353,7 +353,7 @@ FROM sales""",
         "decode_payload": _with(
             SALES,
             f"""SELECT event_id, CASE WHEN ok THEN transaction_id END AS transaction_id,
-       CASE WHEN ok THEN quantity END AS quantity,
+       CASE WHEN ok THEN CAST(quantity AS DOUBLE) END AS quantity,
        CASE WHEN ok THEN CAST(CAST(price AS REAL) AS DOUBLE) END AS price,
        CASE WHEN ok THEN {_WIRE_TIME} END AS transaction_ts
 FROM (SELECT *, NOT ({SHORT} OR {NOT_JSON}) AS ok FROM sales)""",

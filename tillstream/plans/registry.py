@@ -157,7 +157,7 @@ def _decoded(messages: DataFrame) -> DataFrame:
     return decode.decode(messages).select(
         "event_id",
         F.col("data.transaction_id").alias("transaction_id"),
-        F.col("data.quantity").alias("quantity"),
+        F.col("data.quantity").cast("double").alias("quantity"),
         F.col("data.price").cast("double").alias("price"),
         F.col("data.transaction_ts").alias("transaction_ts"),
     )
@@ -193,14 +193,14 @@ def drain_in_slices(
     so a slice is one micro-batch and the next one starts with its watermark.
     """
     folder = fresh_folder(spark, label)
-    first, last = arrivals.agg(F.min("arrived_at"), F.max("arrived_at")).select(
-        *[F.floor(F.unix_seconds(F.col(c)) / SLICE_SECONDS) for c in ("min(arrived_at)", "max(arrived_at)")]
-    ).first()
+    number = F.floor(F.unix_seconds("arrived_at") / SLICE_SECONDS)
+    arrivals.withColumn("slice", number).write.partitionBy("slice").parquet(f"{folder}/arrivals")
+    dated = T.StructType([*arrivals.schema.fields, T.StructField("slice", T.LongType())])
+    slices = spark.read.schema(dated).parquet(f"{folder}/arrivals")
     stream = None
-    for number in range(first, last + 1):
-        bounds = [F.timestamp_seconds(F.lit(n * SLICE_SECONDS)) for n in (number, number + 1)]
-        inside = (F.col("arrived_at") >= bounds[0]) & (F.col("arrived_at") < bounds[1])
-        arrivals.where(inside).write.mode("append").parquet(f"{folder}/source")
+    for row in slices.select("slice").distinct().orderBy("slice").collect():
+        arrived = slices.where(F.col("slice") == row["slice"]).drop("slice")
+        arrived.write.mode("append").parquet(f"{folder}/source")
         stream = build(read_events(spark, "parquet", path=f"{folder}/source", schema=arrivals.schema))
         start(
             stream,

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tillstream.operators.aggregates import store_windows
 from tillstream.operators.decode import accepted, rejected, with_reject_reason
-from tillstream.streaming.dedup import DELAY, SALTS, deduplicate
+from tillstream.streaming.dedup import DELAY, deduplicate
 from tillstream.streaming.sinks import BatchWriter
 
 PARTITIONS = "spark.sql.shuffle.partitions"
@@ -83,7 +83,7 @@ class SalesJob:
     delay: str = DELAY
     width: str = "5 minutes"
     dedup_mode: str = "global"
-    salts: int = SALTS
+    combine: bool = True
     trigger: dict | None = None
     partitions: int | None = None
     queries: list[StreamingQuery] = field(default_factory=list)
@@ -94,7 +94,9 @@ class SalesJob:
     def raw(self) -> DataFrame:
         """Storable rows, once each. Rejects leave before the deduplication, so
         a damaged message cannot shadow a good one with its key."""
-        return deduplicate(accepted(self.classified()), delay=self.delay, mode=self.dedup_mode, salts=self.salts)
+        return deduplicate(
+            accepted(self.classified()), delay=self.delay, mode=self.dedup_mode, combine=self.combine
+        )
 
     def windows(self) -> DataFrame:
         return store_windows(self.raw(), self.width)

@@ -55,17 +55,15 @@ def upsert_to(
     keys: Sequence[str],
     time: str,
     keys_fix_day: bool = False,
+    search_back: int | None = None,
 ) -> BatchWriter:
     """Upsert by key into a day-partitioned Parquet table, harmless to repeat.
 
-    The batch is written out first: that evaluates the stateful plan once, and
-    the upsert then runs in the outer session with adaptive execution on.
+    The batch is written out once by the streaming session; the merge then runs
+    in the outer session, where adaptive execution sizes its joins and files.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        staged = f"{path.rstrip('/')}_batch"
-        batch.write.mode("overwrite").parquet(staged)
-        updates = spark.read.schema(schema).parquet(staged)
-        upsert_days(spark, path, updates, schema, keys, time, keys_fix_day)
+        upsert_days(spark, path, batch, schema, keys, time, keys_fix_day, search_back)
 
     return write
 
