@@ -1,0 +1,301 @@
+import json
+import os
+import random
+from datetime import timedelta
+
+import pyarrow as pa
+import pytest
+from pyspark.errors import AnalysisException, StreamingQueryException
+from pyspark.sql import functions as F
+
+from tests.conftest import at, rows, sale
+from tillstream.operators.aggregates import store_windows
+from tillstream.operators.merge import read_days
+from tillstream.plans.registry import drain
+from tillstream.sources.readers import read_events, stream_files
+from tillstream.sources.schemas import AGG_SCHEMA, RAW_SCHEMA
+from tillstream.sources.settings import TopicSettings, fresh_folder, shared_folder
+from tillstream.streaming.dedup import deduplicate, newest_copies
+from tillstream.streaming.jobs import PARTITIONS, PROVIDER, SalesJob, start, state_settings
+from tillstream.streaming.progress import BatchMetrics, late_rows_dropped
+from tillstream.streaming.sinks import append_to, replace_batch, upsert_to
+
+NOW = {"availableNow": True}
+
+
+class Feed:
+    """A file stream that is fed one micro-batch per file, in order."""
+
+    def __init__(self, spark, sales, tmp_path):
+        self.spark, self.sales, self.root, self.count = spark, sales, str(tmp_path), 0
+
+    def add(self, *batch):
+        self.sales(*batch).coalesce(1).write.mode("append").parquet(f"{self.root}/in")
+        newest = max(os.scandir(f"{self.root}/in"), key=lambda e: (e.name.endswith(".parquet"), e.stat().st_mtime))
+        self.count += 1
+        os.utime(newest.path, (1_700_000_000 + self.count,) * 2)
+
+    def stream(self):
+        return stream_files(self.spark, f"{self.root}/in", RAW_SCHEMA, maxFilesPerTrigger="1")
+
+    def run(self, frame, writer=None, name="q"):
+        query = start(frame, writer or append_to(f"{self.root}/{name}"), f"{self.root}/cp-{name}", NOW, partitions=2)
+        query.awaitTermination()
+        return query
+
+    def table(self, name="q", schema=RAW_SCHEMA):
+        return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
+
+
+@pytest.fixture()
+def feed(spark, sales, tmp_path):
+    return Feed(spark, sales, tmp_path)
+
+
+def fill_a(feed):
+    feed.add(sale("a", "00:00", "s1", 2, 10.0), sale("a", "00:01", "s1", 2, 10.0), sale("b", "00:04", "s1", 1, 5.0))
+    feed.add(sale("c", "01:00", "s2"))
+    feed.add(sale("d", "00:02", "s1", 9, 9.0), sale("a", "01:01", "s1", 2, 10.0), sale(None, None, "s9"), sale(None, None, "s9"))
+    feed.add(sale("e", "03:00", "s2"), sale("a", "03:01", "s1", 2, 10.0))
+
+
+def fill_b(feed):
+    for row in (
+        sale("a", "00:00", "s1", 2, 10.0), sale("c", "01:00", "s2"), sale("f", "01:30", "s2"),
+        sale("late", "00:02", "s1", 9, 9.0), sale("z", "04:00", "s1"),
+    ):
+        feed.add(row)
+
+
+@pytest.mark.parametrize("combine", [True, False])
+def test_global_dedup_remembers_for_ever(feed, combine):
+    fill_a(feed)
+    query = feed.run(deduplicate(feed.stream(), combine=combine))
+    assert rows(feed.table(), "transaction_id") == [("a",), ("b",), ("c",), ("d",), ("e",), (None,)]
+    totals = [op["numRowsTotal"] for p in query.recentProgress for op in json.loads(p.json)["stateOperators"]]
+    assert totals[:4] == [2, 3, 5, 6] and totals == sorted(totals)
+
+
+@pytest.mark.parametrize("combine", [True, False])
+def test_dedup_within_watermark_accepts_a_key_again(feed, combine):
+    fill_a(feed)
+    feed.run(deduplicate(feed.stream(), mode="within_watermark", combine=combine))
+    ids = [r[0] for r in rows(feed.table(), "transaction_id")]
+    assert ids.count("a") == 2 and ids.count("b") == 1
+
+
+def test_dedup_then_windows(feed):
+    fill_a(feed)
+    feed.run(store_windows(deduplicate(feed.stream())))
+    found = rows(feed.table(schema=AGG_SCHEMA), "store_id", "window_start", "total_revenue", "total_quantity")
+    assert ("s1", at("00:00"), 106.0, 12) in found
+    assert len({r[:2] for r in found}) == len(found)
+
+
+def test_late_row_is_dropped_once_the_watermark_has_settled(feed):
+    fill_b(feed)
+    query = feed.run(deduplicate(feed.stream()))
+    assert rows(feed.table(), "transaction_id") == [("a",), ("c",), ("f",), ("z",)]
+    assert late_rows_dropped(query) == 1
+
+
+def test_append_mode_emits_closed_windows_once(feed):
+    fill_b(feed)
+    feed.run(store_windows(deduplicate(feed.stream())))
+    found = rows(feed.table(schema=AGG_SCHEMA), "store_id", "window_start", "total_quantity")
+    assert found == [("s1", at("00:00"), 2), ("s2", at("01:00"), 1), ("s2", at("01:30"), 1)]
+
+
+def test_restart_resumes_from_the_checkpoint(feed):
+    feed.add(sale("a", "00:00"), sale("b", "00:01"))
+    feed.run(deduplicate(feed.stream()))
+    feed.add(sale("a", "00:02"), sale("c", "00:03"))
+    feed.run(deduplicate(feed.stream()))
+    assert rows(feed.table(), "transaction_id") == [("a",), ("b",), ("c",)]
+
+
+def test_sink_failure_fails_the_query_and_loses_nothing(feed):
+    fill_b(feed)
+    good = append_to(f"{feed.root}/q")
+
+    def failing(batch, number):
+        if number == 1:
+            raise RuntimeError("sink is down")
+        good(batch, number)
+
+    with pytest.raises(StreamingQueryException):
+        feed.run(feed.stream(), failing)
+    feed.run(feed.stream(), good)
+    assert feed.table().count() == 5
+
+
+def test_replace_batch_survives_a_repeated_batch(feed):
+    """The write succeeds, the commit does not: the batch is written again."""
+    fill_b(feed)
+    write = replace_batch(f"{feed.root}/q")
+    crash = [True]
+
+    def crashing(batch, number):
+        write(batch, number)
+        if number == 2 and crash.pop():
+            raise RuntimeError("lost after the write")
+
+    with pytest.raises(StreamingQueryException):
+        feed.run(feed.stream(), crashing)
+    feed.run(feed.stream(), write)
+    assert rows(feed.table(), "transaction_id") == [("a",), ("c",), ("f",), ("late",), ("z",)]
+    # A new checkpoint is a new query with folders of its own.
+    start(feed.stream(), write, f"{feed.root}/cp-other", NOW).awaitTermination()
+    assert feed.table().count() == 10
+
+
+def test_upsert_sink_is_repeatable_across_checkpoints(spark, feed):
+    fill_b(feed)
+    for attempt in ("one", "two"):
+        write = upsert_to(spark, f"{feed.root}/agg", AGG_SCHEMA, ("store_id", "window_start"), "window_start", True)
+        feed.run(store_windows(deduplicate(feed.stream())), write, attempt)
+    assert len(rows(read_days(spark, f"{feed.root}/agg", AGG_SCHEMA))) == 3
+
+
+def test_union_of_modes_is_refused(feed):
+    feed.add(sale("a", "00:00"))
+    with pytest.raises(ValueError):
+        deduplicate(feed.stream(), mode="sometimes")
+
+
+def test_one_watermark_in_the_whole_plan(feed):
+    feed.add(sale("a", "00:00"))
+    frame = store_windows(deduplicate(feed.stream()))
+    assert frame._jdf.queryExecution().analyzed().toString().count("EventTimeWatermark") == 1
+
+
+def test_newest_copies_against_brute_force():
+    random.seed(5)
+    schema = pa.schema([("id", pa.string()), ("other", pa.int64()), ("ts", pa.timestamp("us"))])
+    start_time = at("00:00")
+    for size in (0, 1, 50, 400):
+        data = [
+            {
+                "id": random.choice(["hot", "hot", None, *"abcdefgh"]),
+                "other": random.choice([1, 2]),
+                "ts": random.choice([None, *[start_time + timedelta(minutes=m) for m in range(9)]]),
+            }
+            for _ in range(size)
+        ]
+        batch = pa.RecordBatch.from_pylist(data, schema=schema)
+        for keys in (["id"], ["id", "other"]):
+            kept = [r for b in newest_copies(keys, "ts")(iter([batch])) for r in b.to_pylist()]
+            wanted = {}
+            for row in data:
+                group = (*[row[k] for k in keys], row["ts"] is None)
+                wanted[group] = max(wanted.get(group, row["ts"]), row["ts"]) if row["ts"] else None
+            assert len(kept) == len(wanted)
+            assert {(*[r[k] for k in keys], r["ts"] is None): r["ts"] for r in kept} == wanted
+
+
+def test_hot_key_stays_exact(spark, feed):
+    feed.add(*[sale("hot" if n % 3 == 0 else f"k{n}", f"00:{n % 60:02d}") for n in range(900)])
+    feed.add(*[sale("hot" if n % 3 == 0 else f"m{n}", f"00:{n % 60:02d}") for n in range(900)])
+    feed.run(deduplicate(feed.stream()))
+    assert feed.table().count() == feed.table().select("transaction_id").distinct().count() == 1201
+
+
+def framed(**fields):
+    good = {
+        "transaction_id": "a", "store_id": "s1", "product_id": "p", "quantity": 1, "price": 2.0,
+        "transaction_ts": "2024-01-01T00:00:00Z",
+    }
+    return bytearray(b"\x00\x00\x00\x00\x01" + json.dumps(good | fields).encode())
+
+
+def test_job_runs_three_queries_with_own_checkpoints(spark, tmp_path):
+    messages = [
+        framed(), framed(), framed(transaction_id="b", transaction_ts="2024-01-01T00:30:00Z"), bytearray(b"\x00"),
+        framed(transaction_id="c", store_id=None), framed(transaction_id="c", transaction_ts="2024-01-01T00:01:00Z"),
+    ]
+    spark.createDataFrame([(m,) for m in messages], "value binary").write.parquet(f"{tmp_path}/in")
+    metrics = BatchMetrics()
+    spark.streams.addListener(metrics)
+    job = SalesJob(
+        messages=stream_files(spark, f"{tmp_path}/in", "value binary"),
+        checkpoint=f"{tmp_path}/cp",
+        write_raw=replace_batch(f"{tmp_path}/raw"),
+        write_agg=append_to(f"{tmp_path}/agg"),
+        write_rejects=append_to(f"{tmp_path}/rejects"),
+        trigger=NOW,
+        partitions=2,
+    )
+    try:
+        job.run()
+        spark._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        spark.streams.removeListener(metrics)
+    assert sorted(os.listdir(f"{tmp_path}/cp")) == ["agg", "raw", "rejects"]
+    raw = spark.read.schema("transaction_id string").parquet(f"{tmp_path}/raw")
+    assert rows(raw, "transaction_id") == [("a",), ("b",), ("c",)]
+    agg = spark.read.schema(AGG_SCHEMA).parquet(f"{tmp_path}/agg")
+    assert rows(agg, "store_id", "total_revenue") == [("s1", 4.0)]
+    rejects = spark.read.schema("transaction_id string, reject_reason string").parquet(f"{tmp_path}/rejects")
+    assert rows(rejects) == [("c", "missing_required"), (None, "undecodable")]
+    frame = metrics.frame(spark)
+    assert frame.select("query_id").distinct().count() == 3
+    assert frame.agg(F.sum("input_rows")).first()[0] == 18
+
+
+def test_job_stops_with_any_query(spark, tmp_path):
+    spark.createDataFrame([(framed(),)], "value binary").write.parquet(f"{tmp_path}/in")
+
+    def broken(batch, number):
+        raise RuntimeError("down")
+
+    job = SalesJob(
+        stream_files(spark, f"{tmp_path}/in", "value binary"), f"{tmp_path}/cp", broken, append_to(f"{tmp_path}/agg"),
+        partitions=2,
+    )
+    try:
+        with pytest.raises(StreamingQueryException):
+            job.run()
+    finally:
+        for query in job.queries:
+            query.stop()
+        spark.streams.resetTerminated()
+
+
+def test_state_settings_are_restored(spark):
+    before = (spark.conf.get(PARTITIONS), spark.conf.get(PROVIDER, None))
+    with state_settings(spark, 3):
+        assert spark.conf.get(PARTITIONS) == "3" and "RocksDB" in spark.conf.get(PROVIDER)
+    assert (spark.conf.get(PARTITIONS), spark.conf.get(PROVIDER, None)) == before
+
+
+def test_settings_from_environment():
+    settings = TopicSettings.from_env({"KAFKA_BROKERS": "k:9092", "KAFKA_STARTING_OFFSETS": "earliest"})
+    assert settings.topic == "retail_sales"
+    assert settings.reader_options() == {
+        "kafka.bootstrap.servers": "k:9092", "subscribe": "retail_sales", "startingOffsets": "earliest",
+        "failOnDataLoss": "false",
+    }
+    assert TopicSettings.from_env({}).starting_offsets == "latest"
+    with pytest.raises(ValueError):
+        TopicSettings.from_env({}).reader_options()
+
+
+def test_topic_source_is_kafka(spark):
+    try:
+        frame = read_events(spark, "kafka", settings=TopicSettings(brokers="localhost:9092"))
+        assert frame.isStreaming and "value" in frame.columns
+    except AnalysisException as error:
+        assert "kafka" in str(error)
+
+
+def test_json_files_as_source(spark, tmp_path):
+    spark.createDataFrame([("a",), ("b",)], "transaction_id string").write.json(f"{tmp_path}/in")
+    stream = read_events(spark, "json", path=f"{tmp_path}/in", schema="transaction_id string")
+    assert rows(drain(spark, stream, "json")) == [("a",), ("b",)]
+
+
+def test_work_folder_is_the_configured_one(spark):
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        assert shared_folder(spark) == configured.rstrip("/")
+    assert fresh_folder(spark, "x") != fresh_folder(spark, "x")

@@ -9,7 +9,7 @@ from tillstream.plans.registry import (
     FACT_UP_TO,
     REVENUE_BANDS,
     SLICE_SECONDS,
-    SLOT_ROWS,
+    SLOT_SECONDS,
 )
 from tillstream.sources.schemas import AGG_TABLE, FACT_TABLE, PAYMENT_TYPES, RAW_TABLE
 
@@ -470,7 +470,7 @@ FROM (SELECT max(transaction_ts) AS newest FROM sales)""",
         "late_rows": _with(
             SALES
             + f""", delayed AS (
-  SELECT event_id, transaction_id, event_id // {SLOT_ROWS} AS slot,
+  SELECT transaction_id, CAST(floor(epoch(transaction_ts) / {SLOT_SECONDS}) AS BIGINT) AS slot,
          transaction_ts - CASE WHEN event_id % 7 = 0 THEN INTERVAL 3 DAY ELSE INTERVAL 0 DAY END AS transaction_ts
   FROM sales
 ), tops AS (SELECT slot, max(transaction_ts) AS top FROM delayed GROUP BY 1),

@@ -43,7 +43,7 @@ AS_OF_BUSY = "2024-01-30 12:00:00"
 AS_OF_UNALIGNED = "2024-01-30 12:30:00"
 FACT_UP_TO = "2024-01-20 00:00:00"
 LOOKBACK = "1 hour"
-SLOT_ROWS = 1000
+SLOT_SECONDS = 3600
 SLICE_SECONDS = 8 * 86400
 REVENUE_BANDS = [("low", 50.0), ("mid", 150.0)]
 AVAILABLE_NOW = {"availableNow": True}
@@ -403,7 +403,7 @@ def _definitions() -> dict[str, Query]:
         # arrival
         "late_rows": _on(
             views.sales_delayed,
-            lambda s: late_rows(s, F.floor(F.col("event_id") / SLOT_ROWS)).select(
+            lambda s: late_rows(s, F.floor(F.unix_seconds("arrived_at") / SLOT_SECONDS)).select(
                 "transaction_id", "transaction_ts", "watermark"
             ),
         ),
