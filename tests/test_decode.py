@@ -86,16 +86,17 @@ def test_price_is_widened_before_the_product(messages):
 
 def test_avro_is_used_when_its_package_is_there(messages):
     try:
-        decode.decode(messages(framed("x")), "avro").collect()
+        decode.parse_and_cast(messages(framed("x")), "avro").collect()
     except AnalysisException as error:
         assert "AVRO" in str(error).upper()
 
 
 def test_unknown_format(messages):
     with pytest.raises(ValueError):
-        decode.decode(messages(b""), "xml")
+        decode.parse_and_cast(messages(b""), "xml")
 
 
 def test_decoding_needs_no_shuffle_and_reads_only_the_value(messages):
     plan = decode.parse_and_cast(messages(framed("x")))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
+    assert plan.count("from_json") == 1  # each message is decoded once

@@ -6,21 +6,20 @@ All functions work on batch and streaming frames.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillstream.functions.columns import any_null
-from tillstream.sources.schemas import REQUIRED, SALE_COLUMNS, avro_schema_json, wire_schema
+from tillstream.functions.columns import all_null, any_null
+from tillstream.sources.schemas import REQUIRED, avro_schema_json, wire_schema
 
 HEADER_BYTES = 5
 
 
 def payload(value: str = "value") -> Column:
     """The bytes after the header; empty when the message is too short."""
-    return F.substring(F.col(value), F.lit(HEADER_BYTES + 1), F.length(value) - HEADER_BYTES)
+    return F.substr(F.col(value), F.lit(HEADER_BYTES + 1))
 
 
 def is_framed(value: str = "value") -> Column:
@@ -34,8 +33,8 @@ def schema_id(value: str = "value") -> Column:
     return F.when(F.length(value) >= HEADER_BYTES, F.conv(digits, 16, 10).try_cast("int"))
 
 
-def decode(frame: DataFrame, fmt: str = "json", value: str = "value") -> DataFrame:
-    """Add `data`, the payload as a struct; damaged payloads never raise.
+def decoded(fmt: str = "json", value: str = "value") -> Column:
+    """The payload as a struct; damaged payloads never raise.
 
     `avro` needs the spark-avro package; `json` is built in.
     """
@@ -43,45 +42,50 @@ def decode(frame: DataFrame, fmt: str = "json", value: str = "value") -> DataFra
     if fmt == "avro":
         from pyspark.sql.avro.functions import from_avro
 
-        data = from_avro(payload(value), avro_schema_json(), options)
-    elif fmt == "json":
-        data = F.from_json(payload(value).cast("string"), wire_schema(), options)
-    else:
-        raise ValueError(f"unknown payload format {fmt!r}")
-    return frame.withColumn("data", data)
+        return from_avro(payload(value), avro_schema_json(), options)
+    if fmt == "json":
+        return F.from_json(payload(value).cast("string"), wire_schema(), options)
+    raise ValueError(f"unknown payload format {fmt!r}")
 
 
-def is_undecodable(data: str = "data") -> Column:
+def unpack(frame: DataFrame, fmt: str = "json", keep: Sequence[str] = (), value: str = "value") -> DataFrame:
+    """Messages to columns, the time still as text.
+
+    A generator turns the struct into columns. Unlike a projection it stops
+    later filters from being moved ahead of it, which would decode each message
+    once per filtered field.
+    """
+    return frame.select(*keep, F.inline(F.array(decoded(fmt, value))))
+
+
+def is_undecodable() -> Column:
     """No required field could be read.
 
     Permissive decoding turns damage into a struct of NULLs about as often as
     into a NULL struct, so the fields are tested, not the struct.
     """
-    return reduce(and_, [F.col(f"{data}.{name}").isNull() for name in REQUIRED])
+    return all_null(REQUIRED)
 
 
-def drop_undecodable(frame: DataFrame, data: str = "data") -> DataFrame:
-    return frame.where(~is_undecodable(data))
+def drop_undecodable(unpacked: DataFrame) -> DataFrame:
+    return unpacked.where(~is_undecodable())
 
 
-def flatten(frame: DataFrame, data: str = "data", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Struct fields to columns, the ISO time string to a timestamp."""
-    fields = [F.col(f"{data}.{c}").alias(c) for c in SALE_COLUMNS if c != "transaction_ts"]
-    time = F.try_to_timestamp(F.col(f"{data}.transaction_ts")).alias("transaction_ts")
-    return frame.select(*keep, *fields, time)
+def parse_time(unpacked: DataFrame) -> DataFrame:
+    """The ISO time text to a timestamp, NULL when it cannot be read."""
+    return unpacked.withColumn("transaction_ts", F.try_to_timestamp("transaction_ts"))
 
 
-def parse_and_cast(frame: DataFrame, fmt: str = "json", keep: tuple[str, ...] = ()) -> DataFrame:
+def parse_and_cast(frame: DataFrame, fmt: str = "json", keep: Sequence[str] = ()) -> DataFrame:
     """Raw messages to sale rows."""
-    return frame.transform(decode, fmt).transform(drop_undecodable).transform(flatten, keep=keep)
+    return frame.transform(unpack, fmt, keep).transform(drop_undecodable).transform(parse_time)
 
 
-def with_reject_reason(frame: DataFrame, fmt: str = "json", keep: tuple[str, ...] = ()) -> DataFrame:
+def with_reject_reason(frame: DataFrame, fmt: str = "json", keep: Sequence[str] = ()) -> DataFrame:
     """Every message, decoded, with why it may not be stored (NULL when it may)."""
-    decoded = frame.transform(decode, fmt)
-    rows = decoded.transform(flatten, keep=(*keep, is_undecodable().alias("_undecodable")))
-    reason = F.when(F.col("_undecodable"), "undecodable").when(any_null(REQUIRED), "missing_required")
-    return rows.withColumn("reject_reason", reason).drop("_undecodable")
+    unpacked = frame.transform(unpack, fmt, keep).withColumn("reject_reason", F.when(is_undecodable(), "undecodable"))
+    missing = F.when(any_null(REQUIRED), "missing_required")
+    return parse_time(unpacked).withColumn("reject_reason", F.coalesce("reject_reason", missing))
 
 
 def accepted(classified: DataFrame) -> DataFrame:

@@ -154,12 +154,12 @@ def _parse_timestamp(events: DataFrame) -> DataFrame:
 
 
 def _decoded(messages: DataFrame) -> DataFrame:
-    return decode.decode(messages).select(
+    return decode.unpack(messages, keep=("event_id",)).select(
         "event_id",
-        F.col("data.transaction_id").alias("transaction_id"),
-        F.col("data.quantity").cast("double").alias("quantity"),
-        F.col("data.price").cast("double").alias("price"),
-        F.col("data.transaction_ts").alias("transaction_ts"),
+        "transaction_id",
+        F.col("quantity").cast("double").alias("quantity"),
+        F.col("price").cast("double").alias("price"),
+        "transaction_ts",
     )
 
 
@@ -348,7 +348,9 @@ def _definitions() -> dict[str, Query]:
             )
         ),
         "decode_payload": on_wire(_decoded),
-        "decode_filter_bad": on_wire(lambda w: decode.drop_undecodable(decode.decode(w)).select("event_id")),
+        "decode_filter_bad": on_wire(
+            lambda w: decode.drop_undecodable(decode.unpack(w, keep=("event_id",))).select("event_id")
+        ),
         "parse_timestamp": _on(lambda events: events, _parse_timestamp),
         "parse_and_cast": on_wire(lambda w: _double_price(decode.parse_and_cast(w, keep=("event_id",)))),
         "quarantine_rows": on_wire(
