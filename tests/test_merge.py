@@ -6,9 +6,10 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tests.conftest import at, rows, sale
-from tillstream.operators.merge import DAY, merge_into, merged, read_days, table_exists, upsert_days, write_days
+from tillstream.operators.merge import expire_days, merge_into, merged, read_days, table_exists, upsert_days, write_days
+from tillstream.operators.selection import history, newer_than, recent
 from tillstream.plans.fact import refresh_fact
-from tillstream.sources.schemas import FACT_SCHEMA, RAW_SCHEMA
+from tillstream.sources.schemas import DAY, FACT_SCHEMA, RAW_SCHEMA
 
 
 def contents(spark, path):
@@ -74,6 +75,15 @@ def test_search_back_limits_the_days_looked_through(spark, sales, table):
     assert [r[0] for r in contents(spark, table)] == ["a", "a", "b", "c"]
 
 
+def test_rows_without_a_time_are_kept_and_found(spark, sales, table):
+    upsert_days(spark, table, sales(sale("n", None), sale("m", None)), RAW_SCHEMA)
+    upsert_days(spark, table, sales(sale("o", None)), RAW_SCHEMA)
+    assert [r[0] for r in contents(spark, table)] == ["a", "b", "c", "m", "n", "o"]
+    upsert_days(spark, table, sales(*[sale(i, "2024-01-02 05:00") for i in "mno"]), RAW_SCHEMA, search_back=1)
+    assert [r[0] for r in contents(spark, table)] == ["a", "b", "c", "m", "n", "o"]
+    assert read_days(spark, table, RAW_SCHEMA).where(F.col(DAY).isNull()).count() == 0
+
+
 def test_no_updates_change_nothing(spark, sales, table):
     before = contents(spark, table)
     upsert_days(spark, table, sales(), RAW_SCHEMA)
@@ -86,6 +96,27 @@ def test_day_filter_prunes_partitions(spark, table):
     assert f"PartitionFilters: [isnotnull({DAY}" in frame._jdf.queryExecution().executedPlan().toString()
 
 
+def test_time_filters_prune_days(spark, sales, table):
+    frame = read_days(spark, table, RAW_SCHEMA)
+    for found, ids in (
+        (recent(frame, "2024-01-02 02:00", "1 hour"), ["b", "c"]),
+        (history(frame, "2024-01-02 02:00", "2 days", "1 hour"), ["a"]),
+        (newer_than(frame, sales(sale("x", "2024-01-02 01:30"))), ["c"]),
+        (newer_than(frame, frame, "1 hour"), ["c"]),
+    ):
+        assert [r[0] for r in rows(found, "transaction_id")] == ids
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        filters = plan[plan.index("PartitionFilters: [") :].split("]")[0]
+        assert f"{DAY}#" in filters
+
+
+def test_expired_days_are_emptied_and_others_left_alone(spark, table):
+    kept = set(glob.glob(f"{table}/{DAY}=2024-01-02/*.parquet"))
+    expire_days(spark, table, RAW_SCHEMA, "2024-01-12 12:00", keep=10)
+    assert [r[0] for r in contents(spark, table)] == ["b", "c"]
+    assert set(glob.glob(f"{table}/{DAY}=2024-01-02/*.parquet")) == kept
+
+
 def test_files_are_sorted_by_time(spark, sales, tmp_path):
     write_days(sales(*[sale(str(i), f"0{9 - i % 10}:00") for i in range(10)]), f"{tmp_path}/t")
     (file,) = glob.glob(f"{tmp_path}/t/*/*.parquet")

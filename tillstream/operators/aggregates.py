@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillstream.functions.columns import AsOf, line_revenue
-from tillstream.operators.selection import TIME, recent
+from tillstream.operators.selection import recent
+from tillstream.sources.schemas import TIME
 
 
 def store_windows(frame: DataFrame, width: str = "5 minutes") -> DataFrame:

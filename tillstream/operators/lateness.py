@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillstream.operators.selection import TIME
+from tillstream.sources.schemas import TIME
 
 
 def running_max(slots: DataFrame, slot: str, value: str, block: int = 4096) -> DataFrame:

@@ -9,7 +9,6 @@ format with row-level operations.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import timedelta
 from functools import reduce
 from operator import and_
 
@@ -18,11 +17,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillstream.functions.columns import day_of
+from tillstream.functions.columns import AsOf, ago, day_of
 from tillstream.operators.keys import KEY, first_occurrence, new_keys
-from tillstream.operators.selection import TIME
+from tillstream.sources.schemas import DAY, TIME
 
-DAY = "event_day"
+# Fixed value: Spark's partition folder for a missing partition value.
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 
 
 def merged(
@@ -79,6 +79,12 @@ def _days(frame: DataFrame) -> set:
     return {row[DAY] for row in frame.select(DAY).distinct().collect()}
 
 
+def _on_days(frame: DataFrame, days: set) -> DataFrame:
+    """Rows of these days; None stands for rows without a time."""
+    condition = F.col(DAY).isin(days - {None})
+    return frame.where(condition | F.col(DAY).isNull() if None in days else condition)
+
+
 def upsert_days(
     spark: SparkSession,
     path: str,
@@ -117,18 +123,35 @@ def upsert_days(
     if not keys_fix_day:
         searched = target
         if search_back is not None:
-            searched = target.where(F.col(DAY) >= F.lit(min(landing) - timedelta(days=search_back)))
+            oldest = first.select(F.date_sub(F.min(DAY), search_back)).scalar()
+            searched = target.where((F.col(DAY) >= oldest) | F.col(DAY).isNull())
         leaving = _days(searched.join(changed, list(keys), "left_semi"))
-    kept = new_keys(target.where(F.col(DAY).isin(landing | leaving)), changed, keys)
+    kept = new_keys(_on_days(target, landing | leaving), changed, keys)
     write_days(kept.unionByName(first), path, time, partitionOverwriteMode="dynamic")
 
     # A day that lost all its rows is not part of the write above.
     only_left = leaving - landing
     if only_left:
         rewritten = read_days(spark, path, schema)
-        rest = new_keys(rewritten.where(F.col(DAY).isin(only_left)), changed, keys)
-        for day in only_left - _days(rest):
-            rewritten.limit(0).drop(DAY).write.mode("overwrite").parquet(f"{path}/{DAY}={day}")
+        rest = new_keys(_on_days(rewritten, only_left), changed, keys)
+        _empty(rewritten, path, only_left - _days(rest))
+
+
+def expire_days(
+    spark: SparkSession, path: str, schema: T.StructType, as_of: AsOf = None, keep: int = 90
+) -> None:
+    """Retention on a day-partitioned table: empty the days before the last `keep`.
+
+    Nothing that stays is read or rewritten.
+    """
+    table = read_days(spark, path, schema)
+    _empty(table, path, _days(table.where(F.col(DAY) < F.to_date(ago(as_of, f"{keep} days")))))
+
+
+def _empty(table: DataFrame, path: str, days: set) -> None:
+    for day in days:
+        folder = f"{path}/{DAY}={day or NO_DAY}"
+        table.limit(0).drop(DAY).write.mode("overwrite").parquet(folder)
 
 
 def merge_into(updates: DataFrame, table: str, keys: Sequence[str] = (KEY,), order_by: Sequence[str] = (TIME,)) -> None:

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from tillstream.functions.columns import AsOf, ago, any_null, line_revenue, moment, pass_fail, plain_number
 from tillstream.operators.keys import KEY, duplicate_keys
-from tillstream.operators.selection import TIME, recent
-from tillstream.sources.schemas import REQUIRED
+from tillstream.operators.selection import recent
+from tillstream.sources.schemas import REQUIRED, TIME
 
 # History span, current span, freshness span and sigma bound.
 HISTORY = "7 days"

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillstream.functions.columns import pass_fail
-from tillstream.operators.selection import TIME
+from tillstream.sources.schemas import TIME
 
 
 def reconcile_hourly(source: DataFrame, sink: DataFrame, at_least: float = 0.999) -> DataFrame:

@@ -1,28 +1,41 @@
-"""Row filters. Bounds are literals or scalar subqueries, so they reach the scan."""
+"""Row filters. Bounds are literals or scalar subqueries, so they reach the scan.
+
+A frame with the day partition column also gets the bound on the day, so that
+only the partitions concerned are listed and read.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstream.functions.columns import AsOf, ago, any_null
 from tillstream.sources.readers import high_water
-from tillstream.sources.schemas import REQUIRED
+from tillstream.sources.schemas import DAY, REQUIRED, TIME
 
-TIME = "transaction_ts"
 _BEFORE_ALL = "0001-01-01 00:00:00"
 
 
+def since(frame: DataFrame, bound: Column) -> DataFrame:
+    """Rows at or after `bound`."""
+    if DAY in frame.columns:
+        frame = frame.where(F.col(DAY) >= F.to_date(bound))
+    return frame.where(F.col(TIME) >= bound)
+
+
 def history(frame: DataFrame, as_of: AsOf = None, start: str = "7 days", end: str = "1 hour") -> DataFrame:
     """Rows in [as_of - start, as_of - end)."""
-    return frame.where((F.col(TIME) >= ago(as_of, start)) & (F.col(TIME) < ago(as_of, end)))
+    upper = ago(as_of, end)
+    if DAY in frame.columns:
+        frame = frame.where(F.col(DAY) <= F.to_date(upper))
+    return since(frame, ago(as_of, start)).where(F.col(TIME) < upper)
 
 
 def recent(frame: DataFrame, as_of: AsOf = None, duration: str = "1 hour") -> DataFrame:
     """Rows at or after as_of - duration; there is no upper bound."""
-    return frame.where(F.col(TIME) >= ago(as_of, duration))
+    return since(frame, ago(as_of, duration))
 
 
 def keep_last(frame: DataFrame, as_of: AsOf = None, days: int = 90) -> DataFrame:
@@ -34,16 +47,16 @@ def rows_with_nulls(frame: DataFrame, columns: Sequence[str] = tuple(REQUIRED))
     return frame.where(any_null(columns))
 
 
-def newer_than(
-    frame: DataFrame, target: DataFrame, lookback: str | None = None, target_day: str | None = None
-) -> DataFrame:
+def newer_than(frame: DataFrame, target: DataFrame, lookback: str | None = None) -> DataFrame:
     """Rows newer than the newest row of `target`, less `lookback`.
 
     Everything is new to an empty target. The bound is one scalar subquery,
     which Spark evaluates before the scan and pushes into it.
     """
     bound = F.col(TIME) - F.expr(f"interval {lookback}") if lookback else F.col(TIME)
-    newest = high_water(target, TIME, target_day).select(
+    newest = high_water(target, TIME, DAY if DAY in target.columns else None).select(
         F.coalesce(bound, F.lit(_BEFORE_ALL).cast("timestamp"))
     )
+    if DAY in frame.columns:
+        frame = frame.where(F.col(DAY) >= newest.select(F.to_date(newest.columns[0])).scalar())
     return frame.where(F.col(TIME) > newest.scalar())

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillstream.functions.columns import line_revenue
 from tillstream.operators.keys import KEY, first_occurrence
-from tillstream.operators.merge import DAY, merged, read_days, table_exists, upsert_days, write_days
+from tillstream.operators.merge import merged, read_days, table_exists, upsert_days, write_days
 from tillstream.operators.selection import newer_than
 from tillstream.sources.schemas import FACT_SCHEMA, SALE_COLUMNS
 
@@ -45,5 +45,5 @@ def refresh_fact(
         write_days(build_fact(raw), path)
         return
     target = read_days(spark, path, FACT_SCHEMA)
-    updates = with_revenue(newer_than(raw, target, lookback, DAY))
+    updates = with_revenue(newer_than(raw, target, lookback))
     upsert_days(spark, path, updates, FACT_SCHEMA, search_back=search_back)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillstream.sources.schemas import TIME
 from tillstream.sources.settings import TopicSettings
 
 
@@ -42,7 +43,7 @@ def read_events(spark: SparkSession, source: str, **options) -> DataFrame:
     return stream_files(spark, fmt=source, **options)
 
 
-def high_water(target: DataFrame, time: str = "transaction_ts", day: str | None = None) -> DataFrame:
+def high_water(target: DataFrame, time: str = TIME, day: str | None = None) -> DataFrame:
     """One row: the newest time in a table (NULL when it is empty).
 
     With a day partition column the newest day is found from file footers and

@@ -28,6 +28,10 @@ RAW_TABLE = "raw_retail_sales"
 AGG_TABLE = "agg_store_sales_5min"
 FACT_TABLE = "fact_sales"
 
+# Event time, and the day partition column of tables written by this package.
+TIME = "transaction_ts"
+DAY = "event_day"
+
 SALE_COLUMNS = [field["name"] for field in AVRO_SCHEMA["fields"]]
 REQUIRED = [c for c in SALE_COLUMNS if c != "payment_type"]
 

@@ -13,13 +13,18 @@ from pyspark.sql import SparkSession
 
 @dataclass(frozen=True)
 class TopicSettings:
-    """Where events come from; `from_env` reads the usual variables."""
+    """Where events come from; `from_env` reads the usual variables.
+
+    `max_offsets_per_trigger` bounds a micro-batch; `min_partitions` reads a
+    topic of few partitions with more tasks than it has partitions.
+    """
 
     brokers: str | None = None
     topic: str = "retail_sales"
     starting_offsets: str = "latest"
     checkpoint_dir: str | None = None
     max_offsets_per_trigger: int | None = None
+    min_partitions: int | None = None
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] = os.environ) -> TopicSettings:
@@ -41,6 +46,8 @@ class TopicSettings:
         }
         if self.max_offsets_per_trigger:
             options["maxOffsetsPerTrigger"] = str(self.max_offsets_per_trigger)
+        if self.min_partitions:
+            options["minPartitions"] = str(self.min_partitions)
         return options
 
 

@@ -9,7 +9,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from tillstream.operators.keys import KEY
-from tillstream.operators.selection import TIME
+from tillstream.sources.schemas import TIME
 
 DELAY = "10 minutes"
 

@@ -8,8 +8,8 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tillstream.operators.merge import DAY, merge_into, upsert_days, with_day
-from tillstream.operators.selection import TIME
+from tillstream.operators.merge import merge_into, upsert_days, with_day
+from tillstream.sources.schemas import DAY, TIME
 
 BatchWriter = Callable[[DataFrame, int], None]
 
