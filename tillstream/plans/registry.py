@@ -237,12 +237,7 @@ def stream_raw_append(spark: SparkSession, sf_dir: str) -> DataFrame:
         trigger=AVAILABLE_NOW,
         partitions=_state_partitions(spark),
     ).run()
-    return spark.read.schema(RAW_SCHEMA_FLOAT).parquet(f"{folder}/raw").select(*SALE_COLUMNS)
-
-
-RAW_SCHEMA_FLOAT = T.StructType(
-    [T.StructField(f.name, T.FloatType() if f.name == "price" else f.dataType) for f in RAW_SCHEMA.fields]
-)
+    return spark.read.schema(RAW_SCHEMA).parquet(f"{folder}/raw").select(*SALE_COLUMNS)
 
 
 def stream_job_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -418,7 +413,7 @@ def _definitions() -> dict[str, Query]:
         "stream_agg_5min": lambda spark, sf_dir: window_money(
             on_stream(views.sales, _stream_windows, "agg")(spark, sf_dir)
         ),
-        "stream_raw_append": lambda spark, sf_dir: _double_price(stream_raw_append(spark, sf_dir)),
+        "stream_raw_append": stream_raw_append,
         "stream_job_windows": lambda spark, sf_dir: window_money(stream_job_windows(spark, sf_dir)),
         "stream_rejects": stream_rejects,
         "sink_upsert_agg": lambda spark, sf_dir: window_money(

@@ -11,6 +11,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tillstream.operators.aggregates import store_windows
@@ -92,10 +93,12 @@ class SalesJob:
         return with_reject_reason(self.messages, self.fmt)
 
     def raw(self) -> DataFrame:
-        """Storable rows, once each. Rejects leave before the deduplication, so
-        a damaged message cannot shadow a good one with its key."""
+        """Storable rows, once each, with the types of the raw table. Rejects
+        leave before the deduplication, so a damaged message cannot shadow a
+        good one with its key."""
+        storable = accepted(self.classified()).withColumn("price", F.col("price").cast("double"))
         return deduplicate(
-            accepted(self.classified()), delay=self.delay, mode=self.dedup_mode, combine=self.combine
+            storable, delay=self.delay, mode=self.dedup_mode, combine=self.combine
         )
 
     def windows(self) -> DataFrame:
