@@ -1,5 +1,6 @@
 import glob
 import os
+import random
 
 import pytest
 from pyspark.errors import PySparkException
@@ -9,6 +10,7 @@ from tests.conftest import at, rows, sale
 from tillstream.operators.merge import expire_days, merge_into, merged, read_days, table_exists, upsert_days, write_days
 from tillstream.operators.selection import history, newer_than, recent
 from tillstream.plans.fact import refresh_fact
+from tillstream.sources import views
 from tillstream.sources.schemas import DAY, FACT_SCHEMA, RAW_SCHEMA
 
 
@@ -84,6 +86,22 @@ def test_rows_without_a_time_are_kept_and_found(spark, sales, table):
     assert read_days(spark, table, RAW_SCHEMA).where(F.col(DAY).isNull()).count() == 0
 
 
+def test_random_upserts_against_a_dictionary(spark, sales, tmp_path):
+    random.seed(11)
+    path, wanted = f"{tmp_path}/random", {}
+    for _ in range(5):
+        updates = [
+            sale(f"k{random.randrange(12)}", f"2024-01-0{random.randrange(1, 6)} 0{random.randrange(5)}:00", price=float(random.randrange(9)))
+            for _ in range(random.randrange(1, 9))
+        ]
+        first = {}
+        for row in sorted(updates, key=lambda r: (r[6], r[4])):
+            first.setdefault(row[0], row)
+        wanted |= first
+        upsert_days(spark, path, sales(*updates), RAW_SCHEMA)
+        assert contents(spark, path) == sorted(((r[0], r[4], r[6]) for r in wanted.values()), key=repr)
+
+
 def test_no_updates_change_nothing(spark, sales, table):
     before = contents(spark, table)
     upsert_days(spark, table, sales(), RAW_SCHEMA)
@@ -124,6 +142,20 @@ def test_files_are_sorted_by_time(spark, sales, tmp_path):
     assert times == sorted(times)
 
 
+def test_busy_day_is_cut_into_several_files(spark, tmp_path):
+    busy = views.sales(views.events(spark, "/root/testdata/sf0.001")).select(*RAW_SCHEMA.names)
+    busy = busy.withColumn("transaction_ts", F.lit("2024-01-01").cast("timestamp")).repartition(4)
+    advised = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(advised, "8k")
+    try:
+        write_days(busy, f"{tmp_path}/busy")
+    finally:
+        spark.conf.unset(advised)
+    assert len(glob.glob(f"{tmp_path}/busy/*/*.parquet")) > 1
+    write_days(busy, f"{tmp_path}/small")
+    assert len(glob.glob(f"{tmp_path}/small/*/*.parquet")) == 1
+
+
 def test_refresh_fact_runs(spark, sales, tmp_path):
     path = f"{tmp_path}/fact"
     raw = [sale("a", "2024-01-01 00:00", quantity=2, price=3.0), sale("b", "2024-01-02 00:00")]

@@ -149,6 +149,10 @@ def test_replace_batch_survives_a_repeated_batch(feed):
     assert feed.table().count() == 10
 
 
+def test_connector_sink_names_its_table(sales):
+    append_to("any_table", "noop", {"option": "value"})(sales(sale("a", "00:00")), 0)
+
+
 def test_upsert_sink_is_repeatable_across_checkpoints(spark, feed):
     fill_b(feed)
     for attempt in ("one", "two"):

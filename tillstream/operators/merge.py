@@ -157,5 +157,6 @@ def _empty(table: DataFrame, path: str, days: set) -> None:
 def merge_into(updates: DataFrame, table: str, keys: Sequence[str] = (KEY,), order_by: Sequence[str] = (TIME,)) -> None:
     """MERGE into a catalog table whose format supports row-level operations."""
     first = first_occurrence(updates, keys, order_by).alias("updates")
-    on = reduce(and_, [F.col(f"{table}.{k}") == F.col(f"updates.{k}") for k in keys])
+    name = table.split(".")[-1]
+    on = reduce(and_, [F.col(f"{name}.{k}") == F.col(f"updates.{k}") for k in keys])
     first.mergeInto(table, on).whenMatched().updateAll().whenNotMatched().insertAll().merge()

@@ -9,8 +9,7 @@ from pyspark.sql import types as T
 # Field names, types and order of the event on the wire.
 AVRO_SCHEMA = {
     "type": "record",
-    "name": "RetailSale",
-    "namespace": "com.retail.sales",
+    "name": "Sale",
     "fields": [
         {"name": "transaction_id", "type": "string"},
         {"name": "store_id", "type": "string"},
