@@ -3,6 +3,8 @@ from datetime import datetime
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillstream.operators import decode
 from tillstream.operators.aggregates import store_windows
@@ -100,3 +102,14 @@ def test_decoding_needs_no_shuffle_and_reads_only_the_value(messages):
     plan = decode.parse_and_cast(messages(framed("x")))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
     assert plan.count("from_json") == 1  # each message is decoded once
+
+
+def test_another_event_schema(messages):
+    """Unit price, total and epoch milliseconds in place of price and ISO time."""
+    body = {"transaction_id": "t", "quantity": 3, "unit_price": 9.99, "total_amount": 29.97, "transaction_ts": 1704067200123}
+    schema = "transaction_id string, quantity int, unit_price double, total_amount double, transaction_ts bigint"
+    rows = decode.unpack(messages(framed(json.dumps(body)), framed("junk")), schema=T.StructType.fromDDL(schema))
+    good, bad = rows.withColumn("transaction_ts", F.timestamp_millis("transaction_ts")).collect()
+    assert good["transaction_ts"] == datetime(2024, 1, 1, 0, 0, 0, 123000)
+    assert round(good["quantity"] * good["unit_price"], 2) == good["total_amount"]
+    assert list(bad) == [None] * 5

@@ -1,8 +1,8 @@
 import json
 
-from tests.conftest import rows
+from tests.conftest import at, rows
 from tillstream.__main__ import main
-from tillstream.operators.merge import read_days
+from tillstream.sources.readers import read_days, register_tables
 from tillstream.sources.schemas import AGG_SCHEMA, FACT_SCHEMA
 
 
@@ -36,3 +36,11 @@ def test_stream_fact_and_checks(spark, tmp_path, capsys):
     checks = ["checks", "--raw", f"{root}/raw", "--as-of", "2024-01-01 00:40:00", "--fail"]
     assert main(checks) == 0
     assert capsys.readouterr().out.splitlines() == ["freshness: PASS 2", "PASS"]
+
+    register_tables(spark, raw=f"{root}/raw", agg=f"{root}/agg", fact=f"{root}/fact")
+    status = spark.sql(
+        "SELECT count(*), max(transaction_ts) FROM raw_retail_sales UNION ALL "
+        "SELECT count(*), max(window_start) FROM agg_store_sales_5min UNION ALL "
+        "SELECT count(*), max(transaction_ts) FROM fact_sales"
+    )
+    assert [tuple(r) for r in status.collect()] == [(3, at("00:31")), (1, at("00:00")), (3, at("00:31"))]

@@ -7,10 +7,11 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tests.conftest import at, rows, sale
-from tillstream.operators.merge import expire_days, merge_into, merged, read_days, table_exists, upsert_days, write_days
+from tillstream.operators.merge import expire_days, merge_into, merged, upsert_days, write_days
 from tillstream.operators.selection import history, newer_than, recent
 from tillstream.plans.fact import refresh_fact
 from tillstream.sources import views
+from tillstream.sources.readers import read_days, table_exists
 from tillstream.sources.schemas import DAY, FACT_SCHEMA, RAW_SCHEMA
 
 

@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 
 from tests.conftest import at, rows, sale
 from tillstream.operators.aggregates import store_windows
-from tillstream.operators.merge import read_days
 from tillstream.plans.registry import drain
-from tillstream.sources.readers import read_events, stream_files
+from tillstream.sources.readers import read_days, read_events, stream_files
 from tillstream.sources.schemas import AGG_SCHEMA, RAW_SCHEMA
 from tillstream.sources.settings import TopicSettings, fresh_folder, shared_folder
 from tillstream.streaming.dedup import deduplicate, newest_copies

@@ -14,10 +14,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
-from tillstream.operators.merge import read_days
 from tillstream.operators.quality import QualityError, freshness, run_checks
 from tillstream.plans.fact import refresh_fact
-from tillstream.sources.readers import read_events
+from tillstream.sources.readers import read_days, read_events
 from tillstream.sources.schemas import AGG_SCHEMA, RAW_SCHEMA
 from tillstream.sources.settings import TopicSettings, shared_folder
 from tillstream.streaming.jobs import SalesJob

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillstream.functions.columns import all_null, any_null
 from tillstream.sources.schemas import REQUIRED, avro_schema_json, wire_schema
@@ -33,29 +34,36 @@ def schema_id(value: str = "value") -> Column:
     return F.when(F.length(value) >= HEADER_BYTES, F.conv(digits, 16, 10).try_cast("int"))
 
 
-def decoded(fmt: str = "json", value: str = "value") -> Column:
+def decoded(fmt: str = "json", value: str = "value", schema: T.StructType | str | None = None) -> Column:
     """The payload as a struct; damaged payloads never raise.
 
-    `avro` needs the spark-avro package; `json` is built in.
+    `avro` needs the spark-avro package; `json` is built in. Another event
+    schema is a struct type for JSON, an Avro schema text for Avro.
     """
     options = {"mode": "PERMISSIVE"}
     if fmt == "avro":
         from pyspark.sql.avro.functions import from_avro
 
-        return from_avro(payload(value), avro_schema_json(), options)
+        return from_avro(payload(value), schema or avro_schema_json(), options)
     if fmt == "json":
-        return F.from_json(payload(value).cast("string"), wire_schema(), options)
+        return F.from_json(payload(value).cast("string"), schema or wire_schema(), options)
     raise ValueError(f"unknown payload format {fmt!r}")
 
 
-def unpack(frame: DataFrame, fmt: str = "json", keep: Sequence[str] = (), value: str = "value") -> DataFrame:
+def unpack(
+    frame: DataFrame,
+    fmt: str = "json",
+    keep: Sequence[str] = (),
+    value: str = "value",
+    schema: T.StructType | str | None = None,
+) -> DataFrame:
     """Messages to columns, the time still as text.
 
     A generator turns the struct into columns. Unlike a projection it stops
     later filters from being moved ahead of it, which would decode each message
     once per filtered field.
     """
-    return frame.select(*keep, F.inline(F.array(decoded(fmt, value))))
+    return frame.select(*keep, F.inline(F.array(decoded(fmt, value, schema))))
 
 
 def is_undecodable() -> Column:

@@ -12,13 +12,13 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillstream.functions.columns import AsOf, ago, day_of
 from tillstream.operators.keys import KEY, first_occurrence, new_keys
+from tillstream.sources.readers import read_days, table_exists
 from tillstream.sources.schemas import DAY, TIME
 
 # Fixed value: Spark's partition folder for a missing partition value.
@@ -58,22 +58,6 @@ def write_days(frame: DataFrame, path: str, time: str = TIME, mode: str = "overw
     )
 
 
-def read_days(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A table written by `write_days`, with its day column."""
-    dated = T.StructType([*schema.fields, T.StructField(DAY, T.DateType())])
-    return spark.read.schema(dated).parquet(path)
-
-
-def table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.schema(f"{DAY} date").parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return False
-    return True
-
-
 def _days(frame: DataFrame) -> set:
     """Distinct days; the calendar bounds their number."""
     return {row[DAY] for row in frame.select(DAY).distinct().collect()}

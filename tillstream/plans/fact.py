@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillstream.functions.columns import line_revenue
 from tillstream.operators.keys import KEY, first_occurrence
-from tillstream.operators.merge import merged, read_days, table_exists, upsert_days, write_days
+from tillstream.operators.merge import merged, upsert_days, write_days
 from tillstream.operators.selection import newer_than
+from tillstream.sources.readers import read_days, table_exists
 from tillstream.sources.schemas import FACT_SCHEMA, SALE_COLUMNS
 
 

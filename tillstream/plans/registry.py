@@ -15,11 +15,11 @@ from pyspark.sql import types as T
 from tillstream.functions.columns import line_revenue
 from tillstream.operators import aggregates, column_tests, decode, keys, quality, reports, selection
 from tillstream.operators.lateness import late_rows
-from tillstream.operators.merge import merged, read_days
+from tillstream.operators.merge import merged
 from tillstream.operators.reconcile import reconcile_hourly
 from tillstream.plans.fact import build_fact, refresh_fact, with_revenue
 from tillstream.sources import views
-from tillstream.sources.readers import read_events
+from tillstream.sources.readers import read_days, read_events
 from tillstream.sources.schemas import (
     AGG_SCHEMA,
     AGG_TABLE,

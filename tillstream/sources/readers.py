@@ -2,11 +2,21 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillstream.sources.schemas import TIME
+from tillstream.sources.schemas import (
+    AGG_SCHEMA,
+    AGG_TABLE,
+    DAY,
+    FACT_SCHEMA,
+    FACT_TABLE,
+    RAW_SCHEMA,
+    RAW_TABLE,
+    TIME,
+)
 from tillstream.sources.settings import TopicSettings
 
 
@@ -18,6 +28,31 @@ def read_table(spark: SparkSession, name_or_path: str, schema: T.StructType | No
     return reader.parquet(name_or_path)
 
 
+def read_days(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A table partitioned by day, with its day column."""
+    dated = T.StructType([*schema.fields, T.StructField(DAY, T.DateType())])
+    return spark.read.schema(dated).parquet(path)
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.schema(f"{DAY} date").parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
+
+
+def register_tables(
+    spark: SparkSession, raw: str | None = None, agg: str | None = None, fact: str | None = None
+) -> None:
+    """Name the stored tables for `spark.sql`; each argument is the folder of one."""
+    for name, path, schema in ((RAW_TABLE, raw, RAW_SCHEMA), (AGG_TABLE, agg, AGG_SCHEMA), (FACT_TABLE, fact, FACT_SCHEMA)):
+        if path:
+            read_days(spark, path, schema).createOrReplaceTempView(name)
+
+
 def stream_topic(spark: SparkSession, settings: TopicSettings) -> DataFrame:
     """The Kafka topic; needs the Kafka package on the session's class path."""
     return spark.readStream.format("kafka").options(**settings.reader_options()).load()
