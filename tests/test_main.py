@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 from tests.conftest import at, rows
 from tillstream.__main__ import main
 from tillstream.sources.readers import read_days, register_tables
@@ -14,11 +16,12 @@ def message(id, time, **fields):
     return (bytearray(b"\x00\x00\x00\x00\x01" + json.dumps(body).encode()),)
 
 
-def test_stream_fact_and_checks(spark, tmp_path, capsys):
+@pytest.mark.parametrize("upsert", [[], ["--upsert-agg"]])
+def test_stream_fact_and_checks(spark, tmp_path, capsys, upsert):
     root = str(tmp_path)
     stream = [
         "stream", "--source", "parquet", "--path", f"{root}/in", "--payload", "json", "--raw", f"{root}/raw", "--agg",
-        f"{root}/agg", "--rejects", f"{root}/rejects", "--checkpoint", f"{root}/cp", "--trigger", "available-now",
+        f"{root}/agg", "--rejects", f"{root}/rejects", "--checkpoint", f"{root}/cp", "--trigger", "available-now", *upsert,
     ]
     fact = ["fact", "--raw", f"{root}/raw", "--fact", f"{root}/fact", "--lookback", "1 hour"]
 

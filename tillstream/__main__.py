@@ -33,6 +33,7 @@ def _parser() -> argparse.ArgumentParser:
     stream.add_argument("--payload", choices=["avro", "json"], default="avro")
     stream.add_argument("--raw", required=True)
     stream.add_argument("--agg", required=True)
+    stream.add_argument("--upsert-agg", action="store_true", help="merge windows by key; survives a lost checkpoint")
     stream.add_argument("--rejects")
     stream.add_argument("--checkpoint")
     stream.add_argument("--dedup", choices=["global", "within_watermark"], default="global")
@@ -62,11 +63,15 @@ def _stream(spark: SparkSession, args: argparse.Namespace) -> int:
     settings = TopicSettings.from_env()
     options = {"settings": settings} if args.source == "kafka" else {"path": args.path, "schema": "value binary"}
     checkpoint = args.checkpoint or settings.checkpoint_dir or f"{shared_folder(spark)}/tillstream"
+    if args.upsert_agg:
+        write_agg = upsert_to(spark, args.agg, AGG_SCHEMA, ("store_id", "window_start"), "window_start", True)
+    else:
+        write_agg = replace_batch(args.agg, "window_start")
     SalesJob(
         messages=read_events(spark, args.source, **options),
         checkpoint=checkpoint,
         write_raw=replace_batch(args.raw),
-        write_agg=upsert_to(spark, args.agg, AGG_SCHEMA, ("store_id", "window_start"), "window_start", True),
+        write_agg=write_agg,
         write_rejects=append_to(args.rejects) if args.rejects else None,
         fmt=args.payload,
         dedup_mode=args.dedup,

@@ -339,7 +339,9 @@ def _definitions() -> dict[str, Query]:
         "decode_envelope": on_wire(lambda w: w.select("event_id", decode.payload().cast("string").alias("payload"))),
         "envelope_header": on_wire(
             lambda w: w.select(
-                "event_id", decode.is_framed().alias("is_framed"), F.coalesce(decode.schema_id(), F.lit(-1)).alias("schema_id")
+                "event_id",
+                decode.is_framed().alias("is_framed"),
+                F.coalesce(decode.schema_id(), F.lit(-1)).alias("schema_id"),
             )
         ),
         "decode_payload": on_wire(_decoded),
