@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm import bpe_codec, piece_counts
+from tillstream.llm import bpe_codec, piece_counts, quality_fm, toxicity
+from tillstream.llm.samples import fold
 from tillstream.llm.stage import table, whole_text
 
 WORD_VOCABULARY = "word_bpe_49k.json"
@@ -18,6 +19,23 @@ def sha256_of_ids(ids: Column) -> Column:
     return F.sha2(F.array_join(ids, " ").cast("binary"), 256)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return judged(toxicity.with_scores(docs, model), fold("doc_id", toxicity.FOLDS) == toxicity.HELD_OUT)
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    model = quality_fm.fit(docs, table(spark, sf_dir, "labels"))
+    return judged(quality_fm.with_scores(docs, model), fold("doc_id", quality_fm.FOLDS) == quality_fm.HELD_OUT)
+
+
+def judged(scored: DataFrame, held_out: Column) -> DataFrame:
+    predicted = F.when(F.col("score") >= 0.5, 1).otherwise(0)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
+
+
 def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe_codec.with_tokens(docs, public_tokenizers.path(WORD_VOCABULARY))
@@ -41,7 +59,9 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_toxicity": op4_toxicity,
     "op5_bpe_codec": op5_bpe_codec,
+    "op6_quality_classifier": op6_quality_classifier,
     "op8_token_counts": op8_token_counts,
 }
 
