@@ -6,9 +6,10 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm import bpe_codec, piece_counts, quality_fm, toxicity
+from tillstream.llm import bpe_codec, piece_counts, quality_fm, toxicity, warc
 from tillstream.llm.samples import fold
 from tillstream.llm.stage import table, whole_text
+from tillstream.sources.settings import fresh_folder
 
 WORD_VOCABULARY = "word_bpe_49k.json"
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -58,11 +59,40 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = warc.planned(table(spark, sf_dir, "pages"))
+    archives = warc.write_archives(plan, fresh_folder(spark, "warc"))
+    spread = archives.repartition(spark.sparkContext.defaultParallelism)
+    return warc.read_archives(spread, payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 QUERIES = {
     "op4_toxicity": op4_toxicity,
     "op5_bpe_codec": op5_bpe_codec,
     "op6_quality_classifier": op6_quality_classifier,
     "op8_token_counts": op8_token_counts,
+    "op9_warc": op9_warc,
 }
 
-SQL: dict[str, str] = {}
+BASE32 = " || ".join(
+    "substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', "
+    f"((('0x' || substr(digest, {5 * i + 1}, 5))::bigint >> {15 - 5 * k}) & 31)::int + 1, 1)"
+    for i in range(8)
+    for k in range(4)
+)
+
+SQL: dict[str, str] = {
+    "op9_warc": f"""
+        with p as (
+            select page_id, encode(coalesce(html, '')) as payload,
+                   min(page_id) over (partition by coalesce(html, '')) as first
+            from pages
+        ), d as (select *, sha1(payload) as digest from p)
+        select page_id, octet_length(payload)::bigint as payload_bytes, {BASE32} as payload_digest,
+               case when page_id = first then 'response' else 'revisit' end as record_type,
+               case when page_id <> first then first end as refers_to
+        from d
+    """,
+}
