@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm import bpe_codec, piece_counts, quality_fm, toxicity, warc
+from tillstream.llm import bpe_codec, piece_counts, quality_fm, quality_rules, toxicity, warc
 from tillstream.llm.samples import fold
 from tillstream.llm.stage import table, whole_text
 from tillstream.sources.settings import fresh_folder
@@ -68,12 +68,20 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return quality_rules.judged(docs, table(spark, sf_dir, "labels")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 QUERIES = {
     "op4_toxicity": op4_toxicity,
     "op5_bpe_codec": op5_bpe_codec,
     "op6_quality_classifier": op6_quality_classifier,
     "op8_token_counts": op8_token_counts,
     "op9_warc": op9_warc,
+    "op10_quality_rules": op10_quality_rules,
 }
 
 BASE32 = " || ".join(
