@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm import bpe_codec, piece_counts, quality_fm, quality_rules, toxicity, warc
+from tillstream.llm import bpe_codec, line_dedup, piece_counts, quality_fm, quality_rules, toxicity, warc
 from tillstream.llm.samples import fold
 from tillstream.llm.stage import table, whole_text
 from tillstream.sources.settings import fresh_folder
@@ -20,6 +20,17 @@ def sha256_of_ids(ids: Column) -> Column:
     return F.sha2(F.array_join(ids, " ").cast("binary"), 256)
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.without_repeats(docs).select(
+        "doc_id",
+        line_dedup.REMOVED_CHUNKS,
+        line_dedup.REMOVED_LINES,
+        F.length(whole_text()).cast("long").alias("n_chars_left"),
+        F.sha2(whole_text().cast("binary"), 256).alias("left_sha256"),
+    )
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -76,6 +87,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_line_dedup": op3_line_dedup,
     "op4_toxicity": op4_toxicity,
     "op5_bpe_codec": op5_bpe_codec,
     "op6_quality_classifier": op6_quality_classifier,
@@ -92,6 +104,23 @@ BASE32 = " || ".join(
 )
 
 SQL: dict[str, str] = {
+    "op3_line_dedup": f"""
+        with d as (select doc_id, coalesce(text, '') as text from documents),
+        l as (select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as i from d),
+        f as (select *, ('0x' || substr(md5(line), 1, 12))::bigint as h, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) as w from l),
+        r as (select *, (coalesce(lag(h) over p, 0) * {line_dedup.FACTOR} + h) % {line_dedup.MODULUS} as r from f
+              window p as (partition by doc_id order by i)),
+        b as (select *, r < coalesce(lag(r) over p, {line_dedup.MODULUS}) and r <= coalesce(lead(r) over p, {line_dedup.MODULUS})
+                     or w > {line_dedup.LONG_LINE} or coalesce(lead(w) over p, 0) > {line_dedup.LONG_LINE} as ends from r
+              window p as (partition by doc_id order by i)),
+        n as (select *, coalesce(sum(ends::int) over (partition by doc_id order by i rows between unbounded preceding and 1 preceding), 0) as k from b),
+        c as (select doc_id, k, string_agg(line, chr(10) order by i) as chunk, count(*) as n_lines, sum(w) as w from n group by all),
+        o as (select *, row_number() over (partition by chunk order by doc_id, k) > 1
+                     and (n_lines >= {line_dedup.MIN_LINES} and w >= {line_dedup.MIN_WORDS} or w > {line_dedup.LONG_LINE}) as gone from c),
+        t as (select doc_id, count(*) filter (gone) as n_removed_chunks, coalesce(sum(n_lines) filter (gone), 0)::bigint as n_removed_lines,
+                     coalesce(string_agg(chunk, chr(10) order by k) filter (not gone), '') as text from o group by doc_id)
+        select doc_id, n_removed_chunks, n_removed_lines, length(text)::bigint as n_chars_left, sha256(text) as left_sha256 from t
+    """,
     "op9_warc": f"""
         with p as (
             select page_id, encode(coalesce(html, '')) as payload,
