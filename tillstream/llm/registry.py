@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm import bpe_codec, line_dedup, piece_counts, quality_fm, quality_rules, toxicity, warc
+from tillstream.llm import bpe_codec, line_dedup, ngram_join, piece_counts, quality_fm, quality_rules, toxicity, warc
 from tillstream.llm.samples import fold
 from tillstream.llm.stage import table, whole_text
 from tillstream.sources.settings import fresh_folder
@@ -59,6 +59,10 @@ def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = piece_counts.with_counts(docs, public_tokenizers.path(PIECE_MODEL))
@@ -91,6 +95,7 @@ QUERIES = {
     "op4_toxicity": op4_toxicity,
     "op5_bpe_codec": op5_bpe_codec,
     "op6_quality_classifier": op6_quality_classifier,
+    "op7_ngram_join": op7_ngram_join,
     "op8_token_counts": op8_token_counts,
     "op9_warc": op9_warc,
     "op10_quality_rules": op10_quality_rules,
