@@ -134,20 +134,21 @@ def cutoffs(statistics: DataFrame, labels: DataFrame, risk: float = RISK, level:
     rest = counts.join(F.broadcast(large.select(F.col("stratum").alias("of"))), F.col("stratum") == F.col("of"), "left_anti")
     pooled = rest.agg(*[F.sum(c).alias(c) for c in counts.columns[1:]]).where(F.col("n").isNotNull())
     tested = large.union(pooled.select(F.lit(POOLED).alias("stratum"), *counts.columns[1:]))
-    strata = tested.select(F.count(F.lit(1))).scalar()
-    share, wanted = risk / len(RULES), F.lit(level / len(RULES)) / strata
-
-    def chosen(rule: str, cuts: tuple[float, ...]) -> Column:
-        """The tightest cutoff before the first that fails; a share of rejections at or above the limit fails at once."""
-        n = F.col("n")
-        best, open_ = F.lit(None).cast("double"), F.lit(True)
-        for i, cut in enumerate(cuts):
-            k = F.col(f"k_{rule}_{i}")
-            open_ = open_ & F.when(k >= n * share, False).otherwise(at_most(n, k, share) <= wanted)
-            best = F.when(open_, F.lit(cut)).otherwise(best)
-        return best.alias(f"max_{rule}")
-
-    return stored(tested.select("stratum", "n", *[chosen(rule, cuts) for rule, (_, cuts) in RULES.items()]), "cutoffs")
+    tested = stored(tested, "holdout-counts")
+    share, wanted = risk / len(RULES), level / len(RULES) / max(tested.count(), 1)
+    tries = [
+        F.struct(F.lit(rule).alias("rule"), F.lit(i).alias("step"), F.lit(cut).alias("cut"), F.col(f"k_{rule}_{i}").alias("k"))
+        for rule, (_, cuts) in RULES.items()
+        for i, cut in enumerate(cuts)
+    ]
+    trial = tested.select("stratum", "n", F.inline(F.array(*tries)))
+    # A share of rejections at or above the limit fails at once; only below it is the sum needed.
+    passed = trial.withColumn("passed", F.when(F.col("k") >= F.col("n") * share, False).otherwise(at_most(F.col("n"), F.col("k"), share) <= wanted))
+    listed = F.sort_array(F.collect_list(F.struct("step", "cut")))
+    per_rule = passed.groupBy("stratum", "n", "rule").agg(F.min(F.when(~F.col("passed"), F.col("step"))).alias("fails"), listed.alias("cuts"))
+    last = per_rule.select("stratum", "n", "rule", F.get("cuts", F.coalesce("fails", F.size("cuts")) - 1)["cut"].alias("cut"))
+    limits = [F.max(F.when(F.col("rule") == rule, F.col("cut"))).alias(f"max_{rule}") for rule in RULES]
+    return stored(last.groupBy("stratum", "n").agg(*limits), "cutoffs")
 
 
 def with_verdict(statistics: DataFrame, limits: DataFrame) -> DataFrame:
