@@ -1,22 +1,63 @@
-"""The text pipeline: stages over `documents`, each written as Parquet and read again."""
+"""The text pipeline: stages over `documents`, each written as Parquet and read again.
+
+A stage is a function of (spark, docs, sf_dir) that returns a DataFrame. All but the last
+return the columns of `documents`. Rows without an id have no label, group or leak to be
+found by; they pass the stages that need one.
+"""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillstream.llm import bpe_codec, registry
+from tillstream.llm import bpe_codec, decontaminate, line_dedup, ngram_join, quality_fm, registry
 from tillstream.llm.stage import stored, table
 
 
+def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    model = quality_fm.fit(docs, table(spark, sf_dir, "labels"))
+    return quality_fm.with_scores(docs, model).where(F.col(quality_fm.SCORE) >= 0.5).select(*docs.columns)
+
+
+def cut_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that an earlier document holds go, and documents of which no word is left."""
+    cut = line_dedup.without_repeats(docs).where(
+        (F.col(line_dedup.REMOVED_CHUNKS) == 0) | F.col("text").rlike(line_dedup.WORD)
+    )
+    length = F.when(F.col(line_dedup.REMOVED_CHUNKS) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return cut.withColumn("n_chars", length).select(*docs.columns)
+
+
+def join_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of similar documents that with the smallest id stays."""
+    found = ngram_join.classes(docs)
+    later = found.where("component_id <> doc_id").select(F.col("doc_id").alias("of")).distinct()
+    return docs.join(later, docs["doc_id"] == later["of"], "left_anti")
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, whole or edited, go."""
+    found = decontaminate.leaks(docs, table(spark, sf_dir, "benchmark"))
+    holders = found.select(F.col("doc_id").alias("of")).distinct()
+    return docs.join(holders, docs["doc_id"] == holders["of"], "left_anti")
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every remaining text and the text they decode to."""
     return bpe_codec.with_tokens(docs, public_tokenizers.path(registry.WORD_VOCABULARY))
 
 
-STAGES = [("bpe_codec", encode)]
+STAGES = [
+    ("quality_classifier", classify),
+    ("line_dedup", cut_lines),
+    ("ngram_join", join_near),
+    ("decontamination", decontaminated),
+    ("bpe_codec", encode),
+]
 
-# Classifiers and aligned edits have no SQL form; the tests compare stages with brute force.
+# A trained classifier and aligned edits have no SQL form; the tests compare the stages with brute force.
 ORACLE_SQL = None
 
 

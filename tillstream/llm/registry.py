@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm import bpe_codec, decontaminate, line_dedup, ngram_join, piece_counts, quality_fm, quality_rules, toxicity, warc
+from tillstream.llm import bpe_codec, decontaminate, line_dedup, lm_score, ngram_join, piece_counts, quality_fm, quality_rules, toxicity, warc
 from tillstream.llm.samples import fold
 from tillstream.llm.stage import table, whole_text
 from tillstream.sources.settings import fresh_folder
@@ -24,6 +24,11 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lm_score.with_likelihood(docs).select("doc_id", *lm_score.COLUMNS)
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.without_repeats(docs).select(
@@ -96,6 +101,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_lm_score": op2_lm_score,
     "op3_line_dedup": op3_line_dedup,
     "op4_toxicity": op4_toxicity,
     "op5_bpe_codec": op5_bpe_codec,
