@@ -74,7 +74,7 @@ def removable(chunk: Column) -> Column:
 
 def keyed(docs: DataFrame, text: str) -> DataFrame:
     """A document is known by its id and its text; rows that repeat both are one document."""
-    return docs.withColumns({"text_hash": F.xxhash64(F.coalesce(text, F.lit(""))), "whole": F.coalesce(text, F.lit(""))})
+    return docs.withColumn("text_hash", F.xxhash64(F.coalesce(text, F.lit(""))))
 
 
 def same_document(left: DataFrame, right: DataFrame) -> Column:
@@ -83,8 +83,8 @@ def same_document(left: DataFrame, right: DataFrame) -> Column:
 
 def repeated(docs: DataFrame, text: str = "text") -> DataFrame:
     """of_id, of_hash, places (array of chunk numbers): what is to be removed from which document."""
-    base = keyed(docs.select("doc_id", text), text)
-    seen = base.select(*KEY, F.posexplode(F.transform(chunks_of(F.col("whole")), lambda c: F.when(removable(c), F.xxhash64(c["text"])))))
+    base = keyed(docs.select("doc_id", text), text).where(F.col(text).isNotNull())
+    seen = base.select(*KEY, F.posexplode(F.transform(chunks_of(F.col(text)), lambda c: F.when(removable(c), F.xxhash64(c["text"])))))
     seen = seen.where("col is not null").select(*KEY, F.col("pos").alias("place"), F.col("col").alias("h"))
     seen = seen.groupBy(*KEY, "place", "h").agg(F.lit(1).alias("one")).drop("one")
     often = seen.groupBy("h").agg(F.min(F.struct(*KEY, "place")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -94,17 +94,18 @@ def repeated(docs: DataFrame, text: str = "text") -> DataFrame:
     marks = hit.groupBy(F.col("doc_id").alias("of_id"), F.col("text_hash").alias("of_hash")).agg(
         F.collect_list(F.struct("place", "h", (F.struct(*KEY, "place").eqNullSafe(F.col("first"))).alias("is_first"))).alias("marks")
     )
-    texts = base.select(*KEY, "whole")
-    found = texts.join(marks, same_document(texts, marks)).dropDuplicates(KEY).select(*KEY, "marks", chunks_of(F.col("whole")).alias("chunks"))
+    texts = base.select(*KEY, F.col(text).alias("whole"))
+    found = texts.join(marks, same_document(texts, marks)).select(*KEY, "marks", chunks_of(F.col("whole")).alias("chunks"))
     pieces = stored(
         found.select(*KEY, F.explode(F.transform("marks", lambda m: F.struct(m.alias("m"), F.get("chunks", m["place"])["text"].alias("piece"))))).select(
             *KEY, "col.m.place", "col.m.h", "col.m.is_first", "col.piece"
         ),
         "repeated-chunks",
     )
-    first = pieces.where("is_first").select(F.col("h").alias("of"), F.col("piece").alias("bytes"))
+    # Rows that repeat a document yield its pieces again.
+    first = pieces.where("is_first").groupBy(F.col("h").alias("of")).agg(F.first("piece").alias("bytes"))
     others = pieces.where("not is_first")
-    equal = others.join(first, (others["h"] == first["of"]) & (others["piece"] == first["bytes"]))
+    equal = others.join(first, (others["h"] == first["of"]) & (F.xxhash64(others["h"]) == F.xxhash64(first["of"])) & (others["piece"] == first["bytes"]))
     return equal.groupBy(F.col("doc_id").alias("of_id"), F.col("text_hash").alias("of_hash")).agg(F.collect_set("place").alias("places"))
 
 
@@ -131,7 +132,7 @@ def without_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
             F.aggregate(gone, F.lit(0).cast("long"), lambda a, c: a + c["n_lines"]).alias("lines"),
         )
 
-    done = joined.withColumn("rest", F.when(F.col("places").isNotNull(), bound(chunks_of(F.col("whole")), rest)))
+    done = joined.withColumn("rest", F.when(F.col("places").isNotNull(), bound(chunks_of(F.col(f"c{names.index(text)}")), rest)))
     kept = [
         (F.when(F.col("places").isNotNull(), F.col("rest.text")).otherwise(F.col(f"c{i}")) if c == text else F.col(f"c{i}")).alias(c)
         for i, c in enumerate(names)
