@@ -32,11 +32,12 @@ BLOCK_TOKENS = 4 << 20
 HOT_SHARE, HOT_LEAST, HOT_LIMIT = 100, 8, 1 << 20
 LEADER_ROUNDS = 2
 VERTICALS = 8
+SKETCH_WORDS = 32
 
 SETS = "doc_id long, n_shingles long, d1 long, d2 long, hot array<long>, hot_n array<long>"
 PARTS = "fragment int, keys binary, sizes binary, tokens binary"
 SHARED = "bucket int, fragment int, keys binary, sizes binary, tokens binary, df binary"
-MEMBERS = "key long, n int, prefix int, tokens array<long>"
+MEMBERS = "key long, n int, prefix int, tokens array<long>, sketch array<long>"
 
 
 def digests(hashes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -200,7 +201,8 @@ def members(group: pa.Table) -> pa.Table:
     """The sets of a bucket that share at least four fifths of their n-grams, rarest n-grams first.
 
     `prefix` is how many of the shared n-grams stand in the prefix of the whole set, whose
-    first places belong to n-grams of no other set.
+    first places belong to n-grams of no other set. `sketch` holds bits that each shared
+    n-gram flips, so that two sets differ in at least as many n-grams as their sketches in bits.
     """
     keys, tokens, df, all_keys, all_n = [], [], [], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for fragment, k, s, t, f in zip(*(group[c].to_pylist() for c in ("fragment", "keys", "sizes", "tokens", "df"))):
@@ -225,8 +227,18 @@ def members(group: pa.Table) -> pa.Table:
     prefix = n - least + 1 - (n - (stop - start))
     good = stop - start >= least
     known, n, prefix, start, stop = (x[good] for x in (known, n, prefix, start, stop))
-    lists = pa.array([tokens[a:b].view(np.int64) for a, b in zip(start, stop)], pa.list_(pa.int64()))
-    return pa.Table.from_arrays([pa.array(known), pa.array(n, pa.int32()), pa.array(prefix, pa.int32()), lists], ["key", "n", "prefix", "tokens"])
+    lists = [tokens[a:b].view(np.int64) for a, b in zip(start, stop)]
+    bits = [sketched(tokens[a:b]) for a, b in zip(start, stop)]
+    longs = pa.list_(pa.int64())
+    columns = [pa.array(known), pa.array(n, pa.int32()), pa.array(prefix, pa.int32()), pa.array(lists, longs), pa.array(bits, longs)]
+    return pa.Table.from_arrays(columns, ["key", "n", "prefix", "tokens", "sketch"])
+
+
+def sketched(tokens: np.ndarray) -> np.ndarray:
+    h = mixed(tokens)
+    bit = (h % U(64 * SKETCH_WORDS)).astype(np.int64)
+    odd = np.bincount(bit, minlength=64 * SKETCH_WORDS) % 2
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
 def fragment_bits(sets: DataFrame) -> int:
@@ -280,30 +292,44 @@ def joined(posts: DataFrame, roots: DataFrame | None) -> DataFrame:
 
 
 def leader_pairs(posts: DataFrame, turn: int, percent: int) -> DataFrame:
-    """For each set the leader it meets under most of its n-grams, unless both are in one component already."""
+    """Pairs of a set with the leaders it meets, one under each n-gram, unless both are in one component already.
+
+    In the first turn only the leader met most often: most sets need no other. There are
+    never more pairs than n-grams in prefixes.
+    """
     first = F.min(F.struct(F.xxhash64("key", F.lit(turn)), F.col("key").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca")))
     lead = posts.groupBy("token").agg(first.alias("lead"), F.min("c").alias("low"), F.max("c").alias("high")).where("low < high")
     met = spread_join(posts, lead.select("token", "lead"), "token").where("key <> lead.a and c <> lead.ca")
     met = met.where(near(F.col("n"), F.col("lead.na"), percent))
     counted = met.groupBy("key", "n", F.col("lead.a").alias("a"), F.col("lead.na").alias("na")).agg(F.count(F.lit(1)).alias("times"))
+    if turn:
+        return counted.select("a", F.col("key").alias("b"), "na", F.col("n").alias("nb"))
     best = counted.groupBy("key", "n").agg(F.max(F.struct("times", "a", "na")).alias("best"))
     return best.select(F.col("best.a").alias("a"), F.col("key").alias("b"), F.col("best.na").alias("na"), F.col("n").alias("nb"))
 
 
-def cross_pairs(posts: DataFrame, percent: int) -> DataFrame:
+def cross_pairs(posts: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """All pairs of sets of different components that meet under an n-gram of both prefixes and may reach the overlap.
 
+    What may not: sizes too far apart, too few n-grams behind the one they meet under, or
+    sketches and lone n-grams that differ in more places than similar sets can.
+
     Under each n-gram only the sets outside its largest component are joined with all, so
     that a large group that is one component costs nothing.
     """
     sizes = posts.groupBy("token", "c").agg(F.count(F.lit(1)).alias("times"))
     main = sizes.groupBy("token").agg(F.max(F.struct("times", "c"))["c"].alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
     several = spread_join(posts, main.select("token", "main"), "token")
-    minor = several.where("c <> main").select(F.col("token").alias("t"), *[F.col(x).alias(f"{x}1") for x in ("key", "n", "place", "c")])
+    several = several.join(sketches, "key")
+    minor = several.where("c <> main").select(F.col("token").alias("t"), *[F.col(x).alias(f"{x}1") for x in ("key", "n", "place", "c", "alone", "sketch")])
     met = several.join(minor, F.col("token") == F.col("t")).where("c <> c1 and (c = main or key > key1)")
     left = F.least(F.col("n") - F.col("place"), F.col("n1") - F.col("place1"))
     # The n-gram counts as the first that both share, so what follows it bounds the overlap.
     met = met.where(near(F.col("n"), F.col("n1"), percent) & (left * (100 + percent) >= percent * (F.col("n") + F.col("n1"))))
+    differ = F.col("alone") + F.col("alone1")
+    for i in range(SKETCH_WORDS):
+        differ = differ + F.bit_count(F.get("sketch", F.lit(i)).bitwiseXOR(F.get("sketch1", F.lit(i))))
+    met = met.where(differ * (100 + percent) <= (100 - percent) * (F.col("n") + F.col("n1")))
     swap = F.col("key") > F.col("key1")
     return met.select(
         F.when(swap, F.col("key1")).otherwise(F.col("key")).alias("a"), F.when(swap, F.col("key")).otherwise(F.col("key1")).alias("b"),
@@ -324,13 +350,16 @@ def classes(docs: DataFrame, text: str = "text") -> DataFrame:
     rows = sets.where("hot is null").select("doc_id", "n_shingles", "d1", "d2")
     shared = sharing_sets(plain, sets)
     posts = shared.select("key", "n", (F.col("n") - F.size("tokens")).alias("alone"), F.posexplode(F.slice("tokens", F.lit(1), F.col("prefix"))))
+    sketches = shared.select("key", (F.col("n") - F.size("tokens")).alias("alone"), "sketch")
     posts = stored(posts.select("key", "n", (F.col("alone") + F.col("pos")).alias("place"), F.col("col").alias("token")), "postings")
     parts = verticals(shared, fragment_bits(sets))
     edges, roots = None, None
     for turn in range(LEADER_ROUNDS + 1):
         placed = joined(posts, roots)
-        pairs = leader_pairs(placed, turn, percent) if turn < LEADER_ROUNDS else cross_pairs(placed, percent)
+        pairs = leader_pairs(placed, turn, percent) if turn < LEADER_ROUNDS else cross_pairs(placed, sketches, percent)
         found = stored(linked(pairs, parts, percent), "links")
+        if turn < LEADER_ROUNDS and turn and found.isEmpty():
+            continue
         edges = found if edges is None else edges.union(found)
         roots = components(edges)
     same = rows.where("n_shingles > 0 and doc_id is not null").groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("first"))
