@@ -100,7 +100,7 @@ def test_recent_hourly_volume_is_newest_first(sales):
 
 def test_aggregates_combine_before_the_shuffle(spark):
     plan = plan_of(aggregates.store_windows(views.sales(views.events(spark, SF))))
-    assert plan.index("partial_sum") and plan.count("Exchange (") == 1 and "WholeStage" in plan or "HashAggregate" in plan
+    assert plan.count("partial_sum") > 0 and plan.count("- Exchange (") == 1
 
 
 # --- keys --------------------------------------------------------------------

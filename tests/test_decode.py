@@ -74,10 +74,15 @@ def test_reject_reasons(messages):
         b"\x00",
         framed(json.dumps(GOOD | {"store_id": None})),
         framed(json.dumps(GOOD | {"transaction_ts": "?"})),
+        b"\x07" + framed(json.dumps(GOOD))[1:],
     )
-    classified = decode.with_reject_reason(frame, keep=("n",))
+    classified = decode.with_reject_reason(frame, keep=("n", "value"))
     reasons = {r["n"]: r["reject_reason"] for r in decode.rejected(classified).collect()}
-    assert reasons == {1: "undecodable", 2: "undecodable", 3: "missing_required", 4: "missing_required"}
+    assert reasons == {
+        1: "undecodable", 2: "not_framed", 3: "missing_required", 4: "missing_required", 5: "not_framed",
+    }
+    kept = {r["n"]: (r["value"], r["transaction_ts_text"]) for r in decode.rejected(classified).collect()}
+    assert kept[2] == (b"\x00", None) and kept[4][1] == "?" and kept[1][0] == framed("junk")
     assert [r["n"] for r in decode.accepted(classified).collect()] == [0]
 
 

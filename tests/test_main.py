@@ -35,6 +35,10 @@ def test_stream_fact_and_checks(spark, tmp_path, capsys, upsert):
     assert fact_rows == [("a", 5.0), ("b", 5.0), ("c", 5.0)]
     assert rows(read_days(spark, f"{root}/agg", AGG_SCHEMA), "store_id", "total_revenue") == [("store_1", 5.0)]
     assert spark.read.schema("reject_reason string").parquet(f"{root}/rejects").count() == 2
+    for missing in ("--path", "--checkpoint"):
+        at_option = stream.index(missing)
+        with pytest.raises(SystemExit):
+            main(stream[:at_option] + stream[at_option + 2 :])
 
     checks = ["checks", "--raw", f"{root}/raw", "--as-of", "2024-01-01 00:40:00", "--fail"]
     assert main(checks) == 0

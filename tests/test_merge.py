@@ -7,10 +7,12 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tests.conftest import at, rows, sale
-from tillstream.operators.merge import expire_days, merge_into, merged, upsert_days, write_days
+from tillstream.operators import merge
+from tillstream.operators.merge import expire_days, finish_upsert, merge_into, merged, staging_of, upsert_days, write_days
 from tillstream.operators.selection import history, newer_than, recent
 from tillstream.plans.fact import refresh_fact
 from tillstream.sources import views
+from tillstream.sources.folders import Folders
 from tillstream.sources.readers import read_days, table_exists
 from tillstream.sources.schemas import DAY, FACT_SCHEMA, RAW_SCHEMA
 
@@ -71,18 +73,11 @@ def test_day_that_loses_its_last_row_is_emptied(spark, sales, table):
     assert read_days(spark, table, RAW_SCHEMA).where(F.col(DAY) == "2024-01-01").count() == 0
 
 
-def test_search_back_limits_the_days_looked_through(spark, sales, table):
-    upsert_days(spark, table, sales(sale("a", "2024-01-03 00:00")), RAW_SCHEMA, search_back=2)
-    assert len(contents(spark, table)) == 3
-    upsert_days(spark, table, sales(sale("a", "2024-01-09 00:00")), RAW_SCHEMA, search_back=2)
-    assert [r[0] for r in contents(spark, table)] == ["a", "a", "b", "c"]
-
-
 def test_rows_without_a_time_are_kept_and_found(spark, sales, table):
     upsert_days(spark, table, sales(sale("n", None), sale("m", None)), RAW_SCHEMA)
     upsert_days(spark, table, sales(sale("o", None)), RAW_SCHEMA)
     assert [r[0] for r in contents(spark, table)] == ["a", "b", "c", "m", "n", "o"]
-    upsert_days(spark, table, sales(*[sale(i, "2024-01-02 05:00") for i in "mno"]), RAW_SCHEMA, search_back=1)
+    upsert_days(spark, table, sales(*[sale(i, "2024-01-02 05:00") for i in "mno"]), RAW_SCHEMA)
     assert [r[0] for r in contents(spark, table)] == ["a", "b", "c", "m", "n", "o"]
     assert read_days(spark, table, RAW_SCHEMA).where(F.col(DAY).isNull()).count() == 0
 
@@ -131,7 +126,7 @@ def test_time_filters_prune_days(spark, sales, table):
 
 def test_expired_days_are_emptied_and_others_left_alone(spark, table):
     kept = set(glob.glob(f"{table}/{DAY}=2024-01-02/*.parquet"))
-    expire_days(spark, table, RAW_SCHEMA, "2024-01-12 12:00", keep=10)
+    assert expire_days(spark, table, "2024-01-12 12:00", keep=10) == [f"{DAY}=2024-01-01"]
     assert [r[0] for r in contents(spark, table)] == ["b", "c"]
     assert set(glob.glob(f"{table}/{DAY}=2024-01-02/*.parquet")) == kept
 
@@ -183,3 +178,105 @@ def test_merge_statement_needs_a_row_level_format(spark, sales, tmp_path):
             merge_into(sales(sale("a", "00:00")).select("transaction_id", "transaction_ts"), "plain_fact")
     finally:
         spark.sql("DROP TABLE plain_fact")
+
+
+def test_days_without_a_match_only_get_files_added(spark, sales, table):
+    before = {d: set(glob.glob(f"{table}/{DAY}={d}/*.parquet")) for d in ("2024-01-01", "2024-01-02")}
+    upsert_days(spark, table, sales(sale("x", "2024-01-01 05:00"), sale("y", "2024-01-02 05:00"), sale("y", "2024-01-02 06:00")), RAW_SCHEMA)
+    assert [r[0] for r in contents(spark, table)] == ["a", "b", "c", "x", "y"]
+    for day, files in before.items():
+        assert files < set(glob.glob(f"{table}/{DAY}={day}/*.parquet"))
+    assert not os.path.exists(staging_of(table))
+
+
+class Stop(Exception):
+    pass
+
+
+UPDATES = (
+    sale("a", "2024-01-01 09:00", price=7.0), sale("b", "2024-01-04 00:00", price=8.0), sale("c", "2024-01-04 00:00"),
+    sale("d", "2024-01-03 00:00"), sale("e", "2024-01-01 03:00"), sale("f", "2024-01-05 00:00"),
+)
+
+
+@pytest.mark.parametrize("step", range(9))
+def test_an_upsert_cut_short_anywhere_is_completed(spark, sales, table, monkeypatch, step):
+    """The run dies before its n-th change to a folder, in mid-swap too; then it is repeated."""
+    left = [step]
+
+    def dying(name):
+        plain = getattr(Folders, name)
+
+        def wrapped(self, *args):
+            if "_staged" in str(args[0]) and name == "drop" and left[0] > 99:
+                return plain(self, *args)
+            if left[0] == 0:
+                raise Stop
+            left[0] -= 1
+            return plain(self, *args)
+
+        return wrapped
+
+    with monkeypatch.context() as patch:
+        for name in ("drop", "_move"):
+            patch.setattr(Folders, name, dying(name))
+        try:
+            upsert_days(spark, table, sales(*UPDATES), RAW_SCHEMA)
+        except Stop:
+            pass
+    upsert_days(spark, table, sales(*UPDATES), RAW_SCHEMA)
+    wanted = [(r[0], r[4], r[6]) for r in UPDATES]
+    assert contents(spark, table) == sorted(wanted)
+    assert read_days(spark, table, RAW_SCHEMA).where(F.col(DAY) == "2024-01-02").count() == 0
+
+
+def test_a_fact_run_cut_short_loses_no_day(spark, sales, tmp_path, monkeypatch):
+    path = f"{tmp_path}/fact"
+    raw = sales(sale("a", "2024-01-01 00:00"), sale("b", "2024-01-01 01:00"))
+    refresh_fact(spark, raw, path)
+    more = raw.union(sales(sale("c", "2024-01-02 00:00"), sale("d", "2024-01-03 00:00"), sale("e", "2024-01-04 00:00")))
+
+    def only_the_newest(self, source, target):
+        if source.endswith("2024-01-04"):
+            plain(self, source, target)
+        else:
+            seen.append(source)
+
+    plain, seen = Folders.add_files, []
+    with monkeypatch.context() as patch:
+        patch.setattr(Folders, "add_files", only_the_newest)
+        drop = Folders.drop
+        patch.setattr(Folders, "drop", lambda self, p: drop(self, p) if "ready" not in p and not (seen and p.endswith("_staged")) else None)
+        refresh_fact(spark, more, path)
+    assert len(seen) == 2
+    refresh_fact(spark, more, path)
+    assert rows(read_days(spark, path, FACT_SCHEMA), "transaction_id") == [("a",), ("b",), ("c",), ("d",), ("e",)]
+
+
+@pytest.mark.parametrize("zone", ["Asia/Tokyo", "America/New_York"])
+def test_days_do_not_depend_on_the_session_zone(spark, sales, tmp_path, zone):
+    path = f"{tmp_path}/zoned"
+    frame = sales(sale("a", "2024-01-01 21:00"), sale("b", "2024-01-02 03:00"))
+    upsert_days(spark, path, frame, RAW_SCHEMA, keys_fix_day=True)
+    moment = lambda text: F.to_timestamp(F.lit(f"{text}Z"))
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        upsert_days(spark, path, read_days(spark, path, RAW_SCHEMA).select(*RAW_SCHEMA.names), RAW_SCHEMA, keys_fix_day=True)
+        table = read_days(spark, path, RAW_SCHEMA)
+        assert table.count() == 2
+        assert [r[0] for r in rows(recent(table, moment("2024-01-01 22:00:00"), "2 hours"), "transaction_id")] == ["a", "b"]
+        assert [r[0] for r in rows(history(table, moment("2024-01-02 00:00:00"), "1 day", "1 hour"), "transaction_id")] == ["a"]
+        old = table.where(F.col("transaction_id") == "a")
+        assert [r[0] for r in rows(newer_than(table, old, "1 hour"), "transaction_id")] == ["a", "b"]
+        assert [r[0] for r in rows(newer_than(table, old), "transaction_id")] == ["b"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_nothing_staged_is_nothing_to_finish(spark, table):
+    before = contents(spark, table)
+    finish_upsert(spark, table)
+    os.makedirs(f"{staging_of(table)}/{merge.WHOLE_DAYS}/{DAY}=2024-01-01")
+    finish_upsert(spark, table)
+    assert contents(spark, table) == before

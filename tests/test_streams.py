@@ -16,7 +16,7 @@ from tillstream.sources.schemas import AGG_SCHEMA, RAW_SCHEMA
 from tillstream.sources.settings import TopicSettings, fresh_folder, shared_folder
 from tillstream.streaming.dedup import deduplicate, newest_copies
 from tillstream.streaming.jobs import PARTITIONS, PROVIDER, SalesJob, start, state_settings
-from tillstream.streaming.progress import BatchMetrics, late_rows_dropped
+from tillstream.streaming.progress import BatchMetrics
 from tillstream.streaming.sinks import append_to, replace_batch, upsert_to
 
 NOW = {"availableNow": True}
@@ -92,10 +92,21 @@ def test_dedup_then_windows(feed):
 
 
 def test_late_row_is_dropped_once_the_watermark_has_settled(feed):
+    """The total is the listener's own; the query itself remembers two batches here."""
     fill_b(feed)
-    query = feed.run(deduplicate(feed.stream()))
+    spark = feed.stream().sparkSession
+    metrics = BatchMetrics()
+    spark.streams.addListener(metrics)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        query = feed.run(deduplicate(feed.stream()))
+        spark._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+        spark.streams.removeListener(metrics)
     assert rows(feed.table(), "transaction_id") == [("a",), ("c",), ("f",), ("z",)]
-    assert late_rows_dropped(query) == 1
+    assert metrics.late_rows_dropped(query.id) == 1
+    assert metrics.take(spark).count() >= 5 and metrics.rows == [] and metrics.late_rows_dropped(query.id) == 1
 
 
 def test_append_mode_emits_closed_windows_once(feed):
@@ -149,7 +160,7 @@ def test_replace_batch_survives_a_repeated_batch(feed):
 
 
 def test_connector_sink_names_its_table(sales):
-    append_to("any_table", "noop", {"option": "value"})(sales(sale("a", "00:00")), 0)
+    append_to("any_table", "noop", {"option": "value"}, kind="table")(sales(sale("a", "00:00")), 0)
 
 
 def test_upsert_sink_is_repeatable_across_checkpoints(spark, feed):
@@ -218,28 +229,25 @@ def test_job_runs_three_queries_with_own_checkpoints(spark, tmp_path):
     ]
     spark.createDataFrame([(m,) for m in messages], "value binary").write.parquet(f"{tmp_path}/in")
     metrics = BatchMetrics()
-    spark.streams.addListener(metrics)
     job = SalesJob(
         messages=stream_files(spark, f"{tmp_path}/in", "value binary"),
         checkpoint=f"{tmp_path}/cp",
         write_raw=replace_batch(f"{tmp_path}/raw"),
         write_agg=append_to(f"{tmp_path}/agg"),
-        write_rejects=append_to(f"{tmp_path}/rejects"),
+        write_rejects=replace_batch(f"{tmp_path}/rejects"),
         trigger=NOW,
         partitions=2,
+        metrics=metrics,
     )
-    try:
-        job.run()
-        spark._jsc.sc().listenerBus().waitUntilEmpty()
-    finally:
-        spark.streams.removeListener(metrics)
+    job.run()
     assert sorted(os.listdir(f"{tmp_path}/cp")) == ["agg", "raw", "rejects"]
     raw = spark.read.schema("transaction_id string").parquet(f"{tmp_path}/raw")
     assert rows(raw, "transaction_id") == [("a",), ("b",), ("c",)]
     agg = spark.read.schema(AGG_SCHEMA).parquet(f"{tmp_path}/agg")
     assert rows(agg, "store_id", "total_revenue") == [("s1", 4.0)]
-    rejects = spark.read.schema("transaction_id string, reject_reason string").parquet(f"{tmp_path}/rejects")
-    assert rows(rejects) == [("c", "missing_required"), (None, "undecodable")]
+    rejects = spark.read.schema("transaction_id string, reject_reason string, value binary").parquet(f"{tmp_path}/rejects")
+    kept = {r["reject_reason"]: (r["transaction_id"], bytes(r["value"])) for r in rejects.collect()}
+    assert kept == {"missing_required": ("c", bytes(messages[4])), "not_framed": (None, b"\x00")}
     frame = metrics.frame(spark)
     assert frame.select("query_id").distinct().count() == 3
     assert frame.agg(F.sum("input_rows")).first()[0] == 18

@@ -11,6 +11,7 @@ from __future__ import annotations
 import argparse
 import sys
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import SparkSession
 
@@ -18,9 +19,10 @@ from tillstream.operators.quality import QualityError, freshness, run_checks
 from tillstream.plans.fact import refresh_fact
 from tillstream.sources.readers import read_days, read_events
 from tillstream.sources.schemas import AGG_SCHEMA, RAW_SCHEMA
-from tillstream.sources.settings import TopicSettings, shared_folder
+from tillstream.sources.settings import TopicSettings
 from tillstream.streaming.jobs import SalesJob
-from tillstream.streaming.sinks import append_to, replace_batch, upsert_to
+from tillstream.streaming.progress import BatchMetrics, log_line
+from tillstream.streaming.sinks import replace_batch, upsert_to
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -35,15 +37,22 @@ def _parser() -> argparse.ArgumentParser:
     stream.add_argument("--agg", required=True)
     stream.add_argument("--upsert-agg", action="store_true", help="merge windows by key; survives a lost checkpoint")
     stream.add_argument("--rejects")
-    stream.add_argument("--checkpoint")
-    stream.add_argument("--dedup", choices=["global", "within_watermark"], default="global")
+    stream.add_argument("--checkpoint", help="folder of the queries' progress; or set CHECKPOINT_DIR")
+    stream.add_argument(
+        "--dedup", choices=["global", "within_watermark"], default="global",
+        help="global state grows for ever; in production take within_watermark, and the fact merge for what comes later",
+    )
+    stream.add_argument("--delay", default="10 minutes", help="how late a row may be")
+    stream.add_argument("--state-partitions", type=int, help="frozen by the first start")
+    stream.add_argument("--max-offsets", type=int, help="bound of a micro-batch; or KAFKA_MAX_OFFSETS_PER_TRIGGER")
+    stream.add_argument("--min-partitions", type=int, help="tasks that read the topic; or KAFKA_MIN_PARTITIONS")
+    stream.add_argument("--fail-on-data-loss", action="store_true", help="stop where offsets are gone from the topic")
     stream.add_argument("--trigger", help="processing time such as '30 seconds', or 'available-now'")
 
     fact = commands.add_parser("fact", help="merge new raw rows into the fact table")
     fact.add_argument("--raw", required=True)
     fact.add_argument("--fact", required=True)
     fact.add_argument("--lookback")
-    fact.add_argument("--search-back", type=int, metavar="DAYS")
     fact.add_argument("--full-refresh", action="store_true")
 
     checks = commands.add_parser("checks", help="print PASS or the failing checks")
@@ -60,9 +69,14 @@ def _trigger(text: str | None) -> dict | None:
 
 
 def _stream(spark: SparkSession, args: argparse.Namespace) -> int:
-    settings = TopicSettings.from_env()
+    given = {"max_offsets_per_trigger": args.max_offsets, "min_partitions": args.min_partitions, "fail_on_data_loss": args.fail_on_data_loss}
+    settings = replace(TopicSettings.from_env(), **{k: v for k, v in given.items() if v})
+    if args.source != "kafka" and not args.path:
+        raise SystemExit(f"--source {args.source} needs --path")
+    checkpoint = args.checkpoint or settings.checkpoint_dir
+    if not checkpoint:
+        raise SystemExit("name a checkpoint: --checkpoint or CHECKPOINT_DIR")
     options = {"settings": settings} if args.source == "kafka" else {"path": args.path, "schema": "value binary"}
-    checkpoint = args.checkpoint or settings.checkpoint_dir or f"{shared_folder(spark)}/tillstream"
     if args.upsert_agg:
         write_agg = upsert_to(spark, args.agg, AGG_SCHEMA, ("store_id", "window_start"), "window_start", True)
     else:
@@ -72,17 +86,20 @@ def _stream(spark: SparkSession, args: argparse.Namespace) -> int:
         checkpoint=checkpoint,
         write_raw=replace_batch(args.raw),
         write_agg=write_agg,
-        write_rejects=append_to(args.rejects) if args.rejects else None,
+        write_rejects=replace_batch(args.rejects) if args.rejects else None,
         fmt=args.payload,
         dedup_mode=args.dedup,
+        delay=args.delay,
+        partitions=args.state_partitions,
         trigger=_trigger(args.trigger),
+        metrics=BatchMetrics(log=lambda row: print(log_line(row), file=sys.stderr, flush=True)),
     ).run()
     return 0
 
 
 def _fact(spark: SparkSession, args: argparse.Namespace) -> int:
     raw = read_days(spark, args.raw, RAW_SCHEMA)
-    refresh_fact(spark, raw, args.fact, args.lookback, args.full_refresh, args.search_back)
+    refresh_fact(spark, raw, args.fact, args.lookback, args.full_refresh)
     return 0
 
 

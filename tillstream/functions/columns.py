@@ -47,8 +47,13 @@ def pass_fail(passes: Column) -> Column:
     return F.when(passes, "PASS").otherwise("FAIL")
 
 
+def utc_day(time: Column) -> Column:
+    """The day of a moment in UTC, whatever the session's zone: tables and bounds agree on it."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(time) / 86400).cast("int"))
+
+
 def day_of(column: str) -> Column:
-    return F.to_date(F.col(column))
+    return utc_day(F.col(column).cast("timestamp"))
 
 
 def plain_number(column: Column, scale: int) -> Column:

@@ -89,15 +89,21 @@ def parse_and_cast(frame: DataFrame, fmt: str = "json", keep: Sequence[str] = ()
     return frame.transform(unpack, fmt, keep).transform(drop_undecodable).transform(parse_time)
 
 
-def with_reject_reason(frame: DataFrame, fmt: str = "json", keep: Sequence[str] = ()) -> DataFrame:
-    """Every message, decoded, with why it may not be stored (NULL when it may)."""
-    unpacked = frame.transform(unpack, fmt, keep).withColumn("reject_reason", F.when(is_undecodable(), "undecodable"))
+def with_reject_reason(frame: DataFrame, fmt: str = "json", keep: Sequence[str] = (), value: str = "value") -> DataFrame:
+    """Every message, decoded, with why it may not be stored (NULL when it may).
+
+    `transaction_ts_text` is the time as it was sent, for times that cannot be read.
+    """
+    framed = frame.withColumn("_framed", F.coalesce(is_framed(value), F.lit(False)))
+    unpacked = framed.transform(unpack, fmt, ["_framed", *keep], value).withColumn("transaction_ts_text", F.col("transaction_ts"))
+    damage = F.when(~F.col("_framed"), "not_framed").when(is_undecodable(), "undecodable")
     missing = F.when(any_null(REQUIRED), "missing_required")
-    return parse_time(unpacked).withColumn("reject_reason", F.coalesce("reject_reason", missing))
+    parsed = parse_time(unpacked.withColumn("reject_reason", damage)).drop("_framed")
+    return parsed.withColumn("reject_reason", F.coalesce("reject_reason", missing))
 
 
 def accepted(classified: DataFrame) -> DataFrame:
-    return classified.where(F.col("reject_reason").isNull()).drop("reject_reason")
+    return classified.where(F.col("reject_reason").isNull()).drop("reject_reason", "transaction_ts_text")
 
 
 def rejected(classified: DataFrame) -> DataFrame:

@@ -1,9 +1,9 @@
 """Upserts by key.
 
 `merged` is the relational form: a plan from target and updates to the new
-table. `upsert_days` applies it to a Parquet folder partitioned by day and
-rewrites only the days it touches. `merge_into` hands the work to a table
-format with row-level operations.
+table. `upsert_days` applies it to a Parquet folder partitioned by day: days that
+hold an old row of an updated key are rewritten, others only get files added.
+`merge_into` hands the work to a table format with row-level operations.
 """
 
 from __future__ import annotations
@@ -16,8 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillstream.functions.columns import AsOf, ago, day_of
+from tillstream.functions.columns import AsOf, ago, day_of, utc_day
 from tillstream.operators.keys import KEY, first_occurrence, new_keys
+from tillstream.sources.folders import Folders
 from tillstream.sources.readers import read_days, table_exists
 from tillstream.sources.schemas import DAY, TIME
 
@@ -69,6 +70,45 @@ def _on_days(frame: DataFrame, days: set) -> DataFrame:
     return frame.where(condition | F.col(DAY).isNull() if None in days else condition)
 
 
+# Fixed names of the folders and the mark inside a table's staging folder.
+UPDATES, WHOLE_DAYS, MORE_ROWS, READY = "updates", "days", "more", "ready"
+
+
+def staging_of(path: str) -> str:
+    return f"{path.rstrip('/')}_staged"
+
+
+def finish_upsert(spark: SparkSession, path: str) -> None:
+    """Complete an upsert that was cut short after its staging was ready.
+
+    The mark says what every staged day is for, and each step can be repeated, so
+    it does not matter where the earlier run stopped. Staging without a mark was
+    never begun to be used.
+    """
+    staging = staging_of(path)
+    folders = Folders(spark, path)
+    if not folders.exists(f"{staging}/{READY}"):
+        return
+    for line in folders.read_lines(f"{staging}/{READY}"):
+        action, _, day = line.partition(" ")
+        if action == "replace":
+            folders.replace(f"{staging}/{WHOLE_DAYS}/{day}", f"{path}/{day}")
+        elif action == "add":
+            folders.add_files(f"{staging}/{MORE_ROWS}/{day}", f"{path}/{day}")
+        elif action == "drop":
+            folders.drop(f"{path}/{day}")
+    folders.drop(f"{staging}/{READY}")
+    folders.drop(staging)
+
+
+def day_folder(day) -> str:
+    return f"{DAY}={day or NO_DAY}"
+
+
+def day_folders(folders: Folders, path: str) -> list[str]:
+    return [n for n in folders.names(path) if n.startswith(f"{DAY}=")]
+
+
 def upsert_days(
     spark: SparkSession,
     path: str,
@@ -77,65 +117,61 @@ def upsert_days(
     keys: Sequence[str] = (KEY,),
     time: str = TIME,
     keys_fix_day: bool = False,
-    search_back: int | None = None,
 ) -> None:
     """Upsert into a day-partitioned Parquet table; applying it twice changes nothing.
 
-    The first update of each key is written next to the table, so the updates
-    are evaluated once and stay fixed while the table changes. Then only days
-    that hold updates, or old rows of updated keys, are read and rewritten.
+    The first update of each key is written next to the table, so the updates are
+    evaluated once. Days that hold an old row of an updated key are staged whole,
+    for other days only the new rows; then a mark is set and the table is changed
+    day by day. A run that is cut short before the mark has changed nothing; after
+    it, the next run (or `finish_upsert`) completes it first. Readers can meanwhile
+    see some days changed and others not. One writer at a time.
 
-    Finding old rows reads the key column of the whole table. That search is
-    not needed when the key fixes the day (`keys_fix_day`), and `search_back`
-    limits it to so many days before the oldest update, for sources that never
-    correct older rows. A run that was cut short is repaired by repeating it.
+    Finding old rows reads the key column of the whole table, or of the days of the
+    updates when the key fixes the day (`keys_fix_day`).
     """
-    if not table_exists(spark, path):
-        write_days(first_occurrence(updates.select(*schema.names), keys, (time,)), path, time)
-        return
-    staged = f"{path.rstrip('/')}_staged"
-    first_occurrence(updates.select(*schema.names), keys, (time,)).transform(with_day, time).write.mode(
-        "overwrite"
-    ).parquet(staged)
-    first = read_days(spark, staged, schema)
-    target = read_days(spark, path, schema)
-    changed = first.select(*keys)
+    finish_upsert(spark, path)
+    staging, folders = staging_of(path), Folders(spark, path)
+    folders.drop(staging)
+    dated = first_occurrence(updates.select(*schema.names), keys, (time,)).transform(with_day, time)
+    dated.write.parquet(f"{staging}/{UPDATES}")
+    first = read_days(spark, f"{staging}/{UPDATES}", schema)
     landing = _days(first)
     if not landing:
+        folders.drop(staging)
         return
-    leaving = set()
-    if not keys_fix_day:
-        searched = target
-        if search_back is not None:
-            oldest = first.select(F.date_sub(F.min(DAY), search_back)).scalar()
-            searched = target.where((F.col(DAY) >= oldest) | F.col(DAY).isNull())
+    leaving, kept = set(), None
+    if table_exists(spark, path):
+        target = read_days(spark, path, schema)
+        changed = first.select(*keys)
+        searched = _on_days(target, landing) if keys_fix_day else target
         leaving = _days(searched.join(changed, list(keys), "left_semi"))
-    kept = new_keys(_on_days(target, landing | leaving), changed, keys)
-    write_days(kept.unionByName(first), path, time, partitionOverwriteMode="dynamic")
-
-    # A day that lost all its rows is not part of the write above.
-    only_left = leaving - landing
-    if only_left:
-        rewritten = read_days(spark, path, schema)
-        rest = new_keys(_on_days(rewritten, only_left), changed, keys)
-        _empty(rewritten, path, only_left - _days(rest))
-
-
-def expire_days(
-    spark: SparkSession, path: str, schema: T.StructType, as_of: AsOf = None, keep: int = 90
-) -> None:
-    """Retention on a day-partitioned table: empty the days before the last `keep`.
-
-    Nothing that stays is read or rewritten.
+        kept = new_keys(_on_days(target, leaving), changed, keys).select(*schema.names, DAY) if leaving else None
+    steps = []
+    if leaving:
+        write_days(kept.unionByName(_on_days(first, leaving)), f"{staging}/{WHOLE_DAYS}", time)
+        staged = set(day_folders(folders, f"{staging}/{WHOLE_DAYS}"))
+        wanted = {day_folder(d) for d in leaving}
+        steps += [f"replace {d}" for d in sorted(staged)] + [f"drop {d}" for d in sorted(wanted - staged)]
+    if landing - leaving:
+        write_days(_on_days(first, landing - leaving), f"{staging}/{MORE_ROWS}", time)
+        steps += [f"add {d}" for d in day_folders(folders, f"{staging}/{MORE_ROWS}")]
+    folders.write_lines(f"{staging}/{READY}", steps)
+    finish_upsert(spark, path)
+
+
+def expire_days(spark: SparkSession, path: str, as_of: AsOf = None, keep: int = 90) -> list[str]:
+    """Retention: drop the folders of days before the last `keep`, and name them.
+
+    Holds for every layout whose first level is the day. Only that level is listed;
+    no file is read or rewritten, and rows without a time stay.
     """
-    table = read_days(spark, path, schema)
-    _empty(table, path, _days(table.where(F.col(DAY) < F.to_date(ago(as_of, f"{keep} days")))))
-
-
-def _empty(table: DataFrame, path: str, days: set) -> None:
-    for day in days:
-        folder = f"{path}/{DAY}={day or NO_DAY}"
-        table.limit(0).drop(DAY).write.mode("overwrite").parquet(folder)
+    bound = str(spark.range(1).select(utc_day(ago(as_of, f"{keep} days"))).first()[0])
+    folders = Folders(spark, path)
+    gone = [d for d in day_folders(folders, path) if d != day_folder(None) and d.partition("=")[2] < bound]
+    for day in gone:
+        folders.drop(f"{path}/{day}")
+    return gone
 
 
 def merge_into(updates: DataFrame, table: str, keys: Sequence[str] = (KEY,), order_by: Sequence[str] = (TIME,)) -> None:

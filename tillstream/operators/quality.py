@@ -239,3 +239,12 @@ def run_checks(
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
+
+
+def reject_check(rejects: DataFrame) -> DataFrame:
+    """One row: whether any message was rejected, how many, and for which reason."""
+    reason = F.col("reject_reason")
+    counts = [F.count_if(reason == r).alias(r) for r in ("not_framed", "undecodable", "missing_required")]
+    return rejects.agg(F.count(F.lit(1)).alias("reject_count"), *counts).select(
+        pass_fail(F.col("reject_count") == 0).alias("reject_check_status"), "reject_count", "not_framed", "undecodable", "missing_required"
+    )

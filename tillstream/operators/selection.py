@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillstream.functions.columns import AsOf, ago, any_null
+from tillstream.functions.columns import AsOf, ago, any_null, utc_day
 from tillstream.sources.readers import high_water
 from tillstream.sources.schemas import DAY, REQUIRED, TIME
 
@@ -21,7 +21,7 @@ _BEFORE_ALL = "0001-01-01 00:00:00"
 def since(frame: DataFrame, bound: Column) -> DataFrame:
     """Rows at or after `bound`."""
     if DAY in frame.columns:
-        frame = frame.where(F.col(DAY) >= F.to_date(bound))
+        frame = frame.where(F.col(DAY) >= utc_day(bound))
     return frame.where(F.col(TIME) >= bound)
 
 
@@ -29,7 +29,7 @@ def history(frame: DataFrame, as_of: AsOf = None, start: str = "7 days", end: st
     """Rows in [as_of - start, as_of - end)."""
     upper = ago(as_of, end)
     if DAY in frame.columns:
-        frame = frame.where(F.col(DAY) <= F.to_date(upper))
+        frame = frame.where(F.col(DAY) <= utc_day(upper))
     return since(frame, ago(as_of, start)).where(F.col(TIME) < upper)
 
 
@@ -58,5 +58,5 @@ def newer_than(frame: DataFrame, target: DataFrame, lookback: str | None = None)
         F.coalesce(bound, F.lit(_BEFORE_ALL).cast("timestamp"))
     )
     if DAY in frame.columns:
-        frame = frame.where(F.col(DAY) >= newest.select(F.to_date(newest.columns[0])).scalar())
+        frame = frame.where(F.col(DAY) >= newest.select(utc_day(F.col(newest.columns[0]))).scalar())
     return frame.where(F.col(TIME) > newest.scalar())

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillstream.functions.columns import line_revenue
 from tillstream.operators.keys import KEY, first_occurrence
-from tillstream.operators.merge import merged, upsert_days, write_days
+from tillstream.operators.merge import finish_upsert, merged, upsert_days, write_days
 from tillstream.operators.selection import newer_than
 from tillstream.sources.readers import read_days, table_exists
 from tillstream.sources.schemas import FACT_SCHEMA, SALE_COLUMNS
@@ -35,16 +35,17 @@ def refresh_fact(
     path: str,
     lookback: str | None = None,
     full_refresh: bool = False,
-    search_back: int | None = None,
 ) -> None:
     """Run one fact build against a day-partitioned Parquet table.
 
     The newest loaded time comes from the newest partition, the scan of `raw`
-    is limited by it, and only the days concerned are rewritten.
+    is limited by it, and only the days concerned are changed. A run that was cut
+    short is completed before that time is taken, so its other days are not skipped.
     """
+    finish_upsert(spark, path)
     if full_refresh or not table_exists(spark, path):
         write_days(build_fact(raw), path)
         return
     target = read_days(spark, path, FACT_SCHEMA)
     updates = with_revenue(newer_than(raw, target, lookback))
-    upsert_days(spark, path, updates, FACT_SCHEMA, search_back=search_back)
+    upsert_days(spark, path, updates, FACT_SCHEMA)

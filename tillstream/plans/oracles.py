@@ -370,7 +370,7 @@ FROM (SELECT *, NOT ({SHORT} OR {NOT_JSON}) AS ok FROM sales)""",
 FROM sales WHERE NOT ({SHORT} OR {NOT_JSON})""",
         ),
         "quarantine_rows": (
-            f"""SELECT event_id, CASE WHEN {SHORT} OR {NOT_JSON} THEN 'undecodable' ELSE 'missing_required' END
+            f"""SELECT event_id, CASE WHEN {SHORT} THEN 'not_framed' WHEN {NOT_JSON} THEN 'undecodable' ELSE 'missing_required' END
          AS reject_reason
 FROM events WHERE {SHORT} OR {NOT_JSON} OR {NO_STORE} OR {NO_TIME}"""
         ),
@@ -520,11 +520,17 @@ FROM (SELECT coalesce(a.hr, b.hr) AS hr, coalesce(a.n, 0) AS source_rows, coales
         "stream_agg_5min": _with(SALES, _closed_windows("sales")),
         "stream_raw_append": _with(ACCEPTED, f"SELECT {COLS} FROM accepted"),
         "stream_job_windows": _with(ACCEPTED, _closed_windows("accepted")),
+        "dq_rejects": f"""
+SELECT CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END AS reject_check_status, count(*) AS reject_count,
+       count(*) FILTER ({SHORT}) AS not_framed, count(*) FILTER (NOT ({SHORT}) AND {NOT_JSON}) AS undecodable,
+       count(*) FILTER (NOT ({SHORT}) AND NOT ({NOT_JSON})) AS missing_required
+FROM events WHERE {SHORT} OR {NOT_JSON} OR {NO_STORE} OR {NO_TIME}""",
         "stream_rejects": (
-            f"""SELECT event_id, CASE WHEN {SHORT} OR {NOT_JSON} THEN 'undecodable' ELSE 'missing_required' END
+            f"""SELECT event_id, CASE WHEN {SHORT} THEN 'not_framed' WHEN {NOT_JSON} THEN 'undecodable' ELSE 'missing_required' END
          AS reject_reason
 FROM events WHERE {SHORT} OR {NOT_JSON} OR {NO_STORE} OR {NO_TIME}"""
         ),
+        "retention_table": _with(SALES, f"SELECT {COLS} FROM sales WHERE transaction_ts >= DATE '2024-01-11'"),
         "sink_upsert_agg": _with(SALES, _closed_windows("sales")),
         "sink_upsert_raw": _with(SALES, f"SELECT {COLS} FROM sales"),
     }

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from tillstream.functions.columns import line_revenue
 from tillstream.operators import aggregates, column_tests, decode, keys, quality, reports, selection
 from tillstream.operators.lateness import late_rows
-from tillstream.operators.merge import merged
+from tillstream.operators.merge import expire_days, merged
 from tillstream.operators.reconcile import reconcile_hourly
 from tillstream.plans.fact import build_fact, refresh_fact, with_revenue
 from tillstream.sources import views
@@ -233,7 +233,7 @@ def stream_raw_append(spark: SparkSession, sf_dir: str) -> DataFrame:
         checkpoint=f"{folder}/checkpoint",
         write_raw=replace_batch(f"{folder}/raw"),
         write_agg=replace_batch(f"{folder}/agg", "window_start"),
-        write_rejects=append_to(f"{folder}/rejects"),
+        write_rejects=replace_batch(f"{folder}/rejects"),
         trigger=AVAILABLE_NOW,
         partitions=_state_partitions(spark),
     ).run()
@@ -252,6 +252,24 @@ def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("event_id", "reject_reason")
 
 
+def dq_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages through the job's reject sink, then the check over the stored table."""
+    folder = fresh_folder(spark, "rejects-table")
+    messages = views.wire(views.events_stream(spark, sf_dir)).select("value")
+    job = SalesJob(messages, checkpoint="", write_raw=None, write_agg=None)
+    start(job.rejects(), replace_batch(f"{folder}/t"), f"{folder}/checkpoint", AVAILABLE_NOW).awaitTermination()
+    return quality.reject_check(spark.read.schema("reject_reason string, value binary").parquet(f"{folder}/t"))
+
+
+def retention_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales streamed into the raw layout, old days dropped from it, and read back."""
+    folder = fresh_folder(spark, "retention")
+    sales = _sale_columns(views.sales(views.events_stream(spark, sf_dir)))
+    start(sales, replace_batch(f"{folder}/raw"), f"{folder}/checkpoint", AVAILABLE_NOW).awaitTermination()
+    expire_days(spark, f"{folder}/raw", AS_OF, 20)
+    return read_days(spark, f"{folder}/raw", RAW_SCHEMA).select(*SALE_COLUMNS)
+
+
 def _upsert_twice(view, build, schema: T.StructType, by: tuple[str, ...], time: str, fixed: bool, label: str) -> Query:
     """Fill a table through the upsert sink, then replay all input into it from
     an empty checkpoint."""
@@ -418,6 +436,8 @@ def _definitions() -> dict[str, Query]:
         "stream_raw_append": stream_raw_append,
         "stream_job_windows": lambda spark, sf_dir: window_money(stream_job_windows(spark, sf_dir)),
         "stream_rejects": stream_rejects,
+        "dq_rejects": dq_rejects,
+        "retention_table": retention_table,
         "sink_upsert_agg": lambda spark, sf_dir: window_money(
             _upsert_twice(
                 views.sales,

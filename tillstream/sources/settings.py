@@ -16,15 +16,19 @@ class TopicSettings:
     """Where events come from; `from_env` reads the usual variables.
 
     `max_offsets_per_trigger` bounds a micro-batch; `min_partitions` reads a
-    topic of few partitions with more tasks than it has partitions.
+    topic of few partitions with more tasks than it has partitions. Without
+    `fail_on_data_loss` a stream goes on where offsets are gone from the topic.
     """
 
+    # The first four variables, the topic and the first two defaults.
+
     brokers: str | None = None
     topic: str = "retail_sales"
     starting_offsets: str = "latest"
     checkpoint_dir: str | None = None
     max_offsets_per_trigger: int | None = None
     min_partitions: int | None = None
+    fail_on_data_loss: bool = False
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] = os.environ) -> TopicSettings:
@@ -33,6 +37,9 @@ class TopicSettings:
             topic=env.get("KAFKA_TOPIC", cls.topic),
             starting_offsets=env.get("KAFKA_STARTING_OFFSETS", cls.starting_offsets),
             checkpoint_dir=env.get("CHECKPOINT_DIR"),
+            max_offsets_per_trigger=int(env["KAFKA_MAX_OFFSETS_PER_TRIGGER"]) if env.get("KAFKA_MAX_OFFSETS_PER_TRIGGER") else None,
+            min_partitions=int(env["KAFKA_MIN_PARTITIONS"]) if env.get("KAFKA_MIN_PARTITIONS") else None,
+            fail_on_data_loss=env.get("KAFKA_FAIL_ON_DATA_LOSS", "false").lower() == "true",
         )
 
     def reader_options(self) -> dict[str, str]:
@@ -42,7 +49,7 @@ class TopicSettings:
             "kafka.bootstrap.servers": self.brokers,
             "subscribe": self.topic,
             "startingOffsets": self.starting_offsets,
-            "failOnDataLoss": "false",
+            "failOnDataLoss": str(self.fail_on_data_loss).lower(),
         }
         if self.max_offsets_per_trigger:
             options["maxOffsetsPerTrigger"] = str(self.max_offsets_per_trigger)

@@ -16,12 +16,15 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tillstream.operators.aggregates import store_windows
 from tillstream.operators.decode import accepted, rejected, with_reject_reason
+from tillstream.sources.schemas import SALE_COLUMNS
 from tillstream.streaming.dedup import DELAY, deduplicate
+from tillstream.streaming.progress import BatchMetrics
 from tillstream.streaming.sinks import BatchWriter
 
+MESSAGE_COLUMNS = ("value", "topic", "partition", "offset", "timestamp")
+
 PARTITIONS = "spark.sql.shuffle.partitions"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-IN_MEMORY = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 CHANGELOG = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
 
@@ -35,7 +38,7 @@ def state_settings(spark: SparkSession, partitions: int | None = None) -> Iterat
     frozen by the first start.
     """
     wanted = {}
-    if spark.conf.get(PROVIDER, IN_MEMORY) == IN_MEMORY:
+    if spark.conf.get(PROVIDER, None) is None:
         wanted = {PROVIDER: ROCKSDB, CHANGELOG: "true"}
     if partitions:
         wanted[PARTITIONS] = str(partitions)
@@ -73,7 +76,11 @@ def start(
 
 @dataclass
 class SalesJob:
-    """The three queries over one stream of framed messages."""
+    """The three queries over one stream of framed messages.
+
+    Rejects keep the message and, where the source has them, its topic, partition,
+    offset and time. `metrics` listens while `run` is at work.
+    """
 
     messages: DataFrame
     checkpoint: str
@@ -87,16 +94,17 @@ class SalesJob:
     combine: bool = True
     trigger: dict | None = None
     partitions: int | None = None
+    metrics: BatchMetrics | None = None
     queries: list[StreamingQuery] = field(default_factory=list)
 
     def classified(self) -> DataFrame:
-        return with_reject_reason(self.messages, self.fmt)
+        return with_reject_reason(self.messages, self.fmt, [c for c in MESSAGE_COLUMNS if c in self.messages.columns])
 
     def raw(self) -> DataFrame:
         """Storable rows, once each, with the types of the raw table. Rejects
         leave before the deduplication, so a damaged message cannot shadow a
         good one with its key."""
-        storable = accepted(self.classified()).withColumn("price", F.col("price").cast("double"))
+        storable = accepted(self.classified()).select(*SALE_COLUMNS).withColumn("price", F.col("price").cast("double"))
         return deduplicate(
             storable, delay=self.delay, mode=self.dedup_mode, combine=self.combine
         )
@@ -120,9 +128,16 @@ class SalesJob:
     def run(self) -> None:
         """Start, then block until a query ends; with availableNow, until all do."""
         spark: SparkSession = self.messages.sparkSession
-        self.start()
-        if self.trigger and self.trigger.get("availableNow"):
-            for query in self.queries:
-                query.awaitTermination()
-        else:
-            spark.streams.awaitAnyTermination()
+        if self.metrics:
+            spark.streams.addListener(self.metrics)
+        try:
+            self.start()
+            if self.trigger and self.trigger.get("availableNow"):
+                for query in self.queries:
+                    query.awaitTermination()
+            else:
+                spark.streams.awaitAnyTermination()
+        finally:
+            if self.metrics:
+                spark._jsc.sc().listenerBus().waitUntilEmpty()
+                spark.streams.removeListener(self.metrics)

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import json
-from collections import deque
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQueryListener
@@ -31,38 +30,53 @@ def progress_row(progress) -> tuple:
 
 
 class BatchMetrics(StreamingQueryListener):
-    """Keeps the newest `keep` batch records; add with `spark.streams.addListener`.
+    """Records of all batches; add with `spark.streams.addListener` or give it to a job.
 
-    Counts come from the engine's own progress events, so no batch is counted
-    by an extra action.
+    Counts come from the engine's own progress events, so no batch is counted by an
+    extra action. Totals per query run from the listener's start and are never cut.
+    Records wait in memory for `frame` or `take`; a long job hands them on with `take`
+    or a `log`, called with each record as it comes.
     """
 
-    def __init__(self, keep: int = 10_000) -> None:
-        self.rows: deque[tuple] = deque(maxlen=keep)
+    def __init__(self, log: Callable[[tuple], None] | None = None) -> None:
+        self.rows: list[tuple] = []
+        self.late: dict[str, int] = {}
+        self.log = log
 
     def onQueryStarted(self, event) -> None:
         pass
 
     def onQueryProgress(self, event) -> None:
-        self.rows.append(progress_row(event.progress))
+        self._add(progress_row(event.progress))
 
     def onQueryIdle(self, event) -> None:
         pass
 
     def onQueryTerminated(self, event) -> None:
         if event.exception:
-            self.rows.append((str(event.id), None, None, None, None, None, None, None, None, event.exception))
+            self._add((str(event.id), None, None, None, None, None, None, None, None, event.exception))
+
+    def _add(self, row: tuple) -> None:
+        self.late[row[0]] = self.late.get(row[0], 0) + (row[7] or 0)
+        if self.log:
+            self.log(row)
+        else:
+            self.rows.append(row)
+
+    def late_rows_dropped(self, query_id: str) -> int:
+        """Rows the query's stateful operators dropped behind the watermark since the listener was added."""
+        return self.late.get(str(query_id), 0)
+
+    def take(self, spark: SparkSession) -> DataFrame:
+        """The records so far, which the listener then forgets; totals stay."""
+        rows, self.rows = self.rows, []
+        return spark.createDataFrame(rows, METRICS_SCHEMA)
 
     def frame(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(list(self.rows), METRICS_SCHEMA)
 
 
-def late_rows_dropped(query) -> int:
-    """Rows the query's stateful operators dropped behind the watermark so far."""
-    return sum(
-        operator["numRowsDroppedByWatermark"]
-        for progress in query.recentProgress
-        for operator in json.loads(progress.json if isinstance(progress.json, str) else progress.json())[
-            "stateOperators"
-        ]
-    )
+def log_line(row: tuple) -> str:
+    """One line for each batch: query, number, rows, milliseconds, late rows, error."""
+    names = ("query", "name", "batch", "started", "rows", "rows_per_second", "ms", "late", "state", "error")
+    return " ".join(f"{n}={v}" for n, v in zip(names, row) if v is not None)

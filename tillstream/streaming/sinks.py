@@ -6,9 +6,11 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillstream.operators.merge import merge_into, upsert_days, with_day
+from tillstream.sources.folders import Folders
 from tillstream.sources.schemas import DAY, TIME
 
 BatchWriter = Callable[[DataFrame, int], None]
@@ -17,33 +19,49 @@ QUERY_ID = "sql.streaming.queryId"
 
 
 def append_to(
-    target: str, fmt: str = "parquet", options: Mapping[str, str] | None = None
+    target: str, fmt: str = "parquet", options: Mapping[str, str] | None = None, kind: str = "path"
 ) -> BatchWriter:
-    """Plain append: a path for file formats, a table for connectors (`dbtable`).
+    """Plain append to a `path`, a connector's `table` (its `dbtable` option) or a `catalog` table.
 
     A batch that is run again after a crash is written again.
     """
+    if kind not in ("path", "table", "catalog"):
+        raise ValueError(f"unknown kind of target {kind!r}")
+
     def write(batch: DataFrame, batch_id: int) -> None:
         writer = batch.write.format(fmt).options(**(options or {})).mode("append")
-        if fmt in ("parquet", "orc", "json", "csv"):
+        if kind == "path":
             writer.save(target)
-        else:
+        elif kind == "table":
             writer.option("dbtable", target).save()
+        else:
+            writer.saveAsTable(target)
 
     return write
 
 
+BATCH = "batch"
+BEGUN = "_batches"
+
+
 def replace_batch(path: str, time: str = TIME) -> BatchWriter:
-    """Append that survives a repeated batch: each batch owns a folder.
+    """Append that survives a repeated batch: each batch owns a folder in every day it has rows for.
 
-    The folder is named after the query (kept in the checkpoint) and the batch,
-    so a rerun replaces its own rows and nothing else, without reading the
-    table. Rows are partitioned by day below it.
+    The folders are named after the query (kept in the checkpoint) and the batch,
+    below the day, so that a read of one day lists that day only. The last batch
+    begun is noted in a small file: if it begins again, its folders of all days are
+    dropped first, because another copy of a key may now land on another day.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        query = batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID)
-        folder = f"{path}/query_id={query}/batch_id={batch_id}"
-        with_day(batch, time).write.mode("overwrite").partitionBy(DAY).parquet(folder)
+        spark = batch.sparkSession
+        name = f"{spark.sparkContext.getLocalProperty(QUERY_ID)}-{batch_id}"
+        folders, note = Folders(spark, path), f"{path}/{BEGUN}/{name.rpartition('-')[0]}"
+        if folders.exists(note) and folders.read_lines(note) == [name]:
+            for old in folders.matching(f"{path}/{DAY}=*/{BATCH}={name}"):
+                folders.drop(old)
+        folders.write_lines(note, [name])
+        dated = with_day(batch, time).withColumn(BATCH, F.lit(name)).hint("rebalance", DAY)
+        dated.write.mode("append").partitionBy(DAY, BATCH).parquet(path)
 
     return write
 
@@ -55,15 +73,16 @@ def upsert_to(
     keys: Sequence[str],
     time: str,
     keys_fix_day: bool = False,
-    search_back: int | None = None,
 ) -> BatchWriter:
     """Upsert by key into a day-partitioned Parquet table, harmless to repeat.
 
-    The batch is written out once by the streaming session; the merge then runs
+    Unless `keys_fix_day`, each batch reads the key column of the whole table to
+    find old rows: meant for small or low-rate tables. For raw rows use
+    `replace_batch` and the fact merge, or `merge_to`. The batch is written out once by the streaming session; the merge then runs
     in the outer session, where adaptive execution sizes its joins and files.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        upsert_days(spark, path, batch, schema, keys, time, keys_fix_day, search_back)
+        upsert_days(spark, path, batch, schema, keys, time, keys_fix_day)
 
     return write
 
