@@ -35,6 +35,7 @@ EVERY = 16
 BATCH = 1024
 RATE = 0.1
 CHUNK = 1 << 16
+COUNTED = 4 << 20
 PIECE = 1 << 13
 COLUMNS = ["n_tokens", "log_prob", "mean_log_prob"]
 
@@ -68,13 +69,23 @@ def fresh(seed: int = 2) -> Network:
 def frequent_words(docs: DataFrame, text: str) -> np.ndarray:
     """Hashes of the KNOWN most frequent words of all documents, the most frequent first."""
 
+    def counted(parts: list[np.ndarray]) -> pa.RecordBatch:
+        hashes = np.sort(np.concatenate(parts))
+        first = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
+        times = np.diff(np.append(first, len(hashes)))
+        return pa.RecordBatch.from_arrays([pa.array(hashes[first].view(np.int64)), pa.array(times)], ["word", "n"])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
-            for block in blocks(batch.column(0), 32 << 20):
-                hashes = np.sort(words_of(block).hashes)
-                first = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1])[: len(hashes)])
-                times = np.diff(np.append(first, len(hashes)))
-                yield pa.RecordBatch.from_arrays([pa.array(hashes[first].view(np.int64)), pa.array(times)], ["word", "n"])
+            for block in blocks(batch.column(0)):
+                held.append(words_of(block).hashes)
+                size += len(held[-1])
+                if size >= COUNTED:
+                    yield counted(held)
+                    held, size = [], 0
+        if size:
+            yield counted(held)
 
     counts = docs.select(F.col(text).alias("text")).mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
     top = counts.orderBy(F.col("n").desc(), "word").limit(KNOWN).toArrow()
