@@ -228,3 +228,11 @@ def test_reconcile_reports_hours_of_either_side(sales):
 def test_plain_number(spark):
     frame = spark.createDataFrame([(12345678.9,), (4.0,), (0.05,), (-3.1,)], "x double")
     assert [r[0] for r in frame.select(plain_number(F.col("x"), 2)).collect()] == ["12345678.9", "4.0", "0.05", "-3.1"]
+
+
+def test_late_rows_scan_their_input_twice(spark):
+    frame = views.sales(views.events(spark, SF)).withColumn("arrived", F.col("transaction_ts"))
+    found = lateness.late_rows(frame, F.floor(F.unix_seconds("arrived") / 3600))
+    found.collect()
+    final = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 2 and final.count("ReusedExchange") == 1

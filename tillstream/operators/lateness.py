@@ -15,7 +15,8 @@ def running_max(slots: DataFrame, slot: str, value: str, block: int = 4096) -> D
     block: the largest value of the blocks before, and of the slots before
     inside the block.
     """
-    blocked = slots.withColumn("_block", F.floor(F.col(slot) / block))
+    # Asked for here, the filter is the same below both branches, which then share one exchange.
+    blocked = slots.withColumn("_block", F.floor(F.col(slot) / block)).where(F.col("_block").isNotNull())
     earlier_blocks = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     earlier_slots = Window.partitionBy("_block").orderBy(slot).rowsBetween(Window.unboundedPreceding, -1)
     blocks = (
@@ -37,7 +38,7 @@ def late_rows(frame: DataFrame, slot: Column, delay: str = "10 minutes") -> Data
     `delay`; rows of the first slot are never late.
     """
     slotted = frame.withColumn("_slot", slot)
-    newest = slotted.groupBy("_slot").agg(F.max(TIME).alias("_newest"))
+    newest = slotted.where(F.col("_slot").isNotNull()).groupBy("_slot").agg(F.max(TIME).alias("_newest"))
     before = running_max(newest, "_slot", "_newest").where("before is not null")
     watermark = F.date_trunc("millisecond", "before") - F.expr(f"interval {delay}")
     return (
