@@ -119,7 +119,51 @@ BASE32 = " || ".join(
     for k in range(4)
 )
 
+RULE_VALUES = ", ".join(
+    f"('{rule}', {step}, {cut})" for rule, (_, cuts) in quality_rules.RULES.items() for step, cut in enumerate(cuts)
+)
+RULE_STATISTICS = " union all ".join(
+    f"select doc_id, stratum, base_failed, '{rule}' as rule, {statistic} as value from s"
+    for rule, (statistic, _) in quality_rules.RULES.items()
+)
+RULE_SHARE = quality_rules.RISK / len(quality_rules.RULES)
+
 SQL: dict[str, str] = {
+    # Holds while there are no more strata than stand alone.
+    "op10_quality_rules": f"""
+        with d as (select doc_id, coalesce(lang, '') as stratum, coalesce(text, '') as text from documents),
+        w as (select doc_id, unnest(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) as word,
+                     generate_subscripts(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), 1) as i from d),
+        t as (select *, case when lead(word, 2) over p is not null
+                             then word || ' ' || lead(word) over p || ' ' || lead(word, 2) over p end as win
+              from w window p as (partition by doc_id order by i)),
+        r as (select doc_id, word, i, win is not null and count(*) over (partition by doc_id, win) > 1 as again from t),
+        c as (select doc_id, word, max(again::int) over (partition by doc_id order by i rows between 2 preceding and current row) as inside from r),
+        wc as (select doc_id, count(*) as n_words, sum(length(word)) as word_chars, sum(inside) as n_repeat_words from c group by doc_id),
+        l as (select doc_id, unnest(string_split(text, chr(10))) as line from d),
+        lc as (select doc_id, count(*) as n_lines, count(*) - count(distinct line) as n_dup_lines from l
+               where regexp_matches(line, '[^\x20\x09-\x0D]') group by doc_id),
+        f as (select d.doc_id, stratum, coalesce(n_words, 0)::bigint as n_words, coalesce(word_chars, 0)::bigint as word_chars,
+                     len(regexp_extract_all(text, '[#*$%&|<>]'))::bigint as n_symbols, coalesce(n_dup_lines, 0)::bigint as n_dup_lines,
+                     coalesce(n_repeat_words, 0)::bigint as n_repeat_words, coalesce(n_lines, 0) as n_lines,
+                     len(regexp_extract_all(text, '[A-Z]')) as n_upper, len(regexp_extract_all(text, '!')) as n_exclamations
+              from d left join wc on d.doc_id = wc.doc_id left join lc on d.doc_id = lc.doc_id),
+        s as (select *, n_words < {quality_rules.MIN_WORDS} or 100 * n_repeat_words > {quality_rules.REPEAT_PERCENT} * n_words as base_failed from f),
+        v as ({RULE_STATISTICS}),
+        g as (select distinct doc_id from labels where quality = 1),
+        h as (select v.* from v semi join g on v.doc_id = g.doc_id where not base_failed),
+        k as (select stratum, rules.rule, step, cut, count(*) as n, count(*) filter (value > cut) as k
+              from h join (values {RULE_VALUES}) rules(rule, step, cut) on h.rule = rules.rule group by all),
+        p as (select *, case when k >= n * {RULE_SHARE} then false else list_sum([exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)
+                     + i * ln({RULE_SHARE}) + (n - i) * ln(1 - {RULE_SHARE})) for i in range(k + 1)])
+                     <= {quality_rules.LEVEL / len(quality_rules.RULES)} / (select count(distinct stratum) from h) end as passed from k),
+        o as (select stratum, rule, coalesce(min(step) filter (not passed), 99) as fails from p group by all),
+        m as (select p.stratum, p.rule, arg_max(cut, step) as cut from p join o on p.stratum = o.stratum and p.rule = o.rule
+              where step < fails group by all),
+        x as (select distinct doc_id from v join m on v.stratum = m.stratum and v.rule = m.rule where value > cut)
+        select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               not base_failed and doc_id not in (select doc_id from x) as kept from s
+    """,
     "op3_line_dedup": f"""
         with d as (select doc_id, coalesce(text, '') as text from documents),
         l as (select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as i from d),
