@@ -43,6 +43,9 @@ def test_stream_fact_and_checks(spark, tmp_path, capsys, upsert):
     checks = ["checks", "--raw", f"{root}/raw", "--as-of", "2024-01-01 00:40:00", "--fail"]
     assert main(checks) == 0
     assert capsys.readouterr().out.splitlines() == ["freshness: PASS 2", "PASS"]
+    assert main([*checks, "--fact", f"{root}/fact", "--agg", f"{root}/agg"]) == 0
+    told = capsys.readouterr().out.splitlines()
+    assert "transaction_id unique 0 PASS" in told and "window_start not_null 0 PASS" in told
 
     register_tables(spark, raw=f"{root}/raw", agg=f"{root}/agg", fact=f"{root}/fact")
     status = spark.sql(

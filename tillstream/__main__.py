@@ -3,7 +3,7 @@
     spark-submit --packages <kafka and avro packages> -m tillstream ...
     python -m tillstream stream --raw /lake/raw --agg /lake/agg --rejects /lake/rejects
     python -m tillstream fact --raw /lake/raw --fact /lake/fact --lookback "1 hour"
-    python -m tillstream checks --raw /lake/raw
+    python -m tillstream checks --raw /lake/raw --fact /lake/fact --agg /lake/agg
 """
 
 from __future__ import annotations
@@ -15,10 +15,11 @@ from dataclasses import replace
 
 from pyspark.sql import SparkSession
 
+from tillstream.operators.column_tests import AGG_TESTS, FACT_TESTS, run_suite
 from tillstream.operators.quality import QualityError, freshness, run_checks
 from tillstream.plans.fact import refresh_fact
 from tillstream.sources.readers import read_days, read_events
-from tillstream.sources.schemas import AGG_SCHEMA, RAW_SCHEMA
+from tillstream.sources.schemas import AGG_SCHEMA, FACT_SCHEMA, RAW_SCHEMA
 from tillstream.sources.settings import TopicSettings
 from tillstream.streaming.jobs import SalesJob
 from tillstream.streaming.progress import BatchMetrics, log_line
@@ -57,6 +58,8 @@ def _parser() -> argparse.ArgumentParser:
 
     checks = commands.add_parser("checks", help="print PASS or the failing checks")
     checks.add_argument("--raw", required=True)
+    checks.add_argument("--fact", help="also run the column tests of the stored fact table")
+    checks.add_argument("--agg", help="also run the column tests of the stored window table")
     checks.add_argument("--as-of")
     checks.add_argument("--fail", action="store_true", help="exit with status 1 when a check fails")
     return parser
@@ -106,12 +109,17 @@ def _fact(spark: SparkSession, args: argparse.Namespace) -> int:
 def _checks(spark: SparkSession, args: argparse.Namespace) -> int:
     raw = read_days(spark, args.raw, RAW_SCHEMA)
     print("freshness:", *freshness(raw, args.as_of).first())
+    broken = False
+    for path, schema, tests in ((args.fact, FACT_SCHEMA, FACT_TESTS), (args.agg, AGG_SCHEMA, AGG_TESTS)):
+        for row in run_suite(read_days(spark, path, schema), tests).collect() if path else []:
+            print(*row)
+            broken = broken or "FAIL" in row
     try:
         print(run_checks(raw, args.as_of, raise_on_fail=args.fail))
     except QualityError as error:
         print(error)
         return 1
-    return 0
+    return int(broken and args.fail)
 
 
 def main(argv: Sequence[str] | None = None) -> int:

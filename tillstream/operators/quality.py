@@ -191,6 +191,7 @@ def check_report(
             F.when(status == "FAIL", message).alias("message"),
         )
 
+    # Fixed texts: the messages of both counts.
     nulls = F.concat(F.lit("null_check FAIL: "), F.col("null_count"), F.lit(" null rows"))
     rows = [
         row(1, "null_check", pass_fail(F.col("null_count") == 0), nulls),

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from tillstream.functions.columns import line_revenue
 from tillstream.operators import aggregates, column_tests, decode, keys, quality, reports, selection
 from tillstream.operators.lateness import late_rows
-from tillstream.operators.merge import expire_days, merged
+from tillstream.operators.merge import expire_days, merged, write_days
 from tillstream.operators.reconcile import reconcile_hourly
 from tillstream.plans.fact import build_fact, refresh_fact, with_revenue
 from tillstream.sources import views
@@ -299,6 +299,22 @@ def _sale_columns(frame: DataFrame) -> DataFrame:
 # --- registry ---------------------------------------------------------------
 
 
+def kept_table(frame: DataFrame, schema: T.StructType, label: str, time: str) -> DataFrame:
+    """Write a frame as a day-partitioned table and scan that."""
+    spark = frame.sparkSession
+    path = f"{fresh_folder(spark, label)}/table"
+    write_days(frame, path, time)
+    return read_days(spark, path, schema).select(*schema.names)
+
+
+def stored_windows(sales: DataFrame) -> DataFrame:
+    return kept_table(aggregates.store_windows(sales), AGG_SCHEMA, "agg-table", "window_start")
+
+
+def stored_fact(sales: DataFrame) -> DataFrame:
+    return kept_table(with_revenue(sales), FACT_SCHEMA, "fact-table", "transaction_ts")
+
+
 def _definitions() -> dict[str, Query]:
     history = lambda sales: selection.history(sales, AS_OF_UNALIGNED)
     window_money = lambda frame: rounded(frame, 2, "total_revenue")
@@ -344,7 +360,7 @@ def _definitions() -> dict[str, Query]:
         ),
         "table_status": table_status,
         "agg_table_status": on_sales(
-            lambda s: reports.table_status({AGG_TABLE: (aggregates.store_windows(s), "window_start")})
+            lambda s: reports.table_status({AGG_TABLE: (stored_windows(s), "window_start")})
         ),
         "revenue_bands": on_sales(
             lambda s: rounded(
@@ -407,14 +423,14 @@ def _definitions() -> dict[str, Query]:
         "test_accepted_values": on_dirty(
             lambda s: column_tests.unexpected_values(s, "payment_type", PAYMENT_TYPES)
         ),
-        "test_suite": on_dirty(lambda s: column_tests.run_suite(with_revenue(s), column_tests.FACT_TESTS)),
+        "test_suite": on_dirty(lambda s: column_tests.run_suite(stored_fact(s), column_tests.FACT_TESTS)),
         "test_relationships": test_relationships,
         "agg_not_null": on_dirty(
-            lambda s: column_tests.run_suite(aggregates.store_windows(s), column_tests.AGG_TESTS)
+            lambda s: column_tests.run_suite(stored_windows(s), column_tests.AGG_TESTS)
         ),
         "agg_unique_key": on_sales(
             lambda s: column_tests.repeated_values(
-                aggregates.store_windows(s), ["window_start", "window_end", "store_id"]
+                stored_windows(s), ["window_start", "window_end", "store_id"]
             ).agg(F.count("*").alias("failures"))
         ),
         # arrival
