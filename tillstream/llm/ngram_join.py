@@ -26,9 +26,9 @@ from tillstream.llm.text import U, blocks, mixed, shingle_sets, words_of
 
 SIZE = 5
 TOKEN_BITS = 40
-FRAGMENT_TOKENS = 4 << 20
+FRAGMENT_TOKENS = 2 << 20
 LEAST_FRAGMENT_BITS = 5
-BLOCK_TOKENS = 4 << 20
+BLOCK_TOKENS = 2 << 20
 HOT_SHARE, HOT_LEAST, HOT_LIMIT = 100, 8, 1 << 20
 LEADER_ROUNDS = 2
 VERTICALS = 8
@@ -167,7 +167,8 @@ def sharer(buckets: int):
             order = np.argsort(tokens, kind="stable")
             _, often = runs_of(tokens[order])
             df = np.empty(len(tokens), np.uint16)
-            df[order] = np.repeat(np.minimum(often, 65535), often)
+            df[order] = np.repeat(np.minimum(often, 65535).astype(np.uint16), often)
+            del order
             many = df > 1
             kept = np.bincount(owner[many], minlength=len(keys))
             has = kept > 0
