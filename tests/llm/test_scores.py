@@ -38,11 +38,12 @@ def labels(spark, rows):
 
 @pytest.mark.parametrize("operator", [toxicity, quality_fm])
 def test_awkward_rows_and_missing_labels(spark, operator):
-    docs = documents(spark, awkward()).selectExpr("*", "'x' as SCORE", "2 as label", "3 as _of")
+    rows = [*awkward(), (1, "another text under a known id"), (1, "and one more")]
+    docs = documents(spark, rows).selectExpr("*", "'x' as SCORE", "2 as label", "3 as _of")
     for known in ([], [(1, 1, 1), (1, 0, 0), (None, 1, 1), (5, None, None)], [(1, 1, 1), (4, 0, 0), (5, 0, 0), (9, 1, 1), (3, 0, 0), (7, 1, 1)]):
         model = operator.fit(docs, labels(spark, known))
         got = operator.with_scores(docs, model).collect()
-        assert len(got) == len(awkward())
+        assert len(got) == len(rows)
         scores = {}
         for r in got:
             assert 0 <= r.score <= 1

@@ -156,7 +156,7 @@ def aligned(item: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return best, low, high
 
 
-def leaks_in(doc_ids: list, texts: pa.Array, items: Items) -> dict[tuple[int, int], tuple[float, int, int]]:
+def leaks_in(texts: pa.Array, items: Items) -> dict[tuple[int, int], tuple[float, int, int]]:
     """Best alignment of every pair of a document and an item that share a seed."""
     words = words_of(texts)
     hashes, at, doc = short_runs(words)
@@ -218,7 +218,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFram
                 for block in blocks(batch.column("text")):
                     ids = batch.column("doc_id").slice(row, len(block)).to_pylist()
                     row += len(block)
-                    got = leaks_in(ids, block, seeds)
+                    got = leaks_in(block, seeds)
                     lines = [(ids[d], int(seeds.ids[i]), *rest) for (d, i), rest in got.items()]
                     if lines:
                         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*lines), OUT)], schema=OUT)

@@ -34,4 +34,5 @@ def sampled_rows(docs: DataFrame, sample: DataFrame) -> DataFrame:
 
 def once(frame: DataFrame) -> DataFrame:
     """One row for each id, so that repeated documents don't exceed the bound."""
-    return frame.groupBy("doc_id").agg(*[F.max_by(c, F.xxhash64(c)).alias(c) for c in frame.columns if c != "doc_id"])
+    rest = [c for c in frame.columns if c != "doc_id"]
+    return frame.groupBy("doc_id").agg(F.max_by(F.struct(*rest), F.xxhash64(*rest)).alias("row")).select("doc_id", "row.*")
