@@ -131,3 +131,27 @@ def test_likelihood_query_covers_all_words(spark):
         r = got[row.doc_id]
         assert r.n_tokens == len(row.text.split()) and r.log_prob < 0
         assert r.mean_log_prob == pytest.approx(r.log_prob / r.n_tokens)
+
+
+def test_words_outside_the_vocabulary_have_their_own_probability(spark):
+    def hashed(names):
+        return text.words_of(pa.array(names)).hashes.view(np.int64)
+
+    size = lm_score.LEAST
+    often = [f"often{i}" for i in range(size.known)]
+    rare = [f"rare{i}" for i in range(size.slots + 1)]
+    slot = hashed(rare) % size.slots
+    a, b = next((i, j) for j in range(len(rare)) for i in range(j) if slot[i] == slot[j])
+    rows = [(1, rare[a]), (2, rare[b]), (3, " ".join(often * 6)), (4, " ".join([rare[b]] * 4)), (5, often[0])]
+    got = {r.doc_id: r for r in lm_score.with_likelihood(documents(spark, rows)).collect()}
+    # Both stand alone in the same slot, one of them five times as often.
+    assert got[1].log_prob - got[2].log_prob == pytest.approx(np.log(1 / 5))
+
+
+def test_vocabulary_grows_with_the_corpus():
+    assert lm_score.sizes(0).tokens == lm_score.TOKENS
+    small, large = lm_score.sizes(4_000_000), lm_score.sizes(400_000_000)
+    assert small.tokens >= 4000 and large.tokens >= 9.5 * small.tokens
+    assert small.known > 0.9 * small.tokens and large.classes**2 == large.tokens
+    net = lm_score.fresh(size=lm_score.Sizes(3, 5, 2))
+    assert net.rows.shape[1] == 16 and net.words.shape == (3, lm_score.HIDDEN, 5)

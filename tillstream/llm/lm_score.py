@@ -3,7 +3,10 @@
 Every token is predicted from the two tokens before and the two after it; a document's
 score is the sum of these conditional log-probabilities. The network adds a row per
 neighbour and place, takes tanh, and predicts first the token's class, then the token
-within it. Tokens are the most frequent words of the corpus; all others share hash slots.
+within it. Tokens are the most frequent words of the corpus, in a number that grows with
+the square root of its words, and hash slots for all others. A word within a slot has the
+slot's probability times the word's share of the corpus words in this slot, so that the
+probabilities of all words of the corpus add up to one at every position.
 
 Word counts cover all documents. Each round, every task trains on a fixed share of the
 positions of its documents, starting from the same parameters; the results are averaged,
@@ -12,6 +15,7 @@ weighted by positions.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -26,18 +30,44 @@ from tillstream.llm.text import U, blocks, words_of
 
 CLASSES, PER_CLASS = 32, 32
 TOKENS = CLASSES * PER_CLASS
-UNKNOWN_SLOTS = 64
-KNOWN = TOKENS - UNKNOWN_SLOTS
+GROWTH = 2
+SLOT_SHARE = 16
 PLACES = (-2, -1, 1, 2)
 HIDDEN = 16
 ROUNDS = 2
 EVERY = 16
-BATCH = 1024
+BATCH = 1 << 14
 RATE = 0.1
 CHUNK = 1 << 16
 COUNTED = 4 << 20
-PIECE = 1 << 13
+PIECE = 1 << 15
 COLUMNS = ["n_tokens", "log_prob", "mean_log_prob"]
+CODED, ROW = "_lm_coded", "_lm_row"
+
+
+class Sizes(NamedTuple):
+    """Tokens below `known` are words, the next `slots` hash slots of all others."""
+
+    classes: int
+    per_class: int
+    slots: int
+
+    @property
+    def tokens(self) -> int:
+        return self.classes * self.per_class
+
+    @property
+    def known(self) -> int:
+        return self.tokens - self.slots
+
+
+def sizes(words: int) -> Sizes:
+    """For a corpus of so many words: GROWTH times their square root as tokens, TOKENS at least."""
+    side = max(CLASSES, math.ceil(math.sqrt(GROWTH * math.sqrt(words))))
+    return Sizes(side, side, side * side // SLOT_SHARE)
+
+
+LEAST = sizes(0)
 
 
 class Network(NamedTuple):
@@ -49,25 +79,29 @@ class Network(NamedTuple):
     word_shift: np.ndarray
 
 
-SHAPES = ((len(PLACES), TOKENS + 1, HIDDEN), (HIDDEN,), (HIDDEN, CLASSES), (CLASSES,), (CLASSES, HIDDEN, PER_CLASS), (CLASSES, PER_CLASS))
+def shapes(size: Sizes) -> tuple[tuple[int, ...], ...]:
+    c, p = size.classes, size.per_class
+    return (len(PLACES), size.tokens + 1, HIDDEN), (HIDDEN,), (HIDDEN, c), (c,), (c, HIDDEN, p), (c, p)
 
 
 def flat(net: Network) -> np.ndarray:
     return np.concatenate([x.ravel() for x in net])
 
 
-def shaped(values: np.ndarray) -> Network:
-    ends = np.cumsum([int(np.prod(s)) for s in SHAPES])
-    return Network(*[x.reshape(s).copy() for x, s in zip(np.split(values, ends[:-1]), SHAPES)])
+def shaped(values: np.ndarray, size: Sizes) -> Network:
+    ends = np.cumsum([int(np.prod(s)) for s in shapes(size)])
+    return Network(*[x.reshape(s).copy() for x, s in zip(np.split(values, ends[:-1]), shapes(size))])
 
 
-def fresh(seed: int = 2) -> Network:
+def fresh(seed: int = 2, size: Sizes = LEAST) -> Network:
     draw = np.random.default_rng(seed)
-    return Network(*[draw.normal(0, 0.1, s).astype(np.float32) if len(s) > 1 and s != SHAPES[5] else np.zeros(s, np.float32) for s in SHAPES])
+    *others, last = shapes(size)
+    start = [draw.normal(0, 0.1, s).astype(np.float32) if len(s) > 1 else np.zeros(s, np.float32) for s in others]
+    return Network(*start, np.zeros(last, np.float32))
 
 
-def frequent_words(docs: DataFrame, text: str) -> np.ndarray:
-    """Hashes of the KNOWN most frequent words of all documents, the most frequent first."""
+def word_counts(docs: DataFrame, text: str) -> DataFrame:
+    """word (its hash), n: how often each word stands in all documents."""
 
     def counted(parts: list[np.ndarray]) -> pa.RecordBatch:
         hashes = np.sort(np.concatenate(parts))
@@ -87,45 +121,68 @@ def frequent_words(docs: DataFrame, text: str) -> np.ndarray:
         if size:
             yield counted(held)
 
-    counts = docs.select(F.col(text).alias("text")).mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.col("n").desc(), "word").limit(KNOWN).toArrow()
-    return top["word"].to_numpy().view(U)
+    counts = docs.select(F.col(text).alias("text")).mapInArrow(count, "word long, n long")
+    return counts.groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def frequent_words(counts: DataFrame, size: Sizes) -> pa.Table:
+    """The `known` most frequent words with their counts, the most frequent first."""
+    return counts.orderBy(F.col("n").desc(), "word").limit(size.known).toArrow()
+
 
+def token_type(size: Sizes) -> type:
+    return np.uint16 if size.tokens <= 1 << 16 else np.uint32
 
-def token_ids(hashes: np.ndarray, known: np.ndarray, number: np.ndarray) -> np.ndarray:
+
+def token_ids(hashes: np.ndarray, known: np.ndarray, number: np.ndarray, size: Sizes) -> np.ndarray:
     """Number of each word; `known` is sorted and `number` belongs to it."""
-    slot = (KNOWN + (hashes % U(UNKNOWN_SLOTS)).astype(np.int64)).astype(np.uint16)
+    slot = (size.known + hashes.view(np.int64) % size.slots).astype(token_type(size))
     if not len(known):
         return slot
     at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
     return np.where(known[at] == hashes, number[at], slot)
 
 
-def encoded(docs: DataFrame, text: str, words: np.ndarray) -> DataFrame:
-    """The rows with `ids`, the tokens of the whole text in two bytes each, in place of the text."""
+def encoded(docs: DataFrame, text: str, words: np.ndarray, size: Sizes) -> DataFrame:
+    """The rows with a number and CODED: the tokens of the whole text end to end, and the hashes of words in slots."""
     order = np.argsort(words)
-    known, number = words[order], order.astype(np.uint16)
+    known, number = words[order], order.astype(token_type(size))
 
-    @F.arrow_udf("binary")
-    def ids_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    @F.arrow_udf("ids binary, rest array<bigint>")
+    def coded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             for block in blocks(batch):
                 found = words_of(block)
-                ids = token_ids(found.hashes, known, number)
-                yield pa.array([ids[a:b].tobytes() for a, b in zip(found.first[:-1], found.first[1:])], pa.binary())
+                ids = token_ids(found.hashes, known, number, size)
+                unknown = np.concatenate([[0], np.cumsum(ids >= size.known)])
+                own = pa.array([ids[a:b].tobytes() for a, b in zip(found.first[:-1], found.first[1:])], pa.binary())
+                rest = pa.array(found.hashes[ids >= size.known].view(np.int64))
+                listed = pa.ListArray.from_arrays(pa.array(unknown[found.first], pa.int32()), rest)
+                yield pa.StructArray.from_arrays([own, listed], ["ids", "rest"])
+
+    return docs.withColumns({CODED: coded(F.col(text)), ROW: F.monotonically_increasing_id()})
+
 
-    return docs.withColumn("ids", ids_of(F.col(text)))
+def shares(counts: DataFrame, top: pa.Table, size: Sizes) -> DataFrame:
+    """word, share: the logarithm of its part of all corpus words in its slot, for the words in slots."""
+    left = counts
+    if len(top):
+        n, word = top["n"][-1].as_py(), top["word"][-1].as_py()
+        left = left.where((F.col("n") < n) | ((F.col("n") == n) & (F.col("word") > word)))
+    left = left.withColumn("slot", F.pmod("word", F.lit(size.slots)))
+    totals = left.groupBy("slot").agg(F.sum("n").alias("total"))
+    return left.join(totals, "slot").select("word", F.log(F.col("n") / F.col("total")).alias("share"))
 
 
-def neighbours(ids: np.ndarray, at: np.ndarray, places: np.ndarray) -> np.ndarray:
-    """The tokens around the places, TOKENS where a document ends."""
+def neighbours(ids: np.ndarray, at: np.ndarray, places: np.ndarray, none: int = TOKENS) -> np.ndarray:
+    """The tokens around the places, `none` where a document ends."""
     doc = np.searchsorted(at, places, "right") - 1
     first, last = at[doc], at[doc + 1]
     out = np.empty((len(PLACES), len(places)), np.int64)
     for k, step in enumerate(PLACES):
         there = places + step
         inside = (there >= first) & (there < last)
-        out[k] = np.where(inside, ids[np.clip(there, 0, len(ids) - 1)], TOKENS)
+        out[k] = np.where(inside, ids[np.clip(there, 0, len(ids) - 1)], none)
     return out
 
 
@@ -147,15 +204,16 @@ def softmax_of(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def log_probs(net: Network, around: np.ndarray, token: np.ndarray) -> np.ndarray:
     """Log-probability of each token given its neighbours."""
     out = np.empty(len(token))
+    n_classes, _, per_class = net.words.shape
     for a in range(0, len(token), PIECE):
         b = min(a + PIECE, len(token))
         h = hidden(net, around[:, a:b])
-        kind, inner = np.divmod(token[a:b].astype(np.int64), PER_CLASS)
+        kind, inner = np.divmod(token[a:b].astype(np.int64), per_class)
         logits = h @ net.classes + net.class_shift
         value = logits[np.arange(b - a), kind] - softmax_of(logits)[1]
         order = np.argsort(kind, kind="stable")
-        edges = np.searchsorted(kind[order], np.arange(CLASSES + 1))
-        for c in range(CLASSES):
+        edges = np.searchsorted(kind[order], np.arange(n_classes + 1))
+        for c in range(n_classes):
             some = order[edges[c] : edges[c + 1]]
             if len(some):
                 within = h[some] @ net.words[c] + net.word_shift[c]
@@ -164,86 +222,103 @@ def log_probs(net: Network, around: np.ndarray, token: np.ndarray) -> np.ndarray
     return out
 
 
-def gradient(net: Network, around: np.ndarray, token: np.ndarray) -> Network:
-    """Of the mean negative log-probability."""
-    n = len(token)
+def slopes(net: Network, around: np.ndarray, token: np.ndarray) -> Iterator[tuple[int, object, np.ndarray]]:
+    """Of the mean negative log-probability: part of the network, place in it, gradient there; it is 0 elsewhere.
+
+    Each part may be changed as soon as its gradient is out.
+    """
+    n, per_class = len(token), net.words.shape[2]
     h = hidden(net, around)
-    kind, inner = np.divmod(token.astype(np.int64), PER_CLASS)
+    kind, inner = np.divmod(token.astype(np.int64), per_class)
     d = softmax_of(h @ net.classes + net.class_shift)[0]
     d[np.arange(n), kind] -= 1
     d /= n
-    g = Network(*[np.zeros(s, np.float32) for s in SHAPES])
-    g.classes[:], g.class_shift[:] = h.T @ d, d.sum(0)
     dh = d @ net.classes.T
-    for c in np.unique(kind):
-        some = np.flatnonzero(kind == c)
-        p = softmax_of(h[some] @ net.words[c] + net.word_shift[c])[0]
-        p[np.arange(len(some)), inner[some]] -= 1
+    yield 2, slice(None), h.T @ d
+    yield 3, slice(None), d.sum(0)
+    order = np.argsort(kind, kind="stable")
+    edges = np.flatnonzero(np.diff(kind[order], prepend=-1, append=-1))
+    for a, b in zip(edges[:-1], edges[1:]):
+        some = order[a:b]
+        c, own = kind[some[0]], h[some]
+        p = softmax_of(own @ net.words[c] + net.word_shift[c])[0]
+        p[np.arange(b - a), inner[some]] -= 1
         p /= n
-        g.words[c], g.word_shift[c] = h[some].T @ p, p.sum(0)
         dh[some] += p @ net.words[c].T
+        yield 4, c, own.T @ p
+        yield 5, c, p.sum(0)
     dh *= 1 - h * h
-    g.shift[:] = dh.sum(0)
+    yield 1, slice(None), dh.sum(0)
     for k in range(len(PLACES)):
-        np.add.at(g.rows[k], around[k], dh)
+        order = np.argsort(around[k], kind="stable")
+        there = around[k][order]
+        first = np.flatnonzero(np.diff(there, prepend=-1))
+        yield 0, (k, there[first]), np.add.reduceat(dh[order], first, axis=0)
+
+
+def gradient(net: Network, around: np.ndarray, token: np.ndarray) -> Network:
+    """Of the mean negative log-probability."""
+    g = Network(*[np.zeros(x.shape, np.float32) for x in net])
+    for part, at, value in slopes(net, around, token):
+        g[part][at] = value
     return g
 
 
 def steps(net: Network, seen: Network, around: np.ndarray, token: np.ndarray) -> None:
     """Gradient steps in place, with a rate for each parameter (Adagrad)."""
     for a in range(0, len(token), BATCH):
-        g = gradient(net, around[:, a : a + BATCH], token[a : a + BATCH])
-        for x, s, dx in zip(net, seen, g):
-            s += dx * dx
-            x -= RATE * dx / np.sqrt(s)
+        for part, at, dx in slopes(net, around[:, a : a + BATCH], token[a : a + BATCH]):
+            s = seen[part][at] + dx * dx
+            seen[part][at] = s
+            net[part][at] -= RATE * dx / np.sqrt(s)
 
 
-def documents_in(batches: Iterator[pa.Array]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def documents_in(batches: Iterator[pa.Array], kind: type) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Rows, tokens and offsets of some documents at a time."""
     for batch in batches:
         row = 0
         while row < len(batch):
             held, size = [], 0
             while row < len(batch) and size < CHUNK:
-                held.append(np.frombuffer(batch[row].as_py(), np.uint16))
+                held.append(np.frombuffer(batch[row].as_py(), kind))
                 size += len(held[-1])
                 row += 1
             yield len(held), np.concatenate(held), np.concatenate([[0], np.cumsum([len(x) for x in held])])
 
 
-def trained(tokens: DataFrame, rounds: int = ROUNDS) -> Network:
+def trained(tokens: DataFrame, size: Sizes, rounds: int = ROUNDS) -> Network:
     """Train on one in EVERY positions of all documents, averaging the tasks' networks after each round."""
-    net = fresh()
+    net = fresh(size=size)
     for turn in range(rounds):
         start = net
 
         def local(batches: Iterator[pa.RecordBatch], start=start, turn=turn) -> Iterator[pa.RecordBatch]:
             mine = Network(*[x.copy() for x in start])
-            seen = Network(*[np.full(s, 1e-6, np.float32) for s in SHAPES])
+            seen = Network(*[np.full(x.shape, 1e-6, np.float32) for x in start])
             used, task = 0, TaskContext.get().partitionId()
-            for _, ids, at in documents_in(b.column(0) for b in batches):
+            for _, ids, at in documents_in((b.column(0) for b in batches), token_type(size)):
                 places = np.arange((turn * 7 + used) % EVERY, len(ids), EVERY)
                 if len(places):
-                    steps(mine, seen, neighbours(ids, at, places), ids[places])
+                    steps(mine, seen, neighbours(ids, at, places, size.tokens), ids[places])
                     used += len(places)
             if used:
                 parts = np.array_split(flat(mine), 64)
                 yield pa.RecordBatch.from_pydict(
-                    {"part": pa.array(range(64), pa.int32()), "salt": pa.array([task % 64] * 64, pa.int32()), "used": pa.array([used] * 64, pa.int64()),
-                     "sum": pa.array([(p.astype(np.float64) * used).tobytes() for p in parts], pa.binary())}
+                    {"part": pa.array(range(64), pa.int32()), "salt": pa.array([task // 64] * 64, pa.int32()), "used": pa.array([used] * 64, pa.int64()),
+                     "mean": pa.array([p.tobytes() for p in parts], pa.binary())}
                 )
 
         def added(group: pa.Table) -> pa.Table:
-            total = sum(np.frombuffer(x, np.float64) for x in group["sum"].to_pylist())
-            used = pa.array([sum(group["used"].to_pylist())], pa.int64())
-            return pa.table({"part": group["part"][:1], "salt": group["salt"][:1], "used": used, "sum": pa.array([total.tobytes()], pa.binary())})
+            used = np.array(group["used"].to_pylist(), np.float64)
+            total = sum(np.frombuffer(x.as_py(), np.float32) * n for x, n in zip(group["mean"], used))
+            mean = pa.array([(total / used.sum()).astype(np.float32).tobytes()], pa.binary())
+            return pa.table({"part": group["part"][:1], "salt": group["salt"][:1], "used": pa.array([int(used.sum())], pa.int64()), "mean": mean})
 
-        kind = "part int, salt int, used long, sum binary"
-        sums = tokens.select("ids").mapInArrow(local, kind).groupBy("part", "salt").applyInArrow(added, kind)
+        kind = "part int, salt int, used long, mean binary"
+        sums = tokens.select(f"{CODED}.ids").mapInArrow(local, kind).groupBy("part", "salt").applyInArrow(added, kind)
         means = stored(sums.groupBy("part").applyInArrow(added, kind), "network").orderBy("part").toArrow()
         if len(means):
-            parts = [np.frombuffer(s, np.float64) / n for s, n in zip(means["sum"].to_pylist(), means["used"].to_pylist())]
-            net = shaped(np.concatenate(parts).astype(np.float32))
+            net = shaped(np.concatenate([np.frombuffer(x.as_py(), np.float32) for x in means["mean"]]), size)
     return net
 
 
@@ -254,18 +329,25 @@ def with_likelihood(docs: DataFrame, text: str = "text") -> DataFrame:
     words (null, empty, blank) has 0 tokens, log_prob 0 and a null mean. Columns named like
     the added ones are replaced.
     """
-    rows = own_names(docs, [*COLUMNS, "ids"])
-    words = frequent_words(rows, text)
-    tokens = stored(encoded(rows, text, words).drop(text), "tokens")
-    net = trained(tokens)
+    rows = own_names(docs, [*COLUMNS, CODED, ROW, "_of", "_within"])
+    counts = stored(word_counts(rows, text), "word-counts")
+    size = sizes(counts.agg(F.sum("n")).first()[0] or 0)
+    top = frequent_words(counts, size)
+    tokens = stored(encoded(rows, text, top["word"].to_numpy().view(U), size).drop(text), "tokens")
+    net = trained(tokens, size)
 
     @F.arrow_udf("double")
     def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for n, ids, at in documents_in(batches):
-            value = log_probs(net, neighbours(ids, at, np.arange(len(ids))), ids)
+        for n, ids, at in documents_in(batches, token_type(size)):
+            value = log_probs(net, neighbours(ids, at, np.arange(len(ids)), size.tokens), ids)
             total = np.concatenate([[0.0], np.cumsum(value)])
             yield pa.array(total[at[1:]] - total[at[:-1]], pa.float64())
 
-    count = (F.octet_length("ids") / 2).cast("long")
-    counted = tokens.withColumns({"log_prob": scored("ids"), "n_tokens": count}).drop("ids")
-    return counted.withColumn("mean_log_prob", F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens")))
+    ids = F.col(f"{CODED}.ids")
+    count = (F.octet_length(ids) / np.dtype(token_type(size)).itemsize).cast("long")
+    counted = tokens.withColumns({"log_prob": scored(ids), "n_tokens": count}).drop(CODED)
+    words = tokens.select(F.col(ROW).alias("_of"), F.explode(f"{CODED}.rest").alias("word"))
+    within = words.join(shares(counts, top, size), "word").groupBy("_of").agg(F.sum("share").alias("_within"))
+    whole = counted.join(within, F.col(ROW) == F.col("_of"), "left")
+    whole = whole.withColumn("log_prob", F.col("log_prob") + F.coalesce("_within", F.lit(0.0))).drop(ROW, "_of", "_within")
+    return whole.withColumn("mean_log_prob", F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens")))
