@@ -155,3 +155,12 @@ def test_vocabulary_grows_with_the_corpus():
     assert small.known > 0.9 * small.tokens and large.classes**2 == large.tokens
     net = lm_score.fresh(size=lm_score.Sizes(3, 5, 2))
     assert net.rows.shape[1] == 16 and net.words.shape == (3, lm_score.HIDDEN, 5)
+
+
+def test_every_position_is_trained_once():
+    at = np.array([0, 7, 7, 8, 30])
+    found = np.concatenate([lm_score.places_of(at, turn, lm_score.ROUNDS) for turn in range(lm_score.ROUNDS)])
+    assert sorted(found.tolist()) == list(range(30))
+    # The same positions of a document, whatever stands before it in its block.
+    alone = lm_score.places_of(np.array([0, 22]), 1, lm_score.ROUNDS)
+    assert lm_score.places_of(at, 1, lm_score.ROUNDS)[-len(alone) :].tolist() == (alone + 8).tolist()

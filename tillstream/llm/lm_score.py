@@ -8,9 +8,9 @@ the square root of its words, and hash slots for all others. A word within a slo
 slot's probability times the word's share of the corpus words in this slot, so that the
 probabilities of all words of the corpus add up to one at every position.
 
-Word counts cover all documents. Each round, every task trains on a fixed share of the
-positions of its documents, starting from the same parameters; the results are averaged,
-weighted by positions.
+Word counts cover all documents. Over the rounds every position of every document is
+trained once. Each round, tasks start from the same parameters and train on every
+ROUNDS-th position of their documents; the results are averaged, weighted by positions.
 """
 
 from __future__ import annotations
@@ -35,7 +35,6 @@ SLOT_SHARE = 16
 PLACES = (-2, -1, 1, 2)
 HIDDEN = 16
 ROUNDS = 2
-EVERY = 16
 BATCH = 1 << 14
 RATE = 0.1
 CHUNK = 1 << 16
@@ -286,8 +285,13 @@ def documents_in(batches: Iterator[pa.Array], kind: type) -> Iterator[tuple[int,
             yield len(held), np.concatenate(held), np.concatenate([[0], np.cumsum([len(x) for x in held])])
 
 
+def places_of(at: np.ndarray, turn: int, rounds: int) -> np.ndarray:
+    """The positions to train in a round: each position of a document in exactly one of them."""
+    return np.flatnonzero((np.arange(at[-1]) - np.repeat(at[:-1], np.diff(at))) % rounds == turn)
+
+
 def trained(tokens: DataFrame, size: Sizes, rounds: int = ROUNDS) -> Network:
-    """Train on one in EVERY positions of all documents, averaging the tasks' networks after each round."""
+    """Train on every position of all documents, averaging the tasks' networks after each round."""
     net = fresh(size=size)
     for turn in range(rounds):
         start = net
@@ -297,7 +301,7 @@ def trained(tokens: DataFrame, size: Sizes, rounds: int = ROUNDS) -> Network:
             seen = Network(*[np.full(x.shape, 1e-6, np.float32) for x in start])
             used, task = 0, TaskContext.get().partitionId()
             for _, ids, at in documents_in((b.column(0) for b in batches), token_type(size)):
-                places = np.arange((turn * 7 + used) % EVERY, len(ids), EVERY)
+                places = places_of(at, turn, rounds)
                 if len(places):
                     steps(mine, seen, neighbours(ids, at, places, size.tokens), ids[places])
                     used += len(places)
