@@ -147,6 +147,28 @@ def test_exact_and_edited_items_are_found_and_clean_documents_are_not(spark):
     assert decontaminate.leaks(documents(spark, rows), benchmark(spark, [])).count() == 0
 
 
+def test_edited_copies_of_a_frequent_item_are_found(spark):
+    item = prose("hot", 38)
+    head, tail = list(item), list(item)
+    for k in (2, 5, 8, 11):
+        head[k] = f"changed{k}"  # no run of four words is left at the begin
+    for k in range(14, 38, 4):
+        tail[k] = f"changed{k}"
+    rows = [(i, " ".join(item)) for i in range(60)]
+    rows += [(100, " ".join([*prose("before", 50), *head, *prose("after", 50)])), (101, " ".join(tail)), (102, " ".join(item[20:24]))]
+    got = decontaminate.leaks(documents(spark, rows), benchmark(spark, [(1, " ".join(item))])).toPandas().set_index("doc_id")
+    assert set(got.index) == {*range(60), 100, 101}
+    assert got.score[100] == pytest.approx((2 * 34 - 4) / 76) and got.first_word[100] == 50
+
+
+def test_hits_in_small_parts_give_the_same_alignments(monkeypatch):
+    items = decontaminate.items_of(np.arange(3), pa.array([" ".join(prose("same", 10) + prose(f"i{i}", 10)) for i in range(3)]))
+    texts = pa.array([" ".join(prose("x", 9) + prose("same", 10) + prose(f"i{i}", 10)) for i in range(3)])
+    whole = decontaminate.leaks_in(texts, items)
+    monkeypatch.setattr(decontaminate, "HITS", 2)
+    assert len(whole) == 9 and decontaminate.leaks_in(texts, items) == whole
+
+
 def test_large_benchmarks_come_in_blocks(spark, monkeypatch):
     items = [(i, " ".join(prose(f"item{i}", 20))) for i in range(9)]
     rows = [(i, t) for i, t in items]

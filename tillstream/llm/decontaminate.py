@@ -1,8 +1,10 @@
 """Test items that leaked into training texts, also when edited or paraphrased in part.
 
-Seeds are short word n-grams of the items that are rare among all documents. Where a
-document holds a seed, the words around it are aligned with the item (Smith-Waterman on
-words); the score is the alignment's value over that of the item with itself.
+Seeds are all short word n-grams of the items. Where a document holds a seed, the words
+around it are aligned with the item (Smith-Waterman on words); the score is the
+alignment's value over that of the item with itself. Windows with too few words of the
+item to reach the threshold are passed over first; this loses no pair, so how often an
+item or its seeds stand in the documents does not matter.
 """
 
 from __future__ import annotations
@@ -19,13 +21,11 @@ from tillstream.llm.stage import stored
 from tillstream.llm.text import U, Words, blocks, mixed, runs, words_of
 
 SEED_WORDS = 4
-RARE_SHARE = 1000
-RARE_LEAST = 20
-SEEDS_LEAST = 8
 MATCH, MISMATCH, GAP = 2, -1, -1
 THRESHOLD = 0.5
 SHARD_WORDS = 2_000_000
 ALIGN_CELLS = 4_000_000
+HITS = 1 << 20
 
 LEAKS = "doc_id long, item_id long, score double, first_word int, last_word int"
 OUT = pa.schema(
@@ -89,38 +89,6 @@ def found(sorted_seeds: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return np.flatnonzero(sorted_seeds[place] == hashes)
 
 
-def seed_counts(docs: DataFrame, items: Items) -> dict[int, int]:
-    """In how many documents each of a block's seeds stands; counted over all documents."""
-    seeds = np.unique(items.seeds)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(seeds), np.int64)
-        for batch in batches:
-            for block in blocks(batch.column("text")):
-                hashes, _, doc = short_runs(words_of(block))
-                hit = found(seeds, hashes)
-                both = np.unique(np.stack([np.searchsorted(seeds, hashes[hit]), doc[hit]], 1), axis=0)
-                total += np.bincount(both[:, 0], minlength=len(seeds))
-        has = np.flatnonzero(total)
-        yield pa.RecordBatch.from_pydict({"seed": pa.array(seeds[has].view(np.int64)), "n": pa.array(total[has])})
-
-    counted = docs.select("text").mapInArrow(count, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n"))
-    got = counted.toArrow()
-    return dict(zip(got["seed"].to_numpy().view(U).tolist(), got["n"].to_numpy().tolist()))
-
-
-def rare(items: Items, counts: dict[int, int], documents: int) -> Items:
-    """Keep the seeds in at most one of RARE_SHARE documents, and the rarest SEEDS_LEAST of every item."""
-    n = np.array([counts.get(s, 0) for s in items.seeds.tolist()], np.int64)
-    order = np.lexsort((items.seed_place, n, items.seed_item))
-    item = items.seed_item[order]
-    rank = np.arange(len(order)) - np.searchsorted(item, item)
-    keep = np.zeros(len(order), bool)
-    keep[order] = rank < SEEDS_LEAST
-    keep |= n <= max(RARE_LEAST, documents // RARE_SHARE)
-    return items._replace(seeds=items.seeds[keep], seed_item=items.seed_item[keep], seed_place=items.seed_place[keep])
-
-
 def aligned(item: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Smith-Waterman of one item with the rows of a matrix of words: best value, its first and last column.
 
@@ -156,17 +124,32 @@ def aligned(item: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return best, low, high
 
 
-def leaks_in(texts: pa.Array, items: Items) -> dict[tuple[int, int], tuple[float, int, int]]:
-    """Best alignment of every pair of a document and an item that share a seed."""
-    words = words_of(texts)
+def hits(words: Words, items: Items) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Text, item and supposed begin of the item, for every seed of an item in a text; about HITS at a time."""
     hashes, at, doc = short_runs(words)
     hit = found(items.seeds, hashes)
     left, right = np.searchsorted(items.seeds, hashes[hit]), np.searchsorted(items.seeds, hashes[hit], "right")
-    times = right - left
-    which = np.repeat(left, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-    place, doc = np.repeat(at[hit], times), np.repeat(doc[hit], times)
-    item = items.seed_item[which]
-    start = place - items.seed_place[which]  # where the item would begin
+    total = np.concatenate([[0], np.cumsum(right - left)])
+    a = 0
+    while a < len(hit):
+        b = max(a + 1, int(np.searchsorted(total, total[a] + HITS, "right")) - 1)
+        times = right[a:b] - left[a:b]
+        which = np.repeat(left[a:b], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        yield np.repeat(doc[hit[a:b]], times), items.seed_item[which], np.repeat(at[hit[a:b]], times) - items.seed_place[which]
+        a = b
+
+
+def leaks_in(texts: pa.Array, items: Items) -> dict[tuple[int, int], tuple[float, int, int]]:
+    """Best alignment of every pair of a document and an item that share a seed."""
+    words = words_of(texts)
+    best: dict[tuple[int, int], tuple[float, int, int]] = {}
+    for doc, item, start in hits(words, items):
+        align(words, items, doc, item, start, best)
+    return best
+
+
+def align(words: Words, items: Items, doc: np.ndarray, item: np.ndarray, start: np.ndarray, best: dict[tuple[int, int], tuple[float, int, int]]) -> None:
+    """Enter the best alignments of some hits."""
     length = np.diff(items.first)
     # Hits of one pair whose starts lie within a quarter of the item are one window.
     slot = start // np.maximum(length[item] // 4, 4)
@@ -174,7 +157,6 @@ def leaks_in(texts: pa.Array, items: Items) -> dict[tuple[int, int], tuple[float
     doc, item, start, slot = doc[order], item[order], start[order], slot[order]
     new = np.append(True, (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (slot[1:] != slot[:-1]))[: len(doc)]
     doc, item, start = doc[new], item[new], start[new]
-    best: dict[tuple[int, int], tuple[float, int, int]] = {}
     by_item = np.argsort(item, kind="stable")
     edges = np.flatnonzero(np.append(True, np.diff(item[by_item]) != 0)[: len(item)])
     for group in np.split(by_item, edges[1:]) if len(item) else []:
@@ -186,6 +168,9 @@ def leaks_in(texts: pa.Array, items: Items) -> dict[tuple[int, int], tuple[float
             column = start[some][:, None] - margin + np.arange(n + 2 * margin)
             inside = (column >= words.first[doc[some]][:, None]) & (column < words.first[doc[some] + 1][:, None])
             window = np.where(inside, words.hashes[np.clip(column, 0, len(words.hashes) - 1)], U(0))
+            # The threshold takes so many equal words, each of the item's and of the window's used once.
+            enough = np.isin(window, own).sum(1) >= THRESHOLD * n
+            some, window = some[enough], window[enough]
             value, low, high = aligned(own, window)
             for j, v, a, b in zip(some.tolist(), value.tolist(), low.tolist(), high.tolist()):
                 score = v / (MATCH * n)
@@ -195,7 +180,6 @@ def leaks_in(texts: pa.Array, items: Items) -> dict[tuple[int, int], tuple[float
                     key, new_best = (d, int(item[j])), (score, begin + a, begin + b)
                     if key not in best or (-score, begin + a) < (-best[key][0], best[key][1]):
                         best[key] = new_best
-    return best
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
@@ -207,19 +191,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFram
     treated in blocks, each against all documents.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
-    documents = rows.count()
     out = None
     for items in shards(benchmark):
-        seeds = rare(items, seed_counts(rows, items), documents)
 
-        def search(batches: Iterator[pa.RecordBatch], seeds=seeds) -> Iterator[pa.RecordBatch]:
+        def search(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 row = 0
                 for block in blocks(batch.column("text")):
                     ids = batch.column("doc_id").slice(row, len(block)).to_pylist()
                     row += len(block)
-                    got = leaks_in(block, seeds)
-                    lines = [(ids[d], int(seeds.ids[i]), *rest) for (d, i), rest in got.items()]
+                    got = leaks_in(block, items)
+                    lines = [(ids[d], int(items.ids[i]), *rest) for (d, i), rest in got.items()]
                     if lines:
                         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*lines), OUT)], schema=OUT)
 
