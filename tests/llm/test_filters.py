@@ -161,6 +161,13 @@ def test_edited_copies_of_a_frequent_item_are_found(spark):
     assert got.score[100] == pytest.approx((2 * 34 - 4) / 76) and got.first_word[100] == 50
 
 
+def test_short_items_are_found_within_longer_documents(spark):
+    items = [(1, "a b"), (2, "one"), (3, "x y z"), (4, " ".join(prose("long", 20)))]
+    rows = [(1, "p q A b r s t u"), (2, "b a"), (3, "x y"), (4, "z one x y z"), (5, "one"), (6, None), (7, "y x z"), (8, items[3][1])]
+    got = {(r.doc_id, r.item_id): (r.score, r.first_word, r.last_word) for r in decontaminate.leaks(documents(spark, rows), benchmark(spark, items)).collect()}
+    assert got == {(1, 1): (1, 2, 3), (4, 2): (1, 1, 1), (4, 3): (1, 2, 4), (5, 2): (1, 0, 0), (8, 4): (1, 0, 19)}
+
+
 def test_hits_in_small_parts_give_the_same_alignments(monkeypatch):
     items = decontaminate.items_of(np.arange(3), pa.array([" ".join(prose("same", 10) + prose(f"i{i}", 10)) for i in range(3)]))
     texts = pa.array([" ".join(prose("x", 9) + prose("same", 10) + prose(f"i{i}", 10)) for i in range(3)])

@@ -4,7 +4,8 @@ Seeds are all short word n-grams of the items. Where a document holds a seed, th
 around it are aligned with the item (Smith-Waterman on words); the score is the
 alignment's value over that of the item with itself. Windows with too few words of the
 item to reach the threshold are passed over first; this loses no pair, so how often an
-item or its seeds stand in the documents does not matter.
+item or its seeds stand in the documents does not matter. Items of fewer words than a
+seed are found where they stand verbatim, anywhere in a document.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ OUT = pa.schema(
 
 
 class Items(NamedTuple):
-    """Items end to end, and their seeds sorted by hash with item and place."""
+    """Items end to end, their seeds sorted by hash with item and place, and the lengths of seeds."""
 
     ids: np.ndarray
     words: np.ndarray
@@ -42,25 +43,29 @@ class Items(NamedTuple):
     seeds: np.ndarray
     seed_item: np.ndarray
     seed_place: np.ndarray
+    sizes: list[int]
 
 
-def short_runs(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Seed hashes, their first words and their texts; a text of fewer words is one seed."""
-    hashes, at = runs(words, SEED_WORDS)
-    count = np.diff(words.first)
-    doc = np.repeat(np.arange(len(count)), count)[at]
-    short = np.flatnonzero((count > 0) & (count < SEED_WORDS))
-    if len(short):
-        whole = np.array([int(mixed(np.array([words.hashes[a:b].sum() + U(b - a)], U))[0]) for a, b in zip(words.first[short], words.first[short + 1])], U)
-        hashes, at, doc = np.concatenate([hashes, whole]), np.concatenate([at, words.first[short]]), np.concatenate([doc, short])
-    return hashes, at, doc
+def seed_runs(words: Words, sizes: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all runs of so many words, their first words and their texts."""
+    parts = [runs(words, size) for size in sizes]
+    hashes, at = np.concatenate([h for h, _ in parts]), np.concatenate([a for _, a in parts])
+    return hashes, at, np.repeat(np.arange(len(words.first) - 1), np.diff(words.first))[at]
 
 
 def items_of(ids: np.ndarray, texts: pa.Array) -> Items:
+    """An item of fewer than SEED_WORDS words is one seed, looked for as a run of its own length."""
     words = words_of(texts)
-    hashes, at, item = short_runs(words)
+    own = np.minimum(np.diff(words.first), SEED_WORDS)
+    sizes = np.unique(own[own > 0]).tolist() or [SEED_WORDS]
+    parts = []
+    for size in sizes:
+        hashes, at, item = seed_runs(words, [size])
+        fits = own[item] == size
+        parts.append((hashes[fits], at[fits], item[fits]))
+    hashes, at, item = (np.concatenate(x) for x in zip(*parts))
     order = np.argsort(hashes, kind="stable")
-    return Items(ids, words.hashes, words.first, hashes[order], item[order], (at - words.first[item])[order])
+    return Items(ids, words.hashes, words.first, hashes[order], item[order], (at - words.first[item])[order], sizes)
 
 
 def shards(benchmark: DataFrame) -> Iterator[Items]:
@@ -126,7 +131,7 @@ def aligned(item: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 def hits(words: Words, items: Items) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Text, item and supposed begin of the item, for every seed of an item in a text; about HITS at a time."""
-    hashes, at, doc = short_runs(words)
+    hashes, at, doc = seed_runs(words, items.sizes)
     hit = found(items.seeds, hashes)
     left, right = np.searchsorted(items.seeds, hashes[hit]), np.searchsorted(items.seeds, hashes[hit], "right")
     total = np.concatenate([[0], np.cumsum(right - left)])
