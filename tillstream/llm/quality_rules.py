@@ -5,7 +5,9 @@ cutoff is accepted if an exact binomial test rejects "this rule turns down more
 share of good documents of the stratum". A rule's cutoffs are tried from the loosest to
 the tightest and the last before the first failure counts (a fixed sequence needs no
 correction); over rules and strata the level is divided (Bonferroni). So with probability
-of at least 1 - LEVEL no stratum loses more than RISK of its good documents.
+of at least 1 - LEVEL no stratum that stands alone loses more than RISK of its good
+documents. For each of those behind the STRATA largest, and for unlabelled ones, which
+follow the pooled cutoff, this is not promised.
 
 SQL functions only; statistics are computed once and stored.
 """
