@@ -6,14 +6,26 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm import bpe_codec, decontaminate, line_dedup, lm_score, ngram_join, piece_counts, quality_fm, quality_rules, toxicity, warc
+from tillstream.llm import (
+    bpe_codec, decontaminate, line_dedup, lm_score, ngram_join, piece_counts, quality_fm, quality_rules, resampling, token_alignment, toxicity,
+    url_filters, warc,
+)
 from tillstream.llm.samples import fold
 from tillstream.llm.stage import table, whole_text
 from tillstream.sources.settings import fresh_folder
 
 WORD_VOCABULARY = "word_bpe_49k.json"
 PIECE_MODEL = "piece_bpe_32k.model"
+BYTE_VOCABULARY = "byte_bpe_50k.json"
 TOKEN_LIMIT = 4096
+# Verdict, host and path of the rules for URLs.
+URL_RULES = [
+    url_filters.Rule("allow", "com", "/"),
+    url_filters.Rule("block", "example.com", "/en/"),
+    url_filters.Rule("allow", "www.example.com", "/en/"),
+    url_filters.Rule("block", "net", "/es/"),
+    url_filters.Rule("block", "net", "/fr/"),
+]
 
 
 def sha256_of_ids(ids: Column) -> Column:
@@ -99,6 +111,25 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    a, b = public_tokenizers.path(BYTE_VOCABULARY), public_tokenizers.path(PIECE_MODEL)
+    aligned = token_alignment.with_links(docs, a, b, keep=["doc_id"], digest=True)
+    return aligned.select(F.col("doc_id").cast("long").alias("doc_id"), *token_alignment.COLUMNS[:-1], F.col("groups").alias("groups_sha256"))
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    drawn = resampling.resampled(docs, table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    listed = url_filters.urls_of_blocked_hosts(pages, URL_RULES)
+    return url_filters.with_verdicts(pages, listed, URL_RULES).select("page_id", *url_filters.COLUMNS)
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_lm_score": op2_lm_score,
@@ -110,6 +141,9 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_warc": op9_warc,
     "op10_quality_rules": op10_quality_rules,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_resampling": op12_resampling,
+    "op13_url_filters": op13_url_filters,
 }
 
 BASE32 = " || ".join(
@@ -128,7 +162,50 @@ RULE_STATISTICS = " union all ".join(
 )
 RULE_SHARE = quality_rules.RISK / len(quality_rules.RULES)
 
+RULE_ROWS = ", ".join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in URL_RULES)
+LOWERED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+RESAMPLED_WORDS = "regexp_extract_all(" + LOWERED.format("coalesce(text, '')") + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
 SQL: dict[str, str] = {
+    "op13_url_filters": f"""
+        with p as (select page_id, {LOWERED.format("coalesce(regexp_extract(url, '://([^/?#]*)([^?#]*)', 1), '')")} as host,
+                          coalesce(regexp_extract(url, '://([^/?#]*)([^?#]*)', 2), '') as path,
+                          row_number() over () as pos from pages),
+        c as (select *, regexp_replace(host, '\\.?(:(80|443)?)?\\z', '') as plain from p),
+        u as (select *, case when plain <> '' then plain || regexp_replace(path, '/+\\z', '') end as canonical from c),
+        f as (select pos, arg_max(r.verdict, length(r.host || r.path)) as verdict, arg_max(r.host || r.path, length(r.host || r.path)) as rule
+              from u join (values {RULE_ROWS}) r(verdict, host, path)
+              on (u.host = r.host or ends_with(u.host, '.' || r.host)) and starts_with(u.path, r.path) group by pos),
+        v as (select u.*, f.rule, f.verdict from u left join f on u.pos = f.pos),
+        h as (select host from v where host <> '' group by host having 2 * count(*) filter (verdict = 'block') >= count(*)),
+        l as (select distinct canonical from v where host in (select host from h) and canonical is not null)
+        select page_id, host, path, rule, coalesce(verdict, case when canonical in (select canonical from l) then 'block' else 'allow' end) as verdict
+        from v
+    """,
+    "op12_resampling": f"""
+        with z as (select list(list_reduce(list_prepend(i::bigint, range(8)), lambda c, k: case when c & 1 = 1
+                              then xor(c >> 1, 3988292384) else c >> 1 end) order by i) as t from range(256) r(i)),
+        d as (select doc_id, row_number() over () as pos, {RESAMPLED_WORDS} as w from documents),
+        b as (select {RESAMPLED_WORDS} as w from benchmark),
+        x as (select pos, unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])
+                     || list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) as f from d),
+        y as (select unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])
+                     || list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) as f from b),
+        n as (select f, hex(encode(f)) as h from (select f from x union select f from y)),
+        k as (select f, xor(list_reduce(list_prepend(4294967295::bigint, list_transform(range(len(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::bigint)),
+                     lambda c, e: xor(c >> 8, t[(xor(c, e) & 255) + 1])), 4294967295) % {resampling.BUCKETS} as bucket from n, z),
+        s as (select bucket, count(*) as s from x join k on x.f = k.f group by bucket),
+        t as (select bucket, count(*) as t from y join k on y.f = k.f group by bucket),
+        g as (select bucket, floor(1000 * ln((coalesce(t, 0) + 1)::double * ((select count(*) from x) + {resampling.BUCKETS})
+                     / ((s + 1)::double * ((select count(*) from y) + {resampling.BUCKETS}))))::bigint as gain from s left join t using (bucket)),
+        w as (select pos, count(*) as n_features, sum(gain)::bigint as weight from x join k on x.f = k.f join g using (bucket) group by pos),
+        o as (select d.doc_id, d.pos, len(w) as n_words, coalesce(n_features, 0) as n_features, coalesce(weight, 0) as weight, coalesce(weight, 0)
+                     + floor(-1000 * ln(-ln((('0x' || substr(sha256('{resampling.SEED}:' || coalesce(doc_id::varchar, '')), 1, 8))::bigint + 0.5)::double / 4294967296)))::bigint as score
+              from d left join w on d.pos = w.pos),
+        r as (select *, row_number() over (order by n_words >= {resampling.MIN_WORDS} desc, score desc, doc_id nulls last, pos) as place,
+                     count(*) filter (n_words >= {resampling.MIN_WORDS}) over () as n from o)
+        select doc_id, n_features, weight, score, case when place <= {resampling.PERCENT} * n // 100 then place end as rank from r
+    """,
     # Holds while there are no more strata than stand alone.
     "op10_quality_rules": f"""
         with d as (select doc_id, coalesce(lang, '') as stratum, coalesce(text, '') as text from documents),
