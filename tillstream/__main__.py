@@ -16,6 +16,7 @@ from dataclasses import replace
 from pyspark.sql import SparkSession
 
 from tillstream.operators.column_tests import AGG_TESTS, FACT_TESTS, run_suite
+from tillstream.operators.decode import AHEAD, BEHIND
 from tillstream.operators.quality import QualityError, freshness, run_checks
 from tillstream.plans.fact import refresh_fact
 from tillstream.sources.readers import read_days, read_events
@@ -44,6 +45,9 @@ def _parser() -> argparse.ArgumentParser:
         help="global state grows for ever; in production take within_watermark, and the fact merge for what comes later",
     )
     stream.add_argument("--delay", default="10 minutes", help="how late a row may be")
+    stream.add_argument("--late", help="folder for rows behind the watermark, which are dropped otherwise")
+    stream.add_argument("--ahead", default=AHEAD, help="how far a row's time may be ahead of its message's arrival; rejected beyond")
+    stream.add_argument("--behind", default=BEHIND, help="how far it may be behind")
     stream.add_argument("--state-partitions", type=int, help="frozen by the first start")
     stream.add_argument("--max-offsets", type=int, help="bound of a micro-batch; or KAFKA_MAX_OFFSETS_PER_TRIGGER")
     stream.add_argument("--min-partitions", type=int, help="tasks that read the topic; or KAFKA_MIN_PARTITIONS")
@@ -55,6 +59,7 @@ def _parser() -> argparse.ArgumentParser:
     fact.add_argument("--fact", required=True)
     fact.add_argument("--lookback")
     fact.add_argument("--full-refresh", action="store_true")
+    fact.add_argument("--ahead", default=AHEAD, help="rows later than now by more than this are left in the raw table")
 
     checks = commands.add_parser("checks", help="print PASS or the failing checks")
     checks.add_argument("--raw", required=True)
@@ -79,7 +84,7 @@ def _stream(spark: SparkSession, args: argparse.Namespace) -> int:
     checkpoint = args.checkpoint or settings.checkpoint_dir
     if not checkpoint:
         raise SystemExit("name a checkpoint: --checkpoint or CHECKPOINT_DIR")
-    options = {"settings": settings} if args.source == "kafka" else {"path": args.path, "schema": "value binary"}
+    options = {"settings": settings} if args.source == "kafka" else {"path": args.path, "schema": "value binary", "arrival": "timestamp"}
     if args.upsert_agg:
         write_agg = upsert_to(spark, args.agg, AGG_SCHEMA, ("store_id", "window_start"), "window_start", True)
     else:
@@ -90,7 +95,10 @@ def _stream(spark: SparkSession, args: argparse.Namespace) -> int:
         write_raw=replace_batch(args.raw),
         write_agg=write_agg,
         write_rejects=replace_batch(args.rejects) if args.rejects else None,
+        write_late=replace_batch(args.late) if args.late else None,
         fmt=args.payload,
+        ahead=args.ahead,
+        behind=args.behind,
         dedup_mode=args.dedup,
         delay=args.delay,
         partitions=args.state_partitions,
@@ -102,7 +110,7 @@ def _stream(spark: SparkSession, args: argparse.Namespace) -> int:
 
 def _fact(spark: SparkSession, args: argparse.Namespace) -> int:
     raw = read_days(spark, args.raw, RAW_SCHEMA)
-    refresh_fact(spark, raw, args.fact, args.lookback, args.full_refresh)
+    refresh_fact(spark, raw, args.fact, args.lookback, args.full_refresh, ahead=args.ahead)
     return 0
 
 

@@ -160,6 +160,33 @@ def upsert_days(
     finish_upsert(spark, path)
 
 
+def replace_table(spark: SparkSession, path: str, frame: DataFrame, time: str = TIME) -> None:
+    """Build a table anew: all days are staged, then a mark is set and days are swapped.
+
+    The old table stays as it is until all of the new one is written; a run cut short
+    behind the mark is completed by the next one, as an upsert is. The frame may read the
+    table it replaces.
+    """
+    finish_upsert(spark, path)
+    staging, folders = staging_of(path), Folders(spark, path)
+    folders.drop(staging)
+    write_days(frame, f"{staging}/{WHOLE_DAYS}", time)
+    staged = day_folders(folders, f"{staging}/{WHOLE_DAYS}")
+    gone = sorted({*day_folders(folders, path)} - {*staged})
+    folders.make(path)
+    folders.write_lines(f"{staging}/{READY}", [*[f"replace {d}" for d in staged], *[f"drop {d}" for d in gone]])
+    finish_upsert(spark, path)
+
+
+def day_number(folder: str) -> tuple[int, ...] | None:
+    """Year, month and day that a folder names; years of any length compare as numbers."""
+    try:
+        year, month, day = folder.partition("=")[2].rsplit("-", 2)
+        return int(year), int(month), int(day)
+    except ValueError:
+        return None
+
+
 def expire_days(spark: SparkSession, path: str, as_of: AsOf = None, keep: int = 90) -> list[str]:
     """Retention: drop the folders of days before the last `keep`, and name them.
 
@@ -168,7 +195,8 @@ def expire_days(spark: SparkSession, path: str, as_of: AsOf = None, keep: int =
     """
     bound = str(spark.range(1).select(utc_day(ago(as_of, f"{keep} days"))).first()[0])
     folders = Folders(spark, path)
-    gone = [d for d in day_folders(folders, path) if d != day_folder(None) and d.partition("=")[2] < bound]
+    numbers = {d: day_number(d) for d in day_folders(folders, path)}
+    gone = [d for d, number in numbers.items() if number is not None and number < day_number(f"={bound}")]
     for day in gone:
         folders.drop(f"{path}/{day}")
     return gone

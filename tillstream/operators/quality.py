@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstream.functions.columns import AsOf, ago, any_null, line_revenue, moment, pass_fail, plain_number
+from tillstream.operators.decode import REASONS
 from tillstream.operators.keys import KEY, duplicate_keys
 from tillstream.operators.selection import recent
 from tillstream.sources.schemas import REQUIRED, TIME
@@ -245,7 +246,7 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
 def reject_check(rejects: DataFrame) -> DataFrame:
     """One row: whether any message was rejected, how many, and for which reason."""
     reason = F.col("reject_reason")
-    counts = [F.count_if(reason == r).alias(r) for r in ("not_framed", "undecodable", "missing_required")]
+    counts = [F.count_if(reason == r).alias(r) for r in REASONS]
     return rejects.agg(F.count(F.lit(1)).alias("reject_count"), *counts).select(
-        pass_fail(F.col("reject_count") == 0).alias("reject_check_status"), "reject_count", "not_framed", "undecodable", "missing_required"
+        pass_fail(F.col("reject_count") == 0).alias("reject_check_status"), "reject_count", *REASONS
     )

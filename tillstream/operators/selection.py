@@ -47,12 +47,22 @@ def rows_with_nulls(frame: DataFrame, columns: Sequence[str] = tuple(REQUIRED))
     return frame.where(any_null(columns))
 
 
-def newer_than(frame: DataFrame, target: DataFrame, lookback: str | None = None) -> DataFrame:
+def up_to(frame: DataFrame, ceiling: Column) -> DataFrame:
+    """Rows no later than `ceiling`, and those without a time."""
+    if DAY in frame.columns:
+        frame = frame.where((F.col(DAY) <= utc_day(ceiling)) | F.col(DAY).isNull())
+    return frame.where((F.col(TIME) <= ceiling) | F.col(TIME).isNull())
+
+
+def newer_than(frame: DataFrame, target: DataFrame, lookback: str | None = None, ceiling: Column | None = None) -> DataFrame:
     """Rows newer than the newest row of `target`, less `lookback`.
 
-    Everything is new to an empty target. The bound is one scalar subquery,
-    which Spark evaluates before the scan and pushes into it.
+    Everything is new to an empty target. The bound is one scalar subquery, which Spark
+    evaluates before the scan and pushes into it. Rows of either side later than `ceiling`
+    don't count: a damaged clock must not move the bound past all that is still to come.
     """
+    if ceiling is not None:
+        frame, target = up_to(frame, ceiling), up_to(target, ceiling)
     bound = F.col(TIME) - F.expr(f"interval {lookback}") if lookback else F.col(TIME)
     newest = high_water(target, TIME, DAY if DAY in target.columns else None).select(
         F.coalesce(bound, F.lit(_BEFORE_ALL).cast("timestamp"))

@@ -373,6 +373,16 @@ FROM sales WHERE NOT ({SHORT} OR {NOT_JSON})""",
             f"""SELECT event_id, CASE WHEN {SHORT} THEN 'not_framed' WHEN {NOT_JSON} THEN 'undecodable' ELSE 'missing_required' END
          AS reject_reason
 FROM events WHERE {SHORT} OR {NOT_JSON} OR {NO_STORE} OR {NO_TIME}"""
+        ),
+        "decode_versions": _with(
+            SALES,
+            """SELECT event_id, reason AS reject_reason,
+       CASE WHEN reason IS NULL THEN transaction_id END AS transaction_id, CASE WHEN reason IS NULL THEN store_id END AS store_id,
+       CASE WHEN reason IS NULL THEN product_id END AS product_id, CASE WHEN reason IS NULL THEN CAST(quantity AS DOUBLE) END AS quantity,
+       CASE WHEN reason IS NULL THEN CAST(CAST(price AS REAL) AS DOUBLE) END AS price,
+       CASE WHEN reason IS NULL THEN CASE WHEN event_id % 3 = 0 THEN 'online' ELSE payment_type END END AS payment_type,
+       CASE WHEN reason IS NULL THEN date_trunc('second', transaction_ts) END AS transaction_ts
+FROM (SELECT *, CASE WHEN event_id % 67 = 0 THEN 'unknown_schema' WHEN event_id % 71 = 0 THEN 'undecodable' END AS reason FROM sales)""",
         ),
         # fact table
         "fact_full": _with(DIRTY, f"SELECT *, round({REV}, 2) AS revenue FROM ({_first('sales_dirty')})"),
@@ -517,13 +527,26 @@ FROM (SELECT coalesce(a.hr, b.hr) AS hr, coalesce(a.n, 0) AS source_rows, coales
             "SELECT transaction_id, transaction_ts FROM sliced JOIN marks USING (slice) "
             "WHERE watermark IS NULL OR transaction_ts > watermark",
         ),
+        "stream_late_output": _with(
+            SALES
+            + """, arrivals AS (
+  SELECT transaction_id, transaction_ts AS arrived_at,
+         transaction_ts - CASE WHEN event_id % 7 = 0 THEN INTERVAL 3 DAY ELSE INTERVAL 0 DAY END AS transaction_ts
+  FROM sales
+)"""
+            + _SLICES,
+            "SELECT transaction_id, transaction_ts, coalesce(transaction_ts <= watermark, false) AS is_late "
+            "FROM sliced JOIN marks USING (slice)",
+        ),
+        "stream_implausible": _with(ACCEPTED, f"SELECT {COLS} FROM accepted WHERE event_id % 59 <> 0 AND event_id % 61 <> 0"),
         "stream_agg_5min": _with(SALES, _closed_windows("sales")),
         "stream_raw_append": _with(ACCEPTED, f"SELECT {COLS} FROM accepted"),
         "stream_job_windows": _with(ACCEPTED, _closed_windows("accepted")),
         "dq_rejects": f"""
 SELECT CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END AS reject_check_status, count(*) AS reject_count,
        count(*) FILTER ({SHORT}) AS not_framed, count(*) FILTER (NOT ({SHORT}) AND {NOT_JSON}) AS undecodable,
-       count(*) FILTER (NOT ({SHORT}) AND NOT ({NOT_JSON})) AS missing_required
+       count(*) FILTER (NOT ({SHORT}) AND NOT ({NOT_JSON})) AS missing_required,
+       CAST(0 AS BIGINT) AS unknown_schema, CAST(0 AS BIGINT) AS implausible_time
 FROM events WHERE {SHORT} OR {NOT_JSON} OR {NO_STORE} OR {NO_TIME}""",
         "stream_rejects": (
             f"""SELECT event_id, CASE WHEN {SHORT} THEN 'not_framed' WHEN {NOT_JSON} THEN 'undecodable' ELSE 'missing_required' END

@@ -29,10 +29,12 @@ from tillstream.sources.schemas import (
     RAW_SCHEMA,
     RAW_TABLE,
     SALE_COLUMNS,
+    wire_schema,
 )
 from tillstream.sources.settings import fresh_folder
 from tillstream.streaming.dedup import deduplicate
 from tillstream.streaming.jobs import SalesJob, start
+from tillstream.streaming.late import with_lateness
 from tillstream.streaming.sinks import append_to, replace_batch, upsert_to
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -216,6 +218,40 @@ def on_stream(view: Callable[[DataFrame], DataFrame], build: Callable[[DataFrame
     return lambda spark, sf_dir: drain(spark, build(view(views.events_stream(spark, sf_dir))), label)
 
 
+def stream_implausible(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of which some have damaged clocks, in slices; then the fact from what was stored, in two runs."""
+    arrivals = views.wire_misdated(views.events(spark, sf_dir)).select("value", "arrived_at")
+
+    def build(stream: DataFrame) -> DataFrame:
+        return SalesJob(stream.withColumnRenamed("arrived_at", "timestamp"), checkpoint="", write_raw=None, write_agg=None).raw()
+
+    raw = drain_in_slices(spark, arrivals, build, "implausible")
+    path = f"{fresh_folder(spark, 'implausible-fact')}/table"
+    refresh_fact(spark, raw.where(F.col("transaction_ts") < F.lit(FACT_UP_TO).cast("timestamp")), path)
+    refresh_fact(spark, raw, path)
+    return read_days(spark, path, FACT_SCHEMA).select(*SALE_COLUMNS)
+
+
+def stream_late_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All accepted rows, those behind the watermark marked instead of dropped."""
+    arrivals = views.sales_delayed(views.events(spark, sf_dir)).select("transaction_id", "transaction_ts", "arrived_at")
+    kept = drain_in_slices(spark, arrivals, with_lateness, "late-output")
+    return kept.select("transaction_id", "transaction_ts", "is_late")
+
+
+# The writer schemas of the messages in `wire_versions`.
+SECOND_WRITER = [(c, T.StringType()) for c in ("transaction_id", "store_id", "product_id", "unit_price", "transaction_ts")] + [("quantity", T.IntegerType())]
+VERSIONS = {
+    1: decode.Writer(wire_schema()),
+    2: decode.Writer(T.StructType([T.StructField(*f) for f in SECOND_WRITER]), {"price": "unit_price"}, {"payment_type": "online"}),
+}
+
+
+def decode_versions(messages: DataFrame) -> DataFrame:
+    rows = decode.with_reject_reason(messages, keep=("event_id",), versions=VERSIONS)
+    return _double_price(rows).withColumn("quantity", F.col("quantity").cast("double")).select("event_id", "reject_reason", *SALE_COLUMNS)
+
+
 def _in_slices(view, mode: str, label: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         arrivals = view(views.events(spark, sf_dir)).select("transaction_id", "transaction_ts", "arrived_at")
@@ -389,6 +425,7 @@ def _definitions() -> dict[str, Query]:
                 "event_id", "reject_reason"
             )
         ),
+        "decode_versions": _on(views.wire_versions, decode_versions),
         # fact table
         "fact_full": on_dirty(lambda s: rounded(build_fact(s), 2, "revenue")),
         "fact_first_occurrence": on_dirty(lambda s: _sale_columns(keys.first_occurrence(s.drop("event_id")))),
@@ -446,6 +483,8 @@ def _definitions() -> dict[str, Query]:
         "stream_dedup": on_stream(views.sales_repeated, lambda s: _sale_columns(deduplicate(s)), "dedup"),
         "stream_dedup_within": _in_slices(views.sales_resent, "within_watermark", "dedup-within"),
         "stream_late_drop": _in_slices(views.sales_delayed, "global", "late"),
+        "stream_implausible": stream_implausible,
+        "stream_late_output": stream_late_output,
         "stream_agg_5min": lambda spark, sf_dir: window_money(
             on_stream(views.sales, _stream_windows, "agg")(spark, sf_dir)
         ),

@@ -25,6 +25,9 @@ class Folders:
     def matching(self, pattern: str) -> list[str]:
         return sorted(s.getPath().toString() for s in self._system.globStatus(self._path(pattern)) or [])
 
+    def make(self, path: str) -> None:
+        self._system.mkdirs(self._path(path))
+
     def drop(self, path: str) -> None:
         self._system.delete(self._path(path), True)
 

@@ -59,16 +59,18 @@ def stream_topic(spark: SparkSession, settings: TopicSettings) -> DataFrame:
 
 
 def stream_files(
-    spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "parquet", **options: str
+    spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "parquet", arrival: str | None = None, **options: str
 ) -> DataFrame:
     """Files that arrive in a folder.
 
     A table may be one file or a folder of that name; the file source only
     accepts a lone file through a pattern, so the last letter becomes one.
-    `maxFilesPerTrigger` or `maxBytesPerTrigger` bound a micro-batch.
+    `maxFilesPerTrigger` or `maxBytesPerTrigger` bound a micro-batch. `arrival` names a
+    column to add with the time each row's file was written.
     """
     pattern = f"{path[:-1]}[{path[-1]}]" if path.endswith(f".{fmt}") else path
-    return spark.readStream.schema(schema).format(fmt).options(**options).load(pattern)
+    rows = spark.readStream.schema(schema).format(fmt).options(**options).load(pattern)
+    return rows.select("*", F.col("_metadata.file_modification_time").alias(arrival)) if arrival else rows
 
 
 def read_events(spark: SparkSession, source: str, **options) -> DataFrame:

@@ -7,7 +7,7 @@ two reads.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstream.sources.readers import stream_files
@@ -112,7 +112,10 @@ def wire(events: DataFrame) -> DataFrame:
 
     Damaged messages: too short, not JSON, no store, unreadable time.
     """
-    source = sales(events)
+    return _framed(sales(events), F.col("transaction_ts")).select("event_id", "value")
+
+
+def _framed(source: DataFrame, sent: Column) -> DataFrame:
     body = F.to_json(
         F.struct(
             *[
@@ -120,9 +123,7 @@ def wire(events: DataFrame) -> DataFrame:
                 for c in SALE_COLUMNS
                 if c != "transaction_ts"
             ],
-            F.when(_nth(53), "garbage")
-            .otherwise(F.date_format("transaction_ts", TIME_PATTERN))
-            .alias("transaction_ts"),
+            F.when(_nth(53), "garbage").otherwise(F.date_format(sent, TIME_PATTERN)).alias("transaction_ts"),
         )
     )
     frame = F.unhex(F.lit(ENVELOPE))
@@ -131,4 +132,26 @@ def wire(events: DataFrame) -> DataFrame:
         .when(_nth(43), F.concat(frame, F.encode(F.lit("not json"), "utf-8")))
         .otherwise(F.concat(frame, F.encode(body, "utf-8")))
     )
-    return source.select("event_id", value.alias("value"))
+    return source.withColumn("value", value)
+
+
+def wire_misdated(events: DataFrame) -> DataFrame:
+    """The messages with their arrival; some clocks are 75 years ahead, some 75 years behind."""
+    far = F.expr("interval 75 years")
+    sent = F.when(_nth(59), F.col("transaction_ts") + far).when(_nth(61), F.col("transaction_ts") - far).otherwise(F.col("transaction_ts"))
+    return _framed(sales(events), sent).select("event_id", "value", F.col("transaction_ts").alias("arrived_at"))
+
+
+def wire_versions(events: DataFrame) -> DataFrame:
+    """Messages of two schemas, told apart by the id in their header, and some of a third that nobody knows.
+
+    The second writer calls the price `unit_price`, sends it as text, and knows no payment type.
+    """
+    source = sales(events)
+    when = F.date_format("transaction_ts", TIME_PATTERN).alias("transaction_ts")
+    plain = [F.col(c) for c in SALE_COLUMNS if c not in ("transaction_ts", "price", "payment_type")]
+    first = F.to_json(F.struct(*plain, "price", "payment_type", when))
+    second = F.to_json(F.struct(*plain, F.col("price").cast("string").alias("unit_price"), when))
+    number = F.when(_nth(67), "0000000003").when(_nth(3), "0000000002").otherwise("0000000001")
+    body = F.when(_nth(71), "not json").when(_nth(3), second).otherwise(first)
+    return source.select("event_id", F.concat(F.unhex(number), F.encode(body, "utf-8")).alias("value"))

@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tillstream.operators.aggregates import store_windows
-from tillstream.operators.decode import accepted, rejected, with_reject_reason
+from tillstream.operators.decode import AHEAD, BEHIND, Versions, accepted, rejected, with_reject_reason
 from tillstream.sources.schemas import SALE_COLUMNS
 from tillstream.streaming.dedup import DELAY, deduplicate
+from tillstream.streaming.late import split_late, with_lateness
 from tillstream.streaming.progress import BatchMetrics
 from tillstream.streaming.sinks import BatchWriter
 
@@ -80,6 +81,13 @@ class SalesJob:
 
     Rejects keep the message and, where the source has them, its topic, partition,
     offset and time. `metrics` listens while `run` is at work.
+
+    A row whose time is more than `ahead` later, or `behind` earlier, than its message came
+    is a reject, so that one damaged clock can't move the watermark past all other rows. A
+    message came when its `timestamp` column says (the broker's or the file's time), or
+    without that column at the time of the micro-batch. `versions` are the writer schemas
+    by the id in the header. With `write_late` the raw query hands late rows to that sink
+    instead of dropping them.
     """
 
     messages: DataFrame
@@ -87,7 +95,11 @@ class SalesJob:
     write_raw: BatchWriter
     write_agg: BatchWriter
     write_rejects: BatchWriter | None = None
+    write_late: BatchWriter | None = None
     fmt: str = "json"
+    versions: Versions | None = None
+    ahead: str = AHEAD
+    behind: str = BEHIND
     delay: str = DELAY
     width: str = "5 minutes"
     dedup_mode: str = "global"
@@ -98,16 +110,24 @@ class SalesJob:
     queries: list[StreamingQuery] = field(default_factory=list)
 
     def classified(self) -> DataFrame:
-        return with_reject_reason(self.messages, self.fmt, [c for c in MESSAGE_COLUMNS if c in self.messages.columns])
+        keep = [c for c in MESSAGE_COLUMNS if c in self.messages.columns]
+        arrival = F.col("timestamp") if "timestamp" in keep else F.current_timestamp()
+        return with_reject_reason(
+            self.messages, self.fmt, keep, arrival=arrival, ahead=self.ahead, behind=self.behind, versions=self.versions
+        )
+
+    def storable(self) -> DataFrame:
+        """Rows with the types of the raw table. Rejects leave before the deduplication,
+        so a damaged message cannot shadow a good one with its key."""
+        return accepted(self.classified()).select(*SALE_COLUMNS).withColumn("price", F.col("price").cast("double"))
 
     def raw(self) -> DataFrame:
-        """Storable rows, once each, with the types of the raw table. Rejects
-        leave before the deduplication, so a damaged message cannot shadow a
-        good one with its key."""
-        storable = accepted(self.classified()).select(*SALE_COLUMNS).withColumn("price", F.col("price").cast("double"))
-        return deduplicate(
-            storable, delay=self.delay, mode=self.dedup_mode, combine=self.combine
-        )
+        """Storable rows on time, once each."""
+        return deduplicate(self.storable(), delay=self.delay, mode=self.dedup_mode, combine=self.combine)
+
+    def raw_and_late(self) -> DataFrame:
+        """Storable rows, once each, those behind the watermark marked."""
+        return with_lateness(self.storable(), delay=self.delay, mode=self.dedup_mode, combine=self.combine)
 
     def windows(self) -> DataFrame:
         return store_windows(self.raw(), self.width)
@@ -116,7 +136,8 @@ class SalesJob:
         return rejected(self.classified())
 
     def start(self) -> list[StreamingQuery]:
-        parts = [("raw", self.raw(), self.write_raw), ("agg", self.windows(), self.write_agg)]
+        raw = (self.raw_and_late(), split_late(self.write_raw, self.write_late)) if self.write_late else (self.raw(), self.write_raw)
+        parts = [("raw", *raw), ("agg", self.windows(), self.write_agg)]
         if self.write_rejects:
             parts.append(("rejects", self.rejects(), self.write_rejects))
         for name, frame, writer in parts:
