@@ -1,0 +1,230 @@
+"""What the stored tables' files hold: key index, compaction, layout by two columns."""
+
+import glob
+import os
+import random
+
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import at, rows, sale
+from tests.test_event_time import Stop, dying
+from tests.test_merge import contents
+from tillstream.operators import key_index
+from tillstream.operators.aggregates import store_windows
+from tillstream.operators.compaction import compact_days
+from tillstream.operators.key_index import HASH, days_of_keys, has_index, index_of
+from tillstream.operators.merge import expire_days, finish_upsert, replace_table, upsert_days, write_days
+from tillstream.sources import views
+from tillstream.sources.readers import read_days
+from tillstream.sources.schemas import AGG_SCHEMA, AGG_WITHIN, BATCH, DAY, RAW_SCHEMA
+from tillstream.streaming.sinks import replace_batch
+
+DAYS = [f"2024-01-{d:02d}" for d in range(1, 9)]
+
+
+def spoil(path, days):
+    """Make all files of some days unreadable: whoever opens one fails."""
+    for day in days:
+        for file in glob.glob(f"{path}/{DAY}={day}/**/*.parquet", recursive=True):
+            with open(file, "wb") as out:
+                out.write(b"not a table")
+            crc = f"{os.path.dirname(file)}/.{os.path.basename(file)}.crc"
+            if os.path.exists(crc):
+                os.remove(crc)
+
+
+@pytest.fixture()
+def table(spark, sales, tmp_path):
+    path = f"{tmp_path}/table"
+    upsert_days(spark, path, sales(*[sale(f"{day}-{n}", f"{day} 0{n}:00") for day in DAYS for n in range(5)]), RAW_SCHEMA)
+    return path
+
+
+@pytest.mark.parametrize("literals", [0, 200])
+def test_an_upsert_opens_only_days_that_hold_a_key(spark, sales, table, monkeypatch, literals):
+    monkeypatch.setattr(key_index, "LITERALS", literals)
+    updates = sales(sale("2024-01-03-1", "2024-01-05 10:00", price=9.0), sale("new", "2024-01-06 00:00"), sale("2024-01-05-0", "2024-01-05 00:00", price=8.0))
+    spoil(table, set(DAYS) - {"2024-01-03", "2024-01-05"})
+    upsert_days(spark, table, updates, RAW_SCHEMA)
+    read = read_days(spark, table, RAW_SCHEMA).where(F.col(DAY).isin("2024-01-03", "2024-01-05"))
+    found = {r["transaction_id"]: r["price"] for r in read.collect()}
+    assert len(found) == 10 and found["2024-01-03-1"] == 9.0 and found["2024-01-05-0"] == 8.0
+    assert len(glob.glob(f"{table}/{DAY}=2024-01-06/*.parquet")) == 2
+
+
+def hashes(spark, table):
+    return rows(read_days(spark, index_of(table), key_index.SCHEMA), DAY, HASH)
+
+
+def test_the_index_always_names_the_days_of_all_keys(spark, sales, tmp_path):
+    random.seed(4)
+    path = f"{tmp_path}/t"
+    for step in range(6):
+        batch = [sale(f"k{random.randrange(20)}", f"2024-01-0{random.randrange(1, 5)} 00:00") for _ in range(6)] + [sale(f"n{step}", None)]
+        if step == 3:
+            replace_table(spark, path, sales(*{r[0]: r for r in batch}.values()), RAW_SCHEMA)
+        else:
+            upsert_days(spark, path, sales(*batch), RAW_SCHEMA)
+        held = read_days(spark, path, RAW_SCHEMA).select(DAY, F.xxhash64("transaction_id").alias(HASH))
+        assert rows(held, DAY, HASH) == hashes(spark, path)
+    expire_days(spark, path, "2024-01-04 00:00", keep=2)
+    assert {r[0] for r in hashes(spark, path)} <= {None, at("2024-01-02 00:00").date(), at("2024-01-03 00:00").date(), at("2024-01-04 00:00").date()}
+
+
+def test_a_table_without_an_index_gets_one(spark, sales, tmp_path):
+    path = f"{tmp_path}/old"
+    write_days(sales(sale("a", "2024-01-01 00:00"), sale("b", "2024-01-02 00:00")), path)
+    assert not has_index(spark, path)
+    upsert_days(spark, path, sales(sale("a", "2024-01-03 00:00", price=3.0)), RAW_SCHEMA)
+    assert has_index(spark, path) and len(hashes(spark, path)) == 2
+    assert [r[:2] for r in contents(spark, path)] == [("a", 3.0), ("b", 1.0)]
+    # A sink that doesn't keep the index removes it; the next upsert builds it anew.
+    replace_batch(path)(sales(sale("c", "2024-01-01 00:00")), 0)
+    assert not has_index(spark, path)
+
+
+def test_index_rows_have_bloom_filters(spark, table):
+    changed = spark.createDataFrame([("2024-01-02-0",), ("nowhere",)], "transaction_id string")
+    found = days_of_keys(spark, table, changed, ["transaction_id"])
+    assert [r[0].isoformat() for r in found.collect()] == ["2024-01-02"]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert f"PushedFilters: [Or(EqualTo({HASH}" in plan and "transaction_id" not in plan
+    for file in glob.glob(f"{index_of(table)}/*/*.parquet"):
+        with open(file, "rb") as data:
+            held = pq.ParquetFile(data).metadata
+        # Bloom filters lie between the pages and the footer.
+        column = held.row_group(0).column(0)
+        assert os.path.getsize(file) > column.total_compressed_size + 32 + held.serialized_size
+
+
+class Raw:
+    def __init__(self, spark, sales, path):
+        self.spark, self.path, self.sales = spark, f"{path}/raw", sales
+        write = replace_batch(self.path)
+        for n in range(12):
+            write(sales(sale(f"a{n}", f"2024-01-01 0{n % 9}:30"), sale(f"b{n}", f"2024-01-02 0{n % 9}:10"), sale(f"n{n}", None)), n)
+
+    def files(self, day):
+        return glob.glob(f"{self.path}/{DAY}={day}/*/*.parquet")
+
+    def rows(self):
+        return contents(self.spark, self.path)
+
+
+@pytest.fixture()
+def raw(spark, sales, tmp_path):
+    return Raw(spark, sales, tmp_path)
+
+
+def test_closed_days_are_packed_by_bytes(spark, raw):
+    before = raw.rows()
+    open_day = set(raw.files("2024-01-02"))
+    (last,) = [b for b in (f.split(f"{BATCH}=")[1].split("/")[0] for f in raw.files("2024-01-01")) if b.endswith("-11")]
+    assert compact_days(spark, raw.path, RAW_SCHEMA, "2024-01-02 12:00") == [f"{DAY}=2024-01-01"]
+    # One packed file, and that of the last batch, which may begin again.
+    assert len(raw.files("2024-01-01")) == 2 and any(last in f for f in raw.files("2024-01-01"))
+    assert set(raw.files("2024-01-02")) == open_day
+    assert raw.rows() == before
+    assert compact_days(spark, raw.path, RAW_SCHEMA, "2024-01-02 12:00") == []
+    (packed,) = [f for f in raw.files("2024-01-01") if last not in f]
+    times = [r[0] for r in spark.read.parquet(packed).select("transaction_ts").collect()]
+    assert times == sorted(times) and len(times) == 11
+    assert len(os.listdir(f"{raw.path}/{DAY}=2024-01-01")) == 2
+
+
+def test_the_number_of_files_is_bounded_by_bytes(spark, tmp_path):
+    path, frame = f"{tmp_path}/t", views.sales(views.events(spark, "/root/testdata/sf0.001")).select(*RAW_SCHEMA.names)
+    one_time = frame.withColumn("transaction_ts", F.lit("2024-01-01").cast("timestamp"))
+    for part in range(8):
+        write_days(one_time.where(F.pmod(F.xxhash64("transaction_id"), F.lit(8)) == part), path, mode="append")
+    sizes = [os.path.getsize(f) for f in glob.glob(f"{path}/*/*.parquet")]
+    target = 3 * max(sizes)
+    compact_days(spark, path, RAW_SCHEMA, "2024-02-01", target=target)
+    packed = [os.path.getsize(f) for f in glob.glob(f"{path}/*/*.parquet")]
+    assert len(sizes) >= 8 and 1 < len(packed) <= -(-sum(sizes) // target) + 1
+    assert read_days(spark, path, RAW_SCHEMA).select("transaction_id").distinct().count() == frame.count()
+
+
+def test_a_batch_that_begins_again_after_packing_is_not_doubled(spark, sales, raw):
+    compact_days(spark, raw.path, RAW_SCHEMA, "2024-01-02 12:00")
+    before = raw.rows()
+    replace_batch(raw.path)(sales(sale("a11", "2024-01-01 02:30"), sale("b11", "2024-01-02 02:10"), sale("n11", None)), 11)
+    assert raw.rows() == before
+
+
+@pytest.mark.parametrize("step", range(0, 18, 2))
+def test_a_compaction_cut_short_anywhere_is_completed(spark, raw, monkeypatch, step):
+    before = raw.rows()
+    with monkeypatch.context() as patch:
+        dying(patch, step)
+        try:
+            compact_days(spark, raw.path, RAW_SCHEMA, "2024-01-03 00:00")
+        except Stop:
+            pass
+    finish_upsert(spark, raw.path)
+    assert raw.rows() == before
+    compact_days(spark, raw.path, RAW_SCHEMA, "2024-01-03 00:00")
+    assert raw.rows() == before and len(raw.files("2024-01-01")) == 2
+
+
+def test_upserts_go_on_after_packing(spark, sales, table):
+    for n in range(3):
+        upsert_days(spark, table, sales(sale(f"x{n}", "2024-01-01 09:00")), RAW_SCHEMA)
+    before = contents(spark, table)
+    assert compact_days(spark, table, RAW_SCHEMA, "2024-02-01") == [f"{DAY}=2024-01-01"]
+    assert contents(spark, table) == before and len(glob.glob(f"{table}/{DAY}=2024-01-01/*.parquet")) == 1
+    upsert_days(spark, table, sales(sale("x1", "2024-01-02 09:00", price=5.0)), RAW_SCHEMA)
+    assert contents(spark, table) == sorted([r for r in before if r[0] != "x1"] + [("x1", 5.0, at("2024-01-02 09:00"))], key=repr)
+
+
+def overlapping(path, store, low, high):
+    """Files whose statistics don't rule out the store and the time."""
+    found = []
+    for file in glob.glob(f"{path}/*/*.parquet"):
+        told = pq.ParquetFile(file).metadata.row_group(0)
+        held = {told.column(i).path_in_schema: told.column(i).statistics for i in range(told.num_columns)}
+        stores, times = held["store_id"], held["window_start"]
+        if stores.min <= store <= stores.max and times.min.replace(tzinfo=None) < at(high) and times.max.replace(tzinfo=None) >= at(low):
+            found.append(file)
+    return found
+
+
+def windows(spark):
+    """Five-minute windows of thirty stores over one day."""
+    at_minute = F.timestamp_seconds(F.lit(1704067200) + F.col("id") % 288 * 300)
+    events = spark.range(288 * 30).select(
+        F.concat(F.lit("store_"), F.format_string("%02d", F.floor(F.col("id") / 288))).alias("store_id"),
+        at_minute.alias("transaction_ts"), F.lit(1).alias("quantity"), F.lit(2.0).alias("price"),
+    )
+    return store_windows(events)
+
+
+def test_files_are_narrow_in_store_and_time(spark, tmp_path):
+    kept = {k: spark.conf.get(k, None) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_days(windows(spark), f"{tmp_path}/cut", "window_start", within=AGG_WITHIN)
+        upsert_days(spark, f"{tmp_path}/upserted", windows(spark), AGG_SCHEMA, ("store_id", "window_start"), "window_start", True, AGG_WITHIN)
+    finally:
+        for key, value in kept.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    for name in ("cut", "upserted"):
+        files = glob.glob(f"{tmp_path}/{name}/*/*.parquet")
+        assert len(files) >= 16
+        assert 1 <= len(overlapping(f"{tmp_path}/{name}", "store_11", "10:00", "11:00")) <= 2
+        assert len(overlapping(f"{tmp_path}/{name}", "store_11", "00:00", "2024-01-02 00:00")) <= 10
+        assert len(overlapping(f"{tmp_path}/{name}", "store_11", "10:00", "11:00")) < len(files) / 8
+        assert read_days(spark, f"{tmp_path}/{name}", AGG_SCHEMA).count() == 288 * 30
+
+
+def test_packing_keeps_the_layout(spark, tmp_path):
+    path, frame = f"{tmp_path}/t", windows(spark)
+    for part in range(6):
+        write_days(frame.where(F.pmod(F.xxhash64("store_id", "window_start"), F.lit(6)) == part), path, "window_start", "append")
+    size = sum(os.path.getsize(f) for f in glob.glob(f"{path}/*/*.parquet"))
+    compact_days(spark, path, AGG_SCHEMA, "2024-02-01", size // 2, "window_start", AGG_WITHIN)
+    assert len(overlapping(path, "store_11", "02:00", "03:00")) < len(glob.glob(f"{path}/*/*.parquet"))
+    assert read_days(spark, path, AGG_SCHEMA).count() == 288 * 30

@@ -16,11 +16,12 @@ from dataclasses import replace
 from pyspark.sql import SparkSession
 
 from tillstream.operators.column_tests import AGG_TESTS, FACT_TESTS, run_suite
+from tillstream.operators.compaction import TARGET_BYTES, compact_days
 from tillstream.operators.decode import AHEAD, BEHIND
 from tillstream.operators.quality import QualityError, freshness, run_checks
 from tillstream.plans.fact import refresh_fact
 from tillstream.sources.readers import read_days, read_events
-from tillstream.sources.schemas import AGG_SCHEMA, FACT_SCHEMA, RAW_SCHEMA
+from tillstream.sources.schemas import AGG_SCHEMA, AGG_WITHIN, FACT_SCHEMA, RAW_SCHEMA, TIME
 from tillstream.sources.settings import TopicSettings
 from tillstream.streaming.jobs import SalesJob
 from tillstream.streaming.progress import BatchMetrics, log_line
@@ -61,6 +62,13 @@ def _parser() -> argparse.ArgumentParser:
     fact.add_argument("--full-refresh", action="store_true")
     fact.add_argument("--ahead", default=AHEAD, help="rows later than now by more than this are left in the raw table")
 
+    compact = commands.add_parser("compact", help="pack the small files of closed days")
+    compact.add_argument("--raw")
+    compact.add_argument("--agg")
+    compact.add_argument("--fact")
+    compact.add_argument("--as-of", help="days before this one are closed; default now")
+    compact.add_argument("--target-mb", type=int, default=TARGET_BYTES >> 20)
+
     checks = commands.add_parser("checks", help="print PASS or the failing checks")
     checks.add_argument("--raw", required=True)
     checks.add_argument("--fact", help="also run the column tests of the stored fact table")
@@ -86,7 +94,7 @@ def _stream(spark: SparkSession, args: argparse.Namespace) -> int:
         raise SystemExit("name a checkpoint: --checkpoint or CHECKPOINT_DIR")
     options = {"settings": settings} if args.source == "kafka" else {"path": args.path, "schema": "value binary", "arrival": "timestamp"}
     if args.upsert_agg:
-        write_agg = upsert_to(spark, args.agg, AGG_SCHEMA, ("store_id", "window_start"), "window_start", True)
+        write_agg = upsert_to(spark, args.agg, AGG_SCHEMA, ("store_id", "window_start"), "window_start", True, AGG_WITHIN)
     else:
         write_agg = replace_batch(args.agg, "window_start")
     SalesJob(
@@ -114,6 +122,14 @@ def _fact(spark: SparkSession, args: argparse.Namespace) -> int:
     return 0
 
 
+def _compact(spark: SparkSession, args: argparse.Namespace) -> int:
+    tables = ((args.raw, RAW_SCHEMA, TIME, ()), (args.agg, AGG_SCHEMA, "window_start", AGG_WITHIN), (args.fact, FACT_SCHEMA, TIME, ()))
+    for path, schema, time, within in tables:
+        if path:
+            print(path, *compact_days(spark, path, schema, args.as_of, args.target_mb << 20, time, within))
+    return 0
+
+
 def _checks(spark: SparkSession, args: argparse.Namespace) -> int:
     raw = read_days(spark, args.raw, RAW_SCHEMA)
     print("freshness:", *freshness(raw, args.as_of).first())
@@ -134,7 +150,7 @@ def main(argv: Sequence[str] | None = None) -> int:
     args = _parser().parse_args(argv)
     spark = SparkSession.builder.appName("tillstream").getOrCreate()
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return {"stream": _stream, "fact": _fact, "checks": _checks}[args.command](spark, args)
+    return {"stream": _stream, "fact": _fact, "compact": _compact, "checks": _checks}[args.command](spark, args)
 
 
 if __name__ == "__main__":

@@ -12,15 +12,17 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillstream.functions.columns import AsOf, ago, day_of, utc_day
+from tillstream.operators.key_index import COMPLETE, build_index, days_of_keys, has_index, index_of, write_hashes
 from tillstream.operators.keys import KEY, first_occurrence, new_keys
 from tillstream.sources.folders import Folders
 from tillstream.sources.readers import read_days, table_exists
 from tillstream.sources.schemas import DAY, TIME
+from tillstream.sources.session import time_statistics
 
 # Fixed value: Spark's partition folder for a missing partition value.
 NO_DAY = "__HIVE_DEFAULT_PARTITION__"
@@ -42,21 +44,34 @@ def with_day(frame: DataFrame, time: str = TIME) -> DataFrame:
     return frame.withColumn(DAY, day_of(time))
 
 
-def write_days(frame: DataFrame, path: str, time: str = TIME, mode: str = "overwrite", **options: str) -> None:
-    """Write a table partitioned by day and sorted by time within its files.
+SLOT_HOURS = 6
+
+
+def layout_of(time: str = TIME, within: Sequence[str] = ()) -> list[Column]:
+    """What a day's files are cut and sorted by: the time, or, with columns to search by as
+    well, a quarter of the day, these columns, and the time behind them.
+
+    Then the statistics of a file are narrow in both, and a read of one store and hour
+    concerns the few files of one store in one quarter.
+    """
+    slot = F.floor(F.unix_seconds(F.col(time).cast("timestamp")) / (SLOT_HOURS * 3600))
+    return [F.col(DAY), *([slot, *[F.col(c) for c in within]] if within else []), F.col(time)]
+
+
+def write_days(
+    frame: DataFrame, path: str, time: str = TIME, mode: str = "overwrite", within: Sequence[str] = (), **options: str
+) -> None:
+    """Write a table partitioned by day, its files sorted by `layout_of`.
 
     The rebalance hint lets Spark cut a busy day into several files of the
-    advised size and join small days into one task.
+    advised size and join small days into one task. With `within` files are ranges of
+    the layout instead, of which Spark joins the small ones.
     """
     dated = frame if DAY in frame.columns else with_day(frame, time)
-    (
-        dated.hint("rebalance", DAY)
-        .sortWithinPartitions(DAY, time)
-        .write.mode(mode)
-        .options(**options)
-        .partitionBy(DAY)
-        .parquet(path)
-    )
+    layout = layout_of(time, within)
+    spread = dated.repartitionByRange(*layout) if within else dated.hint("rebalance", DAY)
+    with time_statistics(frame.sparkSession):
+        spread.sortWithinPartitions(*layout).write.mode(mode).options(**options).partitionBy(DAY).parquet(path)
 
 
 def _days(frame: DataFrame) -> set:
@@ -72,6 +87,7 @@ def _on_days(frame: DataFrame, days: set) -> DataFrame:
 
 # Fixed names of the folders and the mark inside a table's staging folder.
 UPDATES, WHOLE_DAYS, MORE_ROWS, READY = "updates", "days", "more", "ready"
+WHOLE_HASHES, MORE_HASHES = "day_hashes", "more_hashes"
 
 
 def staging_of(path: str) -> str:
@@ -89,14 +105,20 @@ def finish_upsert(spark: SparkSession, path: str) -> None:
     folders = Folders(spark, path)
     if not folders.exists(f"{staging}/{READY}"):
         return
+    index = index_of(path)
     for line in folders.read_lines(f"{staging}/{READY}"):
         action, _, day = line.partition(" ")
         if action == "replace":
+            folders.replace(f"{staging}/{WHOLE_HASHES}/{day}", f"{index}/{day}")
             folders.replace(f"{staging}/{WHOLE_DAYS}/{day}", f"{path}/{day}")
         elif action == "add":
+            folders.add_files(f"{staging}/{MORE_HASHES}/{day}", f"{index}/{day}")
             folders.add_files(f"{staging}/{MORE_ROWS}/{day}", f"{path}/{day}")
         elif action == "drop":
+            folders.drop(f"{index}/{day}")
             folders.drop(f"{path}/{day}")
+        elif action == "indexed":
+            folders.write_lines(f"{index}/{COMPLETE}", ["1"])
     folders.drop(f"{staging}/{READY}")
     folders.drop(staging)
 
@@ -117,6 +139,7 @@ def upsert_days(
     keys: Sequence[str] = (KEY,),
     time: str = TIME,
     keys_fix_day: bool = False,
+    within: Sequence[str] = (),
 ) -> None:
     """Upsert into a day-partitioned Parquet table; applying it twice changes nothing.
 
@@ -127,8 +150,9 @@ def upsert_days(
     it, the next run (or `finish_upsert`) completes it first. Readers can meanwhile
     see some days changed and others not. One writer at a time.
 
-    Finding old rows reads the key column of the whole table, or of the days of the
-    updates when the key fixes the day (`keys_fix_day`).
+    Old rows are looked for in the table's key index, which is staged and swapped along
+    with the days, or, when the key fixes the day (`keys_fix_day`), on the days of the
+    updates. No other day's files are opened. `within` is that of `write_days`.
     """
     finish_upsert(spark, path)
     staging, folders = staging_of(path), Folders(spark, path)
@@ -140,28 +164,45 @@ def upsert_days(
     if not landing:
         folders.drop(staging)
         return
-    leaving, kept = set(), None
+    leaving, kept, indexed = set(), None, not keys_fix_day
     if table_exists(spark, path):
         target = read_days(spark, path, schema)
         changed = first.select(*keys)
-        searched = _on_days(target, landing) if keys_fix_day else target
-        leaving = _days(searched.join(changed, list(keys), "left_semi"))
+        if keys_fix_day:
+            leaving = _days(_on_days(target, landing).join(changed, list(keys), "left_semi"))
+        else:
+            if not has_index(spark, path):
+                build_index(spark, path, keys, schema)
+            leaving = _days(days_of_keys(spark, path, changed, keys))
         kept = new_keys(_on_days(target, leaving), changed, keys).select(*schema.names, DAY) if leaving else None
-    steps = []
+    steps = ["indexed"] if indexed else []
     if leaving:
-        write_days(kept.unionByName(_on_days(first, leaving)), f"{staging}/{WHOLE_DAYS}", time)
+        write_days(kept.unionByName(_on_days(first, leaving)), f"{staging}/{WHOLE_DAYS}", time, within=within)
+        if indexed:
+            write_hashes(read_days(spark, f"{staging}/{WHOLE_DAYS}", schema), keys, f"{staging}/{WHOLE_HASHES}")
         staged = set(day_folders(folders, f"{staging}/{WHOLE_DAYS}"))
         wanted = {day_folder(d) for d in leaving}
         steps += [f"replace {d}" for d in sorted(staged)] + [f"drop {d}" for d in sorted(wanted - staged)]
     if landing - leaving:
-        write_days(_on_days(first, landing - leaving), f"{staging}/{MORE_ROWS}", time)
+        more = _on_days(first, landing - leaving)
+        write_days(more, f"{staging}/{MORE_ROWS}", time, within=within)
+        if indexed:
+            write_hashes(more, keys, f"{staging}/{MORE_HASHES}")
         steps += [f"add {d}" for d in day_folders(folders, f"{staging}/{MORE_ROWS}")]
     folders.write_lines(f"{staging}/{READY}", steps)
     finish_upsert(spark, path)
 
 
-def replace_table(spark: SparkSession, path: str, frame: DataFrame, time: str = TIME) -> None:
-    """Build a table anew: all days are staged, then a mark is set and days are swapped.
+def replace_table(
+    spark: SparkSession,
+    path: str,
+    frame: DataFrame,
+    schema: T.StructType,
+    keys: Sequence[str] = (KEY,),
+    time: str = TIME,
+    within: Sequence[str] = (),
+) -> None:
+    """Build a table anew: all days and their key index are staged, then a mark is set and days are swapped.
 
     The old table stays as it is until all of the new one is written; a run cut short
     behind the mark is completed by the next one, as an upsert is. The frame may read the
@@ -170,11 +211,12 @@ def replace_table(spark: SparkSession, path: str, frame: DataFrame, time: str =
     finish_upsert(spark, path)
     staging, folders = staging_of(path), Folders(spark, path)
     folders.drop(staging)
-    write_days(frame, f"{staging}/{WHOLE_DAYS}", time)
+    write_days(frame, f"{staging}/{WHOLE_DAYS}", time, within=within)
+    write_hashes(read_days(spark, f"{staging}/{WHOLE_DAYS}", schema), keys, f"{staging}/{WHOLE_HASHES}")
     staged = day_folders(folders, f"{staging}/{WHOLE_DAYS}")
     gone = sorted({*day_folders(folders, path)} - {*staged})
     folders.make(path)
-    folders.write_lines(f"{staging}/{READY}", [*[f"replace {d}" for d in staged], *[f"drop {d}" for d in gone]])
+    folders.write_lines(f"{staging}/{READY}", ["indexed", *[f"replace {d}" for d in staged], *[f"drop {d}" for d in gone]])
     finish_upsert(spark, path)
 
 
@@ -199,6 +241,7 @@ def expire_days(spark: SparkSession, path: str, as_of: AsOf = None, keep: int =
     gone = [d for d, number in numbers.items() if number is not None and number < day_number(f"={bound}")]
     for day in gone:
         folders.drop(f"{path}/{day}")
+        folders.drop(f"{index_of(path)}/{day}")
     return gone
 
 

@@ -52,7 +52,7 @@ def refresh_fact(
     finish_upsert(spark, path)
     ceiling = moment(as_of) + F.expr(f"interval {ahead}")
     if full_refresh or not table_exists(spark, path):
-        replace_table(spark, path, build_fact(up_to(raw, ceiling)))
+        replace_table(spark, path, build_fact(up_to(raw, ceiling)), FACT_SCHEMA)
         return
     target = read_days(spark, path, FACT_SCHEMA)
     updates = with_revenue(newer_than(raw, target, lookback, ceiling))

@@ -554,6 +554,7 @@ FROM events WHERE {SHORT} OR {NOT_JSON} OR {NO_STORE} OR {NO_TIME}""",
 FROM events WHERE {SHORT} OR {NOT_JSON} OR {NO_STORE} OR {NO_TIME}"""
         ),
         "retention_table": _with(SALES, f"SELECT {COLS} FROM sales WHERE transaction_ts >= DATE '2024-01-11'"),
+        "compacted_table": _with(SALES, f"SELECT {COLS} FROM sales"),
         "sink_upsert_agg": _with(SALES, _closed_windows("sales")),
         "sink_upsert_raw": _with(SALES, f"SELECT {COLS} FROM sales"),
     }

@@ -14,15 +14,17 @@ from pyspark.sql import types as T
 
 from tillstream.functions.columns import line_revenue
 from tillstream.operators import aggregates, column_tests, decode, keys, quality, reports, selection
+from tillstream.operators.compaction import compact_days
 from tillstream.operators.lateness import late_rows
-from tillstream.operators.merge import expire_days, merged, write_days
+from tillstream.operators.merge import expire_days, merged, upsert_days, write_days
 from tillstream.operators.reconcile import reconcile_hourly
 from tillstream.plans.fact import build_fact, refresh_fact, with_revenue
 from tillstream.sources import views
-from tillstream.sources.readers import read_days, read_events
+from tillstream.sources.readers import read_days, read_events, register_tables
 from tillstream.sources.schemas import (
     AGG_SCHEMA,
     AGG_TABLE,
+    AGG_WITHIN,
     FACT_SCHEMA,
     FACT_TABLE,
     PAYMENT_TYPES,
@@ -130,14 +132,18 @@ def test_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def table_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sales = views.sales(views.events(spark, sf_dir))
-    return reports.table_status(
-        {
-            RAW_TABLE: (sales, "transaction_ts"),
-            AGG_TABLE: (aggregates.store_windows(sales), "window_start"),
-            FACT_TABLE: (with_revenue(sales), "transaction_ts"),
-        }
+    """The three tables as the writers of this package store them, looked at by name."""
+    sales = _sale_columns(views.sales(views.events(spark, sf_dir)))
+    folder = fresh_folder(spark, "status")
+    replace_batch(f"{folder}/raw")(sales, 0)
+    raw = read_days(spark, f"{folder}/raw", RAW_SCHEMA)
+    upsert_days(
+        spark, f"{folder}/agg", aggregates.store_windows(raw), AGG_SCHEMA, ("store_id", "window_start"), "window_start", True, AGG_WITHIN
     )
+    refresh_fact(spark, raw, f"{folder}/fact")
+    register_tables(spark, **{name: f"{folder}/{name}" for name in ("raw", "agg", "fact")})
+    times = {RAW_TABLE: "transaction_ts", AGG_TABLE: "window_start", FACT_TABLE: "transaction_ts"}
+    return reports.table_status({name: (spark.table(name), time) for name, time in times.items()})
 
 
 def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -306,7 +312,23 @@ def retention_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_days(spark, f"{folder}/raw", RAW_SCHEMA).select(*SALE_COLUMNS)
 
 
-def _upsert_twice(view, build, schema: T.StructType, by: tuple[str, ...], time: str, fixed: bool, label: str) -> Query:
+PARTS = 4
+
+
+def compacted_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw layout as several batches leave it, its closed days packed, and read back."""
+    sales = _sale_columns(views.sales(views.events(spark, sf_dir)))
+    path = f"{fresh_folder(spark, 'compacted')}/raw"
+    write, part = replace_batch(path), F.pmod(F.xxhash64("transaction_id"), F.lit(PARTS))
+    for number in range(PARTS):
+        write(sales.where(part == number), number)
+    compact_days(spark, path, RAW_SCHEMA, AS_OF)
+    return read_days(spark, path, RAW_SCHEMA).select(*SALE_COLUMNS)
+
+
+def _upsert_twice(
+    view, build, schema: T.StructType, by: tuple[str, ...], time: str, fixed: bool, label: str, within: tuple[str, ...] = ()
+) -> Query:
     """Fill a table through the upsert sink, then replay all input into it from
     an empty checkpoint."""
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -314,7 +336,7 @@ def _upsert_twice(view, build, schema: T.StructType, by: tuple[str, ...], time:
         for attempt in ("first", "replay"):
             start(
                 build(view(views.events_stream(spark, sf_dir))),
-                upsert_to(spark, f"{folder}/table", schema, by, time, fixed),
+                upsert_to(spark, f"{folder}/table", schema, by, time, fixed, within),
                 f"{folder}/{attempt}",
                 AVAILABLE_NOW,
                 partitions=_state_partitions(spark),
@@ -335,16 +357,16 @@ def _sale_columns(frame: DataFrame) -> DataFrame:
 # --- registry ---------------------------------------------------------------
 
 
-def kept_table(frame: DataFrame, schema: T.StructType, label: str, time: str) -> DataFrame:
+def kept_table(frame: DataFrame, schema: T.StructType, label: str, time: str, within: tuple[str, ...] = ()) -> DataFrame:
     """Write a frame as a day-partitioned table and scan that."""
     spark = frame.sparkSession
     path = f"{fresh_folder(spark, label)}/table"
-    write_days(frame, path, time)
+    write_days(frame, path, time, within=within)
     return read_days(spark, path, schema).select(*schema.names)
 
 
 def stored_windows(sales: DataFrame) -> DataFrame:
-    return kept_table(aggregates.store_windows(sales), AGG_SCHEMA, "agg-table", "window_start")
+    return kept_table(aggregates.store_windows(sales), AGG_SCHEMA, "agg-table", "window_start", AGG_WITHIN)
 
 
 def stored_fact(sales: DataFrame) -> DataFrame:
@@ -493,6 +515,7 @@ def _definitions() -> dict[str, Query]:
         "stream_rejects": stream_rejects,
         "dq_rejects": dq_rejects,
         "retention_table": retention_table,
+        "compacted_table": compacted_table,
         "sink_upsert_agg": lambda spark, sf_dir: window_money(
             _upsert_twice(
                 views.sales,
@@ -502,6 +525,7 @@ def _definitions() -> dict[str, Query]:
                 "window_start",
                 True,
                 "upsert-agg",
+                AGG_WITHIN,
             )(spark, sf_dir)
         ),
         "sink_upsert_raw": _upsert_twice(

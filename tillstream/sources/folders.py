@@ -22,6 +22,15 @@ class Folders:
             return []
         return sorted(s.getPath().getName() for s in self._system.listStatus(self._path(path)))
 
+    def files(self, path: str) -> list[tuple[str, int]]:
+        """Path and bytes of all data files below a folder."""
+        found, listed = [], self._system.listFiles(self._path(path), True) if self.exists(path) else None
+        while listed is not None and listed.hasNext():
+            file = listed.next()
+            if not file.getPath().getName().startswith(("_", ".")):
+                found.append((file.getPath().toString(), file.getLen()))
+        return sorted(found)
+
     def matching(self, pattern: str) -> list[str]:
         return sorted(s.getPath().toString() for s in self._system.globStatus(self._path(pattern)) or [])
 

@@ -30,6 +30,11 @@ FACT_TABLE = "fact_sales"
 # Event time, and the day partition column of tables written by this package.
 TIME = "transaction_ts"
 DAY = "event_day"
+# Below the day, raw tables have a folder for each micro-batch; the notes of the batches begun are in a folder of their own.
+BATCH = "batch"
+BEGUN = "_batches"
+# The window table is read by store and time: inside a day its files are cut by both.
+AGG_WITHIN = ("store_id",)
 
 SALE_COLUMNS = [field["name"] for field in AVRO_SCHEMA["fields"]]
 REQUIRED = [c for c in SALE_COLUMNS if c != "payment_type"]

@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tillstream.operators.aggregates import store_windows
 from tillstream.operators.decode import AHEAD, BEHIND, Versions, accepted, rejected, with_reject_reason
 from tillstream.sources.schemas import SALE_COLUMNS
+from tillstream.sources.session import settings
 from tillstream.streaming.dedup import DELAY, deduplicate
 from tillstream.streaming.late import split_late, with_lateness
 from tillstream.streaming.progress import BatchMetrics
@@ -43,14 +44,8 @@ def state_settings(spark: SparkSession, partitions: int | None = None) -> Iterat
         wanted = {PROVIDER: ROCKSDB, CHANGELOG: "true"}
     if partitions:
         wanted[PARTITIONS] = str(partitions)
-    before = {key: spark.conf.get(key, None) for key in wanted}
-    for key, value in wanted.items():
-        spark.conf.set(key, value)
-    try:
+    with settings(spark, wanted):
         yield
-    finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def start(

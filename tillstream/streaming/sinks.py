@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillstream.operators.key_index import drop_index
 from tillstream.operators.merge import merge_into, upsert_days, with_day
 from tillstream.sources.folders import Folders
-from tillstream.sources.schemas import DAY, TIME
+from tillstream.sources.schemas import BATCH, BEGUN, DAY, TIME
+from tillstream.sources.session import time_statistics
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -40,10 +42,6 @@ def append_to(
     return write
 
 
-BATCH = "batch"
-BEGUN = "_batches"
-
-
 def replace_batch(path: str, time: str = TIME) -> BatchWriter:
     """Append that survives a repeated batch: each batch owns a folder in every day it has rows for.
 
@@ -60,8 +58,10 @@ def replace_batch(path: str, time: str = TIME) -> BatchWriter:
             for old in folders.matching(f"{path}/{DAY}=*/{BATCH}={name}"):
                 folders.drop(old)
         folders.write_lines(note, [name])
+        drop_index(spark, path)
         dated = with_day(batch, time).withColumn(BATCH, F.lit(name)).hint("rebalance", DAY)
-        dated.write.mode("append").partitionBy(DAY, BATCH).parquet(path)
+        with time_statistics(spark):
+            dated.write.mode("append").partitionBy(DAY, BATCH).parquet(path)
 
     return write
 
@@ -73,16 +73,18 @@ def upsert_to(
     keys: Sequence[str],
     time: str,
     keys_fix_day: bool = False,
+    within: Sequence[str] = (),
 ) -> BatchWriter:
     """Upsert by key into a day-partitioned Parquet table, harmless to repeat.
 
-    Unless `keys_fix_day`, each batch reads the key column of the whole table to
-    find old rows: meant for small or low-rate tables. For raw rows use
-    `replace_batch` and the fact merge, or `merge_to`. The batch is written out once by the streaming session; the merge then runs
-    in the outer session, where adaptive execution sizes its joins and files.
+    Unless `keys_fix_day`, each batch looks its keys up in the table's index, of which a
+    small batch skips most: meant for low rates. For all raw rows use `replace_batch` and
+    the fact merge, or `merge_to`. The batch is written out once by the streaming session;
+    the merge then runs in the outer session, where adaptive execution sizes its joins and
+    files.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        upsert_days(spark, path, batch, schema, keys, time, keys_fix_day)
+        upsert_days(spark, path, batch, schema, keys, time, keys_fix_day, within)
 
     return write
 
