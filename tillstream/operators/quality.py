@@ -183,6 +183,11 @@ def check_report(
     profile = hour_profile(frame, as_of, bounded)
     if zero_fill:
         profile = with_empty_hours(profile, as_of)
+    return report_of(profile, duplicate_keys(frame, [KEY]).agg(F.count("*").alias("duplicate_count")))
+
+
+def report_of(profile: DataFrame, repeats: DataFrame) -> DataFrame:
+    """The report from an hour profile and one row with the number of repeated keys."""
 
     def row(position: int, name: str, status: Column, message: Column) -> Column:
         return F.struct(
@@ -203,10 +208,8 @@ def check_report(
     count = F.concat(
         F.lit("duplicate_check FAIL: "), F.col("duplicate_count"), F.lit(" duplicate transaction_ids")
     )
-    repeats = duplicate_check(frame).select(
-        F.inline(F.array(row(2, "duplicate_check", F.col("duplicate_check_status"), count)))
-    )
-    return one_scan.unionByName(repeats)
+    duplicates = row(2, "duplicate_check", pass_fail(F.col("duplicate_count") == 0), count)
+    return one_scan.unionByName(repeats.select(F.inline(F.array(duplicates))))
 
 
 def summary(report: DataFrame) -> DataFrame:

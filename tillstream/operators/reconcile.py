@@ -24,6 +24,11 @@ def reconcile_hourly(source: DataFrame, sink: DataFrame, at_least: float = 0.999
         .groupBy("hr")
         .agg(F.count_if(~F.col("is_sink")).alias("source_rows"), F.count_if("is_sink").alias("sink_rows"))
     )
+    return with_completeness(counts, at_least)
+
+
+def with_completeness(counts: DataFrame, at_least: float = 0.999) -> DataFrame:
+    """Add the share of the source's rows that arrived, and whether it is enough."""
     share = F.when(F.col("source_rows") > 0, F.col("sink_rows") / F.col("source_rows")).otherwise(F.lit(0.0))
     return counts.withColumn("completeness", share).withColumn(
         "status", pass_fail(F.col("completeness") >= at_least)

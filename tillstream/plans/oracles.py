@@ -247,6 +247,16 @@ def oracle_sql() -> dict[str, str]:
         f"transaction_ts >= {unaligned} - INTERVAL 7 DAY AND transaction_ts < {unaligned} - INTERVAL 1 HOUR"
     )
     merged = "SELECT * REPLACE (round(revenue, 2) AS revenue) FROM merged"
+    reconciled = _with(
+        ACCEPTED,
+        """, a AS (SELECT date_trunc('hour', transaction_ts) AS hr, count(*) AS n FROM sales GROUP BY 1),
+b AS (SELECT date_trunc('hour', transaction_ts) AS hr, count(*) AS n FROM accepted GROUP BY 1)
+SELECT hr, source_rows, sink_rows, round(share, 4) AS completeness,
+   CASE WHEN share >= 0.999 THEN 'PASS' ELSE 'FAIL' END AS status
+FROM (SELECT coalesce(a.hr, b.hr) AS hr, coalesce(a.n, 0) AS source_rows, coalesce(b.n, 0) AS sink_rows,
+         CASE WHEN a.n > 0 THEN coalesce(b.n, 0) / a.n ELSE 0.0 END AS share
+  FROM a FULL JOIN b ON a.hr = b.hr)""",
+    )
     return {
         # scans, projections and filters
         "scan_sales": _with(SALES, f"SELECT {COLS} FROM sales"),
@@ -419,6 +429,7 @@ FROM (SELECT *, CASE WHEN event_id % 67 = 0 THEN 'unknown_schema' WHEN event_id
             f"(SELECT count(*) AS n FROM sales WHERE transaction_ts >= {calm} - INTERVAL 15 MINUTE)",
         ),
         "dq_report": _report_query(DIRTY, "sales_dirty", AS_OF_BUSY, "SELECT * FROM report"),
+        "dq_incremental": _report_query(DIRTY, "sales_dirty", AS_OF_BUSY, "SELECT * FROM report"),
         "dq_summary": _report_query(DIRTY, "sales_dirty", AS_OF_BUSY, "SELECT summary FROM summed"),
         "dq_summary_pass": _report_query(SALES, "sales", AS_OF, "SELECT summary FROM summed"),
         "dq_alerts": _report_query(
@@ -491,16 +502,7 @@ marks AS (
             "SELECT transaction_id, transaction_ts, watermark FROM delayed JOIN marks USING (slot) "
             "WHERE transaction_ts <= watermark",
         ),
-        "reconcile_hourly": _with(
-            ACCEPTED,
-            """, a AS (SELECT date_trunc('hour', transaction_ts) AS hr, count(*) AS n FROM sales GROUP BY 1),
-b AS (SELECT date_trunc('hour', transaction_ts) AS hr, count(*) AS n FROM accepted GROUP BY 1)
-SELECT hr, source_rows, sink_rows, round(share, 4) AS completeness,
-       CASE WHEN share >= 0.999 THEN 'PASS' ELSE 'FAIL' END AS status
-FROM (SELECT coalesce(a.hr, b.hr) AS hr, coalesce(a.n, 0) AS source_rows, coalesce(b.n, 0) AS sink_rows,
-             CASE WHEN a.n > 0 THEN coalesce(b.n, 0) / a.n ELSE 0.0 END AS share
-      FROM a FULL JOIN b ON a.hr = b.hr)""",
-        ),
+        "reconcile_hourly": reconciled,
         # streams
         "stream_file_scan": _with(SALES, f"SELECT {COLS} FROM sales"),
         "stream_dedup": _with(SALES, f"SELECT {COLS} FROM sales"),
@@ -538,6 +540,18 @@ FROM (SELECT coalesce(a.hr, b.hr) AS hr, coalesce(a.n, 0) AS source_rows, coales
             "SELECT transaction_id, transaction_ts, coalesce(transaction_ts <= watermark, false) AS is_late "
             "FROM sliced JOIN marks USING (slice)",
         ),
+        "stream_reconcile": reconciled,
+        "stream_metrics": _with(
+            SALES
+            + """, arrivals AS (
+  SELECT transaction_id, transaction_ts AS arrived_at,
+         transaction_ts - CASE WHEN event_id % 7 = 0 THEN INTERVAL 3 DAY ELSE INTERVAL 0 DAY END AS transaction_ts
+  FROM sales
+)"""
+            + _SLICES,
+            "SELECT count(*) AS input_rows, count(*) FILTER (transaction_ts <= watermark) AS late_rows, CAST(0 AS BIGINT) AS errors "
+            "FROM sliced JOIN marks USING (slice)",
+        ),
         "stream_implausible": _with(ACCEPTED, f"SELECT {COLS} FROM accepted WHERE event_id % 59 <> 0 AND event_id % 61 <> 0"),
         "stream_agg_5min": _with(SALES, _closed_windows("sales")),
         "stream_raw_append": _with(ACCEPTED, f"SELECT {COLS} FROM accepted"),

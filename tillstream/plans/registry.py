@@ -17,6 +17,7 @@ from tillstream.operators import aggregates, column_tests, decode, keys, quality
 from tillstream.operators.compaction import compact_days
 from tillstream.operators.lateness import late_rows
 from tillstream.operators.merge import expire_days, merged, upsert_days, write_days
+from tillstream.operators.partials import stored_report
 from tillstream.operators.reconcile import reconcile_hourly
 from tillstream.plans.fact import build_fact, refresh_fact, with_revenue
 from tillstream.sources import views
@@ -37,7 +38,9 @@ from tillstream.sources.settings import fresh_folder
 from tillstream.streaming.dedup import deduplicate
 from tillstream.streaming.jobs import SalesJob, start
 from tillstream.streaming.late import with_lateness
-from tillstream.streaming.sinks import append_to, replace_batch, upsert_to
+from tillstream.streaming.progress import StoredMetrics, listening, stored_metrics, totals
+from tillstream.streaming.reconcile import reconcile_batches
+from tillstream.streaming.sinks import append_to, replace_batch, upsert_to, with_partials
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -312,6 +315,45 @@ def retention_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_days(spark, f"{folder}/raw", RAW_SCHEMA).select(*SALE_COLUMNS)
 
 
+def dq_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table written in batches, the last one twice, checked from its stored partials."""
+    sales = _sale_columns(views.sales_dirty(views.events(spark, sf_dir)))
+    folder = fresh_folder(spark, "partials")
+    write, part = with_partials(replace_batch(f"{folder}/raw"), f"{folder}/partials"), F.pmod(F.xxhash64("transaction_ts"), F.lit(PARTS))
+    for number in (*range(PARTS), PARTS - 1):
+        write(sales.where(part == number), number)
+    return stored_report(spark, read_days(spark, f"{folder}/raw", RAW_SCHEMA), f"{folder}/partials", AS_OF_BUSY)
+
+
+def stream_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job's own counts of messages and of stored rows, hour by hour."""
+    folder = fresh_folder(spark, "reconcile")
+    messages = views.wire_timed(views.events_stream(spark, sf_dir)).select("value", "timestamp")
+    job = SalesJob(
+        messages=messages,
+        checkpoint=f"{folder}/checkpoint",
+        write_raw=with_partials(replace_batch(f"{folder}/raw"), f"{folder}/partials"),
+        write_agg=replace_batch(f"{folder}/agg", "window_start"),
+        write_rejects=replace_batch(f"{folder}/rejects"),
+        source_counts=f"{folder}/source",
+        trigger=AVAILABLE_NOW,
+        partitions=_state_partitions(spark),
+    )
+    job.run()
+    return rounded(reconcile_batches(spark, f"{folder}/source", f"{folder}/partials"), 4, "completeness")
+
+
+def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the stored records tell of a deduplication that was restarted for every slice of its input."""
+    arrivals = views.sales_delayed(views.events(spark, sf_dir)).select("transaction_id", "transaction_ts", "arrived_at")
+    path = fresh_folder(spark, "metrics")
+    listener = StoredMetrics(spark, path)
+    with listening(spark, listener):
+        drain_in_slices(spark, arrivals, deduplicate, "metrics-table")
+    found = totals(stored_metrics(spark, path))
+    return found.select("input_rows", "late_rows", "errors")
+
+
 PARTS = 4
 
 
@@ -470,6 +512,7 @@ def _definitions() -> dict[str, Query]:
         "dq_report": on_dirty(lambda s: quality.check_report(s, AS_OF_BUSY)),
         "dq_summary": on_dirty(lambda s: quality.summary(quality.check_report(s, AS_OF_BUSY))),
         "dq_summary_pass": on_sales(lambda s: quality.summary(quality.check_report(s, AS_OF))),
+        "dq_incremental": dq_incremental,
         "dq_alerts": on_dirty(lambda s: quality.alerts(quality.check_report(s, AS_OF_BUSY))),
         "source_freshness": on_sales(lambda s: quality.source_freshness(s, AS_OF)),
         # column tests
@@ -506,6 +549,8 @@ def _definitions() -> dict[str, Query]:
         "stream_dedup_within": _in_slices(views.sales_resent, "within_watermark", "dedup-within"),
         "stream_late_drop": _in_slices(views.sales_delayed, "global", "late"),
         "stream_implausible": stream_implausible,
+        "stream_reconcile": stream_reconcile,
+        "stream_metrics": stream_metrics,
         "stream_late_output": stream_late_output,
         "stream_agg_5min": lambda spark, sf_dir: window_money(
             on_stream(views.sales, _stream_windows, "agg")(spark, sf_dir)

@@ -135,6 +135,11 @@ def _framed(source: DataFrame, sent: Column) -> DataFrame:
     return source.withColumn("value", value)
 
 
+def wire_timed(events: DataFrame) -> DataFrame:
+    """The messages with the time each came."""
+    return _framed(sales(events), F.col("transaction_ts")).select("event_id", "value", F.col("transaction_ts").alias("timestamp"))
+
+
 def wire_misdated(events: DataFrame) -> DataFrame:
     """The messages with their arrival; some clocks are 75 years ahead, some 75 years behind."""
     far = F.expr("interval 75 years")

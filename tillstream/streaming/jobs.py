@@ -7,7 +7,7 @@ over one source, each with its own checkpoint.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, nullcontext
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +20,8 @@ from tillstream.sources.schemas import SALE_COLUMNS
 from tillstream.sources.session import settings
 from tillstream.streaming.dedup import DELAY, deduplicate
 from tillstream.streaming.late import split_late, with_lateness
-from tillstream.streaming.progress import BatchMetrics
+from tillstream.streaming.progress import BatchMetrics, listening
+from tillstream.streaming.reconcile import counted
 from tillstream.streaming.sinks import BatchWriter
 
 MESSAGE_COLUMNS = ("value", "topic", "partition", "offset", "timestamp")
@@ -82,7 +83,8 @@ class SalesJob:
     message came when its `timestamp` column says (the broker's or the file's time), or
     without that column at the time of the micro-batch. `versions` are the writer schemas
     by the id in the header. With `write_late` the raw query hands late rows to that sink
-    instead of dropping them.
+    instead of dropping them. With the folder `source_counts` the rejects query counts all
+    messages by the hour they came in, for `reconcile_batches`.
     """
 
     messages: DataFrame
@@ -91,6 +93,7 @@ class SalesJob:
     write_agg: BatchWriter
     write_rejects: BatchWriter | None = None
     write_late: BatchWriter | None = None
+    source_counts: str | None = None
     fmt: str = "json"
     versions: Versions | None = None
     ahead: str = AHEAD
@@ -133,7 +136,11 @@ class SalesJob:
     def start(self) -> list[StreamingQuery]:
         raw = (self.raw_and_late(), split_late(self.write_raw, self.write_late)) if self.write_late else (self.raw(), self.write_raw)
         parts = [("raw", *raw), ("agg", self.windows(), self.write_agg)]
-        if self.write_rejects:
+        if self.write_rejects and self.source_counts:
+            came = self.classified()
+            came = came if "timestamp" in came.columns else came.withColumn("timestamp", F.current_timestamp())
+            parts.append(("rejects", came, counted(self.write_rejects, self.source_counts)))
+        elif self.write_rejects:
             parts.append(("rejects", self.rejects(), self.write_rejects))
         for name, frame, writer in parts:
             self.queries.append(
@@ -144,16 +151,10 @@ class SalesJob:
     def run(self) -> None:
         """Start, then block until a query ends; with availableNow, until all do."""
         spark: SparkSession = self.messages.sparkSession
-        if self.metrics:
-            spark.streams.addListener(self.metrics)
-        try:
+        with listening(spark, self.metrics) if self.metrics else nullcontext():
             self.start()
             if self.trigger and self.trigger.get("availableNow"):
                 for query in self.queries:
                     query.awaitTermination()
             else:
                 spark.streams.awaitAnyTermination()
-        finally:
-            if self.metrics:
-                spark._jsc.sc().listenerBus().waitUntilEmpty()
-                spark.streams.removeListener(self.metrics)

@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 
 from tillstream.operators.key_index import drop_index
 from tillstream.operators.merge import merge_into, upsert_days, with_day
-from tillstream.sources.folders import Folders
-from tillstream.sources.schemas import BATCH, BEGUN, DAY, TIME
+from tillstream.operators.partials import add_partials, begin_batch
+from tillstream.sources.schemas import BATCH, DAY, TIME
 from tillstream.sources.session import time_statistics
 
 BatchWriter = Callable[[DataFrame, int], None]
@@ -42,6 +42,12 @@ def append_to(
     return write
 
 
+def batch_name(batch: DataFrame, batch_id: int) -> tuple[str, str]:
+    """Name of a batch and of its query, which is kept in the checkpoint."""
+    query = str(batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID))
+    return f"{query}-{batch_id}", query
+
+
 def replace_batch(path: str, time: str = TIME) -> BatchWriter:
     """Append that survives a repeated batch: each batch owns a folder in every day it has rows for.
 
@@ -52,12 +58,8 @@ def replace_batch(path: str, time: str = TIME) -> BatchWriter:
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        name = f"{spark.sparkContext.getLocalProperty(QUERY_ID)}-{batch_id}"
-        folders, note = Folders(spark, path), f"{path}/{BEGUN}/{name.rpartition('-')[0]}"
-        if folders.exists(note) and folders.read_lines(note) == [name]:
-            for old in folders.matching(f"{path}/{DAY}=*/{BATCH}={name}"):
-                folders.drop(old)
-        folders.write_lines(note, [name])
+        name, query = batch_name(batch, batch_id)
+        begin_batch(spark, path, name, query)
         drop_index(spark, path)
         dated = with_day(batch, time).withColumn(BATCH, F.lit(name)).hint("rebalance", DAY)
         with time_statistics(spark):
@@ -66,6 +68,20 @@ def replace_batch(path: str, time: str = TIME) -> BatchWriter:
     return write
 
 
+def with_partials(write: BatchWriter, folder: str) -> BatchWriter:
+    """A sink that also stores the partial results its table is checked by. If either fails, the batch repeats both."""
+
+    def write_both(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            write(batch, batch_id)
+            add_partials(with_day(batch), folder, *batch_name(batch, batch_id))
+        finally:
+            batch.unpersist()
+
+    return write_both
+
+
 def upsert_to(
     spark: SparkSession,
     path: str,
