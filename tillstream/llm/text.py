@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 U = np.uint64
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 _LEVEL = 1 << 12
 
 
