@@ -234,17 +234,44 @@ def test_cutoffs_limit_false_rejections(spark):
     assert all(kept[i] for i in range(6000)) and not any(kept[10_000 + i] for i in range(50))
     few = known.where("doc_id < 100")  # too few labels to promise anything
     assert all(r.kept for r in quality_rules.judged(docs, few).collect())
-    mixed = known.union(spark.createDataFrame([(10_001 + i, 1, 0) for i in range(40)], known.schema))  # good ones are loud
+    mixed = known.union(spark.createDataFrame([(10_001 + i, 1, 0) for i in range(40)], known.schema))  # 40 of 6,040 good ones are loud: within the risk
     kept = {r.doc_id: r.kept for r in quality_rules.judged(docs, mixed).collect()}
-    assert sum(kept[10_001 + i] for i in range(40)) == 40
+    assert not any(kept[10_001 + i] for i in range(40))
+    more = known.where("doc_id < 2000").union(spark.createDataFrame([(10_001 + i, 1, 0) for i in range(49)], known.schema))  # 49 of 2,049: not within it
+    assert all(r.kept for r in quality_rules.judged(docs, more).collect() if r.doc_id != 10_000 or r.kept)
+    assert sum(r.kept for r in quality_rules.judged(docs, more).collect()) == 6050
 
 
-def test_rare_strata_are_pooled(spark, monkeypatch):
-    monkeypatch.setattr(quality_rules, "STRATA", 1)
-    docs = documents(spark, [(i, " ".join(prose(i, 60))) for i in range(30)]).selectExpr("doc_id", "text", "if(doc_id < 20, 'en', null) as lang")
-    known = docs.selectExpr("doc_id", "1 as quality")
-    limits = quality_rules.cutoffs(quality_rules.with_statistics(docs), known, risk=0.9, level=0.9)
-    assert {r.stratum: r.n for r in limits.collect()} == {"en": 20, "(other)": 10}
+def test_small_and_unlabelled_strata_get_no_cutoff(spark):
+    loud = " ".join(w.upper() + "!" for w in prose("loud", 60))
+    langs = "case when doc_id < 300 then 'en' when doc_id < 400 then 'fr' when doc_id < 500 then null else 'es' end as lang"
+    rows = [(i, " ".join(prose(i, 60))) for i in range(500)] + [(j, loud) for j in (150, 350, 450, 600)]
+    docs = documents(spark, rows).selectExpr("doc_id", "text", langs, "1 as kept", "2 as stratum", "3 as n_words")
+    known = docs.where("doc_id <> 150").select("doc_id").distinct().selectExpr("doc_id", "1 as quality")
+    limits = quality_rules.cutoffs(quality_rules.with_statistics(docs), known)
+    # 299 may share the level with another one of their size, 100 with none.
+    assert [(r.stratum, r.n) for r in limits.collect()] == [("en", 299)]
+    kept = [(r.doc_id, r.kept) for r in quality_rules.judged(docs, known).collect()]
+    assert [i for i, k in kept if not k] == [150]
+    assert quality_rules.judged(docs, known.limit(0)).where("not kept").count() == 0
+    assert quality_rules.judged(docs.limit(0), known).count() == 0
+
+
+@pytest.mark.parametrize(("sizes", "least", "m"), [([148], None, None), ([149], 149, 1), ([214, 47, 36], 214, 1), ([184, 183, 100], 183, 2), ([217, 217, 216, 217], 217, 3), ([217] * 4, 217, 4), ([10**6] * 3, 10**6, 3)])
+def test_strata_are_chosen_by_size(spark, sizes, least, m):
+    counts = spark.createDataFrame([(str(i), n) for i, n in enumerate(sizes)], "stratum string, n long")
+    got = [tuple(r) for r in quality_rules.tested_sizes(counts, 0.02, 0.05).collect()]
+    assert got == ([(least, m)] if m else [])
+
+
+def test_the_risk_is_kept(spark):
+    """400 strata whose good documents fail the loosest step a little more often than allowed: each is accepted in 5 % of cases at most."""
+    strata, n = 400, 400
+    rows = spark.range(strata * n).selectExpr("id as doc_id", "cast(id % 400 as string) as stratum", "pmod(xxhash64(id, 7), 1000) < 21 as bad")
+    zero = {c: "0L" for c in ("word_chars", "n_dup_lines", "n_repeat_words", "n_upper", "n_exclamations")}
+    statistics = rows.selectExpr("doc_id", "stratum", "100L as n_words", "if(bad, 900L, 0L) as n_symbols", "1L as n_lines", "false as base_failed", *[f"{v} as {c}" for c, v in zero.items()])
+    accepted = quality_rules.cutoffs(statistics, rows.selectExpr("doc_id", "1 as quality"), level=0.05 * strata)
+    assert 0 < accepted.count() <= 0.05 * strata + 3 * (0.05 * 0.95 * strata) ** 0.5
 
 
 # Pipeline

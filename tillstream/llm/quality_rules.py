@@ -1,13 +1,16 @@
 """Quality rules whose cutoffs keep false rejections limited, stratum by stratum.
 
-Each rule compares a statistic of a text with a cutoff. On labelled good documents a
-cutoff is accepted if an exact binomial test rejects "this rule turns down more than its
-share of good documents of the stratum". A rule's cutoffs are tried from the loosest to
-the tightest and the last before the first failure counts (a fixed sequence needs no
-correction); over rules and strata the level is divided (Bonferroni). So with probability
-of at least 1 - LEVEL no stratum that stands alone loses more than RISK of its good
-documents. For each of those behind the STRATA largest, and for unlabelled ones, which
-follow the pooled cutoff, this is not promised.
+Each rule compares a statistic of a text with a cutoff. The cutoffs of all rules are
+tightened together, step by step. On labelled good documents a step is accepted if an
+exact binomial test rejects "the rules together turn down more than RISK of the good
+documents of the stratum". Steps are tried from the loosest and the last before the first
+failure counts (a fixed sequence needs no correction); the level is divided by the number
+of strata tested (Bonferroni). Which strata are tested depends on their sizes alone: the
+largest ones, as many as could pass at the level left for each. So with probability of at
+least 1 - LEVEL no stratum loses more than RISK of its good documents. Strata with too few
+labelled good documents, or none, get no cutoff and keep what passes the base rules.
+
+A single stratum takes 149 such documents without a rejection, four take 217 each.
 
 SQL functions only; statistics are computed once and stored.
 """
@@ -15,15 +18,15 @@ SQL functions only; statistics are computed once and stored.
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillstream.llm.stage import stored
 
 RISK, LEVEL = 0.02, 0.05
-STRATA = 256
-POOLED = "(other)"
 MIN_WORDS, REPEAT_PERCENT = 50, 50
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
@@ -120,57 +123,74 @@ def at_most(n: Column, k: Column, p: float) -> Column:
     return F.aggregate(steps, start, add, lambda a: a["total"])
 
 
+STEPS = max(len(cuts) for _, cuts in RULES.values())
+
+
+def cut_at(rule: str, step: int) -> float:
+    """The rule's cutoff at a step; rules with fewer cutoffs stay at their tightest."""
+    cuts = RULES[rule][1]
+    return cuts[min(step, len(cuts) - 1)]
+
+
+def exceeds(step: int) -> Column:
+    """Whether a text exceeds any rule's cutoff of a step."""
+    return reduce(or_, [F.coalesce(F.expr(statistic) > cut_at(rule, step), F.lit(False)) for rule, (statistic, _) in RULES.items()])
+
+
+def tested_sizes(counts: DataFrame, risk: float, level: float) -> DataFrame:
+    """One row: the least size of the strata that are tested, and how many those are; no row if none can pass.
+
+    A stratum of n documents without a rejection passes if (1 - risk)^n is at most its
+    share of the level, so that up to level / (1 - risk)^n strata of that size may share it.
+    Only the distinct sizes meet in one task; their sum is at most the number of labels.
+    """
+    sizes = counts.groupBy("n").agg(F.count(F.lit(1)).alias("strata"))
+    larger = F.sum("strata").over(Window.orderBy(F.desc("n")))
+    may_share = F.floor(level * F.exp(F.least(F.col("n") * -math.log1p(-risk), F.lit(40.0))))
+    placed = sizes.withColumn("m", larger).withColumn("can", F.least("m", may_share)).where("can > 0")
+    return placed.agg(F.max(F.struct("can", "n", "m")).alias("best")).where("best is not null").select(F.col("best.n").alias("least"), F.col("best.m").alias("m"))
+
+
 def cutoffs(statistics: DataFrame, labels: DataFrame, risk: float = RISK, level: float = LEVEL) -> DataFrame:
-    """One row per stratum, of which there are at most STRATA + 1: a cutoff per rule, null where none is accepted.
+    """stratum, n, step: the last step accepted for a stratum; strata without one are left out.
 
-    Labelled good documents that pass the base rules are the holdout. The STRATA largest
-    strata stand alone, all others are pooled.
+    Labelled good documents that pass the base rules are the holdout.
     """
     good = labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("of")).distinct()
     held = statistics.where(~F.col("base_failed")).join(good, F.col("doc_id") == F.col("of"), "left_semi")
-    parts = [
-        F.count_if(F.expr(statistic) > cut).alias(f"k_{rule}_{i}") for rule, (statistic, cuts) in RULES.items() for i, cut in enumerate(cuts)
-    ]
-    counts = held.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *parts)
-    large = counts.orderBy(F.col("n").desc(), "stratum").limit(STRATA)
-    rest = counts.join(F.broadcast(large.select(F.col("stratum").alias("of"))), F.col("stratum") == F.col("of"), "left_anti")
-    pooled = rest.agg(*[F.sum(c).alias(c) for c in counts.columns[1:]]).where(F.col("n").isNotNull())
-    tested = large.union(pooled.select(F.lit(POOLED).alias("stratum"), *counts.columns[1:]))
-    tested = stored(tested, "holdout-counts")
-    share, wanted = risk / len(RULES), level / len(RULES) / max(tested.count(), 1)
-    tries = [
-        F.struct(F.lit(rule).alias("rule"), F.lit(i).alias("step"), F.lit(cut).alias("cut"), F.col(f"k_{rule}_{i}").alias("k"))
-        for rule, (_, cuts) in RULES.items()
-        for i, cut in enumerate(cuts)
-    ]
-    trial = tested.select("stratum", "n", F.inline(F.array(*tries)))
+    counts = held.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *[F.count_if(exceeds(i)).alias(f"k{i}") for i in range(STEPS)])
+    counts = stored(counts, "holdout-counts")
+    sizes = tested_sizes(counts, risk, level)
+    tested = counts.where(F.col("n") >= sizes.select("least").scalar())
+    trial = tested.select("stratum", "n", F.posexplode(F.array(*[F.col(f"k{i}") for i in range(STEPS)])).alias("step", "k"))
     # A share of rejections at or above the limit fails at once; only below it is the sum needed.
-    passed = trial.withColumn("passed", F.when(F.col("k") >= F.col("n") * share, False).otherwise(at_most(F.col("n"), F.col("k"), share) <= wanted))
-    listed = F.sort_array(F.collect_list(F.struct("step", "cut")))
-    per_rule = passed.groupBy("stratum", "n", "rule").agg(F.min(F.when(~F.col("passed"), F.col("step"))).alias("fails"), listed.alias("cuts"))
-    last = per_rule.select("stratum", "n", "rule", F.get("cuts", F.coalesce("fails", F.size("cuts")) - 1)["cut"].alias("cut"))
-    limits = [F.max(F.when(F.col("rule") == rule, F.col("cut"))).alias(f"max_{rule}") for rule in RULES]
-    return stored(last.groupBy("stratum", "n").agg(*limits), "cutoffs")
+    tail = at_most(F.col("n"), F.col("k"), risk)
+    passed = trial.withColumn("passed", F.when(F.col("k") >= F.col("n") * risk, False).otherwise(tail <= F.lit(level) / sizes.select("m").scalar()))
+    fails = F.coalesce(F.min(F.when(~F.col("passed"), F.col("step"))), F.lit(STEPS))
+    return stored(passed.groupBy("stratum", "n").agg((fails - 1).alias("step")).where("step >= 0"), "cutoffs")
 
 
 def with_verdict(statistics: DataFrame, limits: DataFrame) -> DataFrame:
-    """Add `kept`: false for texts that fail the base rules or exceed an accepted cutoff of their stratum.
+    """Add `kept`: false for texts that fail the base rules or exceed the accepted cutoffs of their stratum.
 
-    A stratum without labelled good documents follows the pooled cutoffs, if there are any.
+    The few rows of limits are broadcast where Spark finds them small; else a stratum that
+    holds a large share of the rows is split by adaptive execution.
     """
-    rows = F.broadcast(limits.withColumnRenamed("stratum", "of").drop("n"))
-    known = F.broadcast(limits.select(F.col("stratum").alias("known")))
-    placed = statistics.join(known, F.col("stratum") == F.col("known"), "left")
-    joined = placed.join(rows, F.coalesce("known", F.lit(POOLED)) == F.col("of"), "left")
-    over = [F.coalesce(F.expr(statistic) > F.col(f"max_{rule}"), F.lit(False)) for rule, (statistic, _) in RULES.items()]
-    exceeds = over[0]
-    for one in over[1:]:
-        exceeds = exceeds | one
-    kept = F.when(F.col("base_failed"), False).otherwise(~exceeds)
+    rows = limits.select(F.col("stratum").alias("of"), F.col("step").alias("up_to"))
+    joined = statistics.join(rows, F.col("stratum") == F.col("of"), "left")
+    over = reduce(or_, [(F.col("up_to") == i) & exceeds(i) for i in range(STEPS)])
+    kept = F.when(F.col("base_failed"), False).otherwise(~F.coalesce(over, F.lit(False)))
     return joined.withColumn("kept", kept).select(*statistics.columns, "kept")
 
 
 def judged(docs: DataFrame, labels: DataFrame, text: str = "text", stratum: str = "lang") -> DataFrame:
-    """Statistics and verdict of every row. Texts are read once; the statistics are stored."""
+    """Statistics and verdict of every row. Texts are read once; the statistics are stored.
+
+    A null text counts as empty and fails the base rules. A null stratum is one of its own,
+    named ''. Rows that repeat an id are judged one by one, and each counts in the holdout if
+    the id is labelled; rows without an id are never in it. Empty tables give no rows, or no
+    cutoffs. Columns other than the id, the text and the stratum are not read and not
+    returned, whatever their names.
+    """
     statistics = stored(with_statistics(docs, text, stratum), "statistics")
     return with_verdict(statistics, cutoffs(statistics, labels))

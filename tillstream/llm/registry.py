@@ -153,14 +153,12 @@ BASE32 = " || ".join(
     for k in range(4)
 )
 
-RULE_VALUES = ", ".join(
-    f"('{rule}', {step}, {cut})" for rule, (_, cuts) in quality_rules.RULES.items() for step, cut in enumerate(cuts)
+STEP_FAILS = ", ".join(
+    "(" + " or ".join(f"coalesce({statistic} > {quality_rules.cut_at(rule, i)}, false)" for rule, (statistic, _) in quality_rules.RULES.items()) + f") as x{i}"
+    for i in range(quality_rules.STEPS)
 )
-RULE_STATISTICS = " union all ".join(
-    f"select doc_id, stratum, base_failed, '{rule}' as rule, {statistic} as value from s"
-    for rule, (statistic, _) in quality_rules.RULES.items()
-)
-RULE_SHARE = quality_rules.RISK / len(quality_rules.RULES)
+STEP_COUNTS = " union all ".join(f"select stratum, {i} as step, count(*) as n, count(*) filter (x{i}) as k from h group by stratum" for i in range(quality_rules.STEPS))
+STEP_VERDICT = " or ".join(f"up_to = {i} and x{i}" for i in range(quality_rules.STEPS))
 
 RULE_ROWS = ", ".join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in URL_RULES)
 LOWERED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -206,7 +204,6 @@ SQL: dict[str, str] = {
                      count(*) filter (n_words >= {resampling.MIN_WORDS}) over () as n from o)
         select doc_id, n_features, weight, score, case when place <= {resampling.PERCENT} * n // 100 then place end as rank from r
     """,
-    # Holds while there are no more strata than stand alone.
     "op10_quality_rules": f"""
         with d as (select doc_id, coalesce(lang, '') as stratum, coalesce(text, '') as text from documents),
         w as (select doc_id, unnest(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) as word,
@@ -226,20 +223,20 @@ SQL: dict[str, str] = {
                      len(regexp_extract_all(text, '[A-Z]')) as n_upper, len(regexp_extract_all(text, '!')) as n_exclamations
               from d left join wc on d.doc_id = wc.doc_id left join lc on d.doc_id = lc.doc_id),
         s as (select *, n_words < {quality_rules.MIN_WORDS} or 100 * n_repeat_words > {quality_rules.REPEAT_PERCENT} * n_words as base_failed from f),
-        v as ({RULE_STATISTICS}),
+        v as (select *, {STEP_FAILS} from s),
         g as (select distinct doc_id from labels where quality = 1),
         h as (select v.* from v semi join g on v.doc_id = g.doc_id where not base_failed),
-        k as (select stratum, rules.rule, step, cut, count(*) as n, count(*) filter (value > cut) as k
-              from h join (values {RULE_VALUES}) rules(rule, step, cut) on h.rule = rules.rule group by all),
-        p as (select *, case when k >= n * {RULE_SHARE} then false else list_sum([exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)
-                     + i * ln({RULE_SHARE}) + (n - i) * ln(1 - {RULE_SHARE})) for i in range(k + 1)])
-                     <= {quality_rules.LEVEL / len(quality_rules.RULES)} / (select count(distinct stratum) from h) end as passed from k),
-        o as (select stratum, rule, coalesce(min(step) filter (not passed), 99) as fails from p group by all),
-        m as (select p.stratum, p.rule, arg_max(cut, step) as cut from p join o on p.stratum = o.stratum and p.rule = o.rule
-              where step < fails group by all),
-        x as (select distinct doc_id from v join m on v.stratum = m.stratum and v.rule = m.rule where value > cut)
+        k as ({STEP_COUNTS}),
+        z as (select n, sum(count(*)) over (order by n desc) as m from (select stratum, any_value(n) as n from k group by stratum) group by n),
+        b as (select arg_max(n, (least(m, c), n)) as least, arg_max(m, (least(m, c), n)) as m
+              from (select *, floor({quality_rules.LEVEL} * exp(least(n * -ln(1 - {quality_rules.RISK}), 40))) as c from z) where c > 0),
+        p as (select k.*, case when k >= n * {quality_rules.RISK} then false else list_sum([exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)
+                     + i * ln({quality_rules.RISK}) + (n - i) * ln(1 - {quality_rules.RISK})) for i in range(k + 1)]) <= {quality_rules.LEVEL} / b.m end as passed
+              from k, b where n >= least),
+        o as (select stratum, coalesce(min(step) filter (not passed), {quality_rules.STEPS}) - 1 as up_to from p group by stratum)
         select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-               not base_failed and doc_id not in (select doc_id from x) as kept from s
+               not base_failed and not coalesce({STEP_VERDICT}, false) as kept
+        from v left join o on v.stratum = o.stratum and up_to >= 0
     """,
     "op3_line_dedup": f"""
         with d as (select doc_id, coalesce(text, '') as text from documents),
