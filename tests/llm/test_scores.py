@@ -80,11 +80,14 @@ def test_sparse_weights():
     assert weight[7] > 0 > weight[9] and len(model.slots) < 500
 
 
+COUNTS = np.random.default_rng(1).zipf(1.3, lm_score.TOKENS)
+
+
 def test_likelihood_equals_a_plain_computation(spark):
-    net = lm_score.fresh(3)
+    net, tree = lm_score.fresh(3), lm_score.tree_of(COUNTS)
     ids = np.array([3, 900, 1023, 3, 40, 5], np.uint16)
     at = np.array([0, 4, 6])
-    got = lm_score.log_probs(net, lm_score.neighbours(ids, at, np.arange(6)), ids)
+    got = lm_score.log_probs(net, tree, lm_score.neighbours(ids, at, np.arange(6)), ids)
     for t in range(6):
         d = 0 if t < 4 else 1
         h = net.shift.astype(float).copy()
@@ -92,27 +95,76 @@ def test_likelihood_equals_a_plain_computation(spark):
             there = t + step
             h += net.rows[k][ids[there] if at[d] <= there < at[d + 1] else lm_score.TOKENS]
         h = np.tanh(h)
-        kind, inner = divmod(int(ids[t]), lm_score.PER_CLASS)
-        a = h @ net.classes + net.class_shift
-        b = h @ net.words[kind] + net.word_shift[kind]
-        assert got[t] == pytest.approx(a[kind] - np.log(np.exp(a).sum()) + b[inner] - np.log(np.exp(b).sum()), abs=1e-4)
+        told = 0.0
+        for place in range(tree.first[ids[t]], tree.first[ids[t] + 1]):
+            x = h @ net.nodes[tree.nodes[place]] + net.node_shift[tree.nodes[place]]
+            told -= np.log1p(np.exp(-tree.signs[place] * x))
+        assert got[t] == pytest.approx(told, abs=1e-4)
+
+
+def test_probabilities_of_all_tokens_add_up_to_one():
+    draw = np.random.default_rng(6)
+    for counts in (COUNTS, np.zeros(5, np.int64), np.array([7, 1]), np.arange(100)):
+        tree = lm_score.tree_of(counts)
+        size = lm_score.Sizes(len(counts), 1)
+        net = lm_score.Network(*[draw.normal(0, 1, s).astype(np.float32) for s in lm_score.shapes(size)])
+        around = np.repeat(draw.integers(0, len(counts) + 1, (4, 1)), len(counts), axis=1)
+        assert np.exp(lm_score.log_probs(net, tree, around, np.arange(len(counts)))).sum() == pytest.approx(1, abs=1e-4)
+
+
+def test_ways_are_as_short_as_huffman_makes_them():
+    import heapq
+
+    heap = [(int(c), i) for i, c in enumerate(np.maximum(COUNTS, 1))]
+    heapq.heapify(heap)
+    least = 0
+    while len(heap) > 1:
+        a, b = heapq.heappop(heap), heapq.heappop(heap)
+        least += a[0] + b[0]
+        heapq.heappush(heap, (a[0] + b[0], -len(heap)))
+    tree = lm_score.tree_of(COUNTS)
+    assert (np.diff(tree.first) * np.maximum(COUNTS, 1)).sum() == least
 
 
 def test_gradient_is_that_of_the_loss():
-    net = lm_score.fresh(4)
+    net, tree = lm_score.fresh(4), lm_score.tree_of(COUNTS)
     draw = np.random.default_rng(4)
     ids = draw.integers(0, lm_score.TOKENS, 50).astype(np.uint16)
     around = lm_score.neighbours(ids, np.array([0, 50]), np.arange(50))
-    g = lm_score.gradient(net, around, ids)
-    for part, at in ((0, (1, int(around[1][7]), 3)), (2, (2, int(ids[5]) // 32)), (4, (int(ids[5]) // 32, 1, int(ids[5]) % 32)), (1, (5,))):
+    g = lm_score.gradient(net, tree, around, ids)
+    node = int(tree.nodes[tree.first[ids[5]]])
+    for part, at in ((0, (1, int(around[1][7]), 3)), (2, (node, 2)), (3, (node,)), (1, (5,)), (2, (lm_score.TOKENS - 2, 1))):
         values = []
         for move in (1e-2, -1e-2):
             other = lm_score.Network(*[x.astype(np.float64) for x in net])
             other[part][at] += move
-            values.append(-lm_score.log_probs(other, around, ids).mean())
+            values.append(-lm_score.log_probs(other, tree, around, ids).mean())
         assert g[part][at] == pytest.approx((values[0] - values[1]) / 2e-2, abs=2e-5)
 
 
+def test_what_tasks_send_does_not_outgrow_the_texts():
+    """Whatever the number of input splits: tasks times parameters stay within a small multiple of the words' bytes."""
+    for words in (10**8, 10**10, 10**13):
+        size = lm_score.sizes(words)
+        sent = lm_score.training_tasks(words, size) * 4 * sum(int(np.prod(s)) for s in lm_score.shapes(size))
+        assert sent <= 1.01 * words * lm_score.WORD_BYTES
+
+
+def test_training_takes_no_more_tasks_than_asked_for(spark):
+    rows = documents(spark, [(i, "a b c d e f") for i in range(64)]).repartition(16)
+    size = lm_score.LEAST
+    counts = lm_score.stored(lm_score.word_counts(rows, "text"), "w")
+    top = lm_score.frequent_words(counts, size)
+    tokens = lm_score.encoded(rows, "text", top["word"].to_numpy().view(text.U), size)
+    tree = lm_score.tree_of(lm_score.token_counts(counts, top, size))
+    few = lm_score.trained(tokens, size, tree, tasks=2, rounds=1)
+    alone = lm_score.trained(tokens.coalesce(2), size, tree, rounds=1)
+    assert all(np.allclose(a, b, atol=1e-4) for a, b in zip(few, alone))
+    # Rows that no task touched are as they began.
+    untouched = size.known - 1
+    assert (few.rows[0][untouched] == lm_score.fresh().rows[0][untouched]).all()
+
+
 def test_likelihood_prefers_the_order_of_the_corpus(spark):
     rows = [(i, " ".join(["the cat sat on a mat"] * 40)) for i in range(200)]
     rows += [(1000, " ".join(["mat on the a sat cat"] * 40)), (1001, None), (1002, " "), (None, "the cat"), (1, "the cat")]
@@ -152,9 +204,9 @@ def test_vocabulary_grows_with_the_corpus():
     assert lm_score.sizes(0).tokens == lm_score.TOKENS
     small, large = lm_score.sizes(4_000_000), lm_score.sizes(400_000_000)
     assert small.tokens >= 4000 and large.tokens >= 9.5 * small.tokens
-    assert small.known > 0.9 * small.tokens and large.classes**2 == large.tokens
-    net = lm_score.fresh(size=lm_score.Sizes(3, 5, 2))
-    assert net.rows.shape[1] == 16 and net.words.shape == (3, lm_score.HIDDEN, 5)
+    assert small.known > 0.9 * small.tokens
+    net = lm_score.fresh(size=lm_score.Sizes(15, 2))
+    assert net.rows.shape[1] == 16 and net.nodes.shape == (14, lm_score.HIDDEN)
 
 
 def test_every_position_is_trained_once():

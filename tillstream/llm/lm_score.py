@@ -2,15 +2,20 @@
 
 Every token is predicted from the two tokens before and the two after it; a document's
 score is the sum of these conditional log-probabilities. The network adds a row per
-neighbour and place, takes tanh, and predicts first the token's class, then the token
-within it. Tokens are the most frequent words of the corpus, in a number that grows with
-the square root of its words, and hash slots for all others. A word within a slot has the
-slot's probability times the word's share of the corpus words in this slot, so that the
+neighbour and place, takes tanh, and walks a Huffman tree of the tokens: at every node on
+the way to a token it tells which branch to take, so that a prediction costs some ten
+products instead of one for every token, and probabilities still add up to one.
+
+Tokens are the most frequent words of the corpus, in a number that grows with the square
+root of its words, and hash slots for all others. A word within a slot has the slot's
+probability times the word's share of the corpus words in this slot, so that the
 probabilities of all words of the corpus add up to one at every position.
 
 Word counts cover all documents. Over the rounds every position of every document is
 trained once. Each round, tasks start from the same parameters and train on every
-ROUNDS-th position of their documents; the results are averaged, weighted by positions.
+ROUNDS-th position of their documents; each parameter becomes the mean over the tasks that
+changed it, weighted by positions. There are no more tasks than keep what they send below
+about the size of the texts.
 """
 
 from __future__ import annotations
@@ -28,18 +33,19 @@ from pyspark.sql import functions as F
 from tillstream.llm.stage import own_names, stored
 from tillstream.llm.text import U, blocks, words_of
 
-CLASSES, PER_CLASS = 32, 32
-TOKENS = CLASSES * PER_CLASS
+TOKENS = 1024
 GROWTH = 2
 SLOT_SHARE = 16
 PLACES = (-2, -1, 1, 2)
 HIDDEN = 16
 ROUNDS = 2
-BATCH = 1 << 14
+BATCH = 1 << 12
 RATE = 0.1
 CHUNK = 1 << 16
 COUNTED = 4 << 20
 PIECE = 1 << 15
+WORD_BYTES, LEAST_TASKS = 6, 32
+PARTS = 64
 COLUMNS = ["n_tokens", "log_prob", "mean_log_prob"]
 CODED, ROW = "_lm_coded", "_lm_row"
 
@@ -47,14 +53,9 @@ CODED, ROW = "_lm_coded", "_lm_row"
 class Sizes(NamedTuple):
     """Tokens below `known` are words, the next `slots` hash slots of all others."""
 
-    classes: int
-    per_class: int
+    tokens: int
     slots: int
 
-    @property
-    def tokens(self) -> int:
-        return self.classes * self.per_class
-
     @property
     def known(self) -> int:
         return self.tokens - self.slots
@@ -62,25 +63,62 @@ class Sizes(NamedTuple):
 
 def sizes(words: int) -> Sizes:
     """For a corpus of so many words: GROWTH times their square root as tokens, TOKENS at least."""
-    side = max(CLASSES, math.ceil(math.sqrt(GROWTH * math.sqrt(words))))
-    return Sizes(side, side, side * side // SLOT_SHARE)
+    tokens = max(TOKENS, math.ceil(GROWTH * math.sqrt(words)))
+    return Sizes(tokens, tokens // SLOT_SHARE)
 
 
 LEAST = sizes(0)
 
 
+class Tree(NamedTuple):
+    """The way to token t: the nodes from `first[t]` on to `first[t + 1]`, and at each 1 or -1 for the branch."""
+
+    first: np.ndarray
+    nodes: np.ndarray
+    signs: np.ndarray
+
+
+def tree_of(counts: np.ndarray) -> Tree:
+    """Huffman tree of the tokens, which keeps the mean way short. Counts of 0 are as 1."""
+    n = len(counts)
+    order = np.argsort(counts, kind="stable")
+    weight = np.maximum(counts[order], 1).tolist()
+    parent, side = np.zeros(2 * n - 1, np.int64), np.ones(2 * n - 1, np.float32)
+    leaf, inner = 0, n
+    # Joined nodes come in the order of their weights, so that the two lightest are at the heads of two queues.
+    for new in range(n, 2 * n - 1):
+        total = 0
+        for sign in (1, -1):
+            take_leaf = leaf < n and (inner >= new or weight[leaf] <= weight[inner])
+            child = leaf if take_leaf else inner
+            leaf, inner = leaf + take_leaf, inner + (not take_leaf)
+            parent[child], side[child] = new, sign
+            total += weight[child]
+        weight.append(total)
+    token, at = order.copy(), np.arange(n)
+    tokens, nodes, signs = [], [], []
+    while len(at):
+        tokens.append(token)
+        nodes.append(parent[at] - n)
+        signs.append(side[at])
+        at = parent[at]
+        token, at = token[at < 2 * n - 2], at[at < 2 * n - 2]
+    tokens = np.concatenate(tokens)
+    by_token = np.argsort(tokens, kind="stable")
+    first = np.searchsorted(tokens[by_token], np.arange(n + 1))
+    kind = np.uint16 if n <= 1 << 16 else np.int32
+    return Tree(first, np.concatenate(nodes)[by_token].astype(kind), np.concatenate(signs)[by_token])
+
+
 class Network(NamedTuple):
     rows: np.ndarray  # place, token (the last is "no neighbour"), hidden
     shift: np.ndarray
-    classes: np.ndarray
-    class_shift: np.ndarray
-    words: np.ndarray  # class, hidden, token of the class
-    word_shift: np.ndarray
+    nodes: np.ndarray  # node, hidden
+    node_shift: np.ndarray
 
 
 def shapes(size: Sizes) -> tuple[tuple[int, ...], ...]:
-    c, p = size.classes, size.per_class
-    return (len(PLACES), size.tokens + 1, HIDDEN), (HIDDEN,), (HIDDEN, c), (c,), (c, HIDDEN, p), (c, p)
+    return (len(PLACES), size.tokens + 1, HIDDEN), (HIDDEN,), (size.tokens - 1, HIDDEN), (size.tokens - 1,)
 
 
 def flat(net: Network) -> np.ndarray:
@@ -94,9 +132,9 @@ def shaped(values: np.ndarray, size: Sizes) -> Network:
 
 def fresh(seed: int = 2, size: Sizes = LEAST) -> Network:
     draw = np.random.default_rng(seed)
-    *others, last = shapes(size)
-    start = [draw.normal(0, 0.1, s).astype(np.float32) if len(s) > 1 else np.zeros(s, np.float32) for s in others]
-    return Network(*start, np.zeros(last, np.float32))
+    rows, shift, nodes, node_shift = shapes(size)
+    start = [draw.normal(0, 0.1, s).astype(np.float32) for s in (rows, nodes)]
+    return Network(start[0], np.zeros(shift, np.float32), start[1], np.zeros(node_shift, np.float32))
 
 
 def word_counts(docs: DataFrame, text: str) -> DataFrame:
@@ -162,17 +200,30 @@ def encoded(docs: DataFrame, text: str, words: np.ndarray, size: Sizes) -> DataF
     return docs.withColumns({CODED: coded(F.col(text)), ROW: F.monotonically_increasing_id()})
 
 
-def shares(counts: DataFrame, top: pa.Table, size: Sizes) -> DataFrame:
-    """word, share: the logarithm of its part of all corpus words in its slot, for the words in slots."""
-    left = counts
+def in_slots(counts: DataFrame, top: pa.Table, size: Sizes) -> DataFrame:
+    """word, n, slot of the words that have no token of their own."""
     if len(top):
         n, word = top["n"][-1].as_py(), top["word"][-1].as_py()
-        left = left.where((F.col("n") < n) | ((F.col("n") == n) & (F.col("word") > word)))
-    left = left.withColumn("slot", F.pmod("word", F.lit(size.slots)))
+        counts = counts.where((F.col("n") < n) | ((F.col("n") == n) & (F.col("word") > word)))
+    return counts.withColumn("slot", F.pmod("word", F.lit(size.slots)))
+
+
+def shares(counts: DataFrame, top: pa.Table, size: Sizes) -> DataFrame:
+    """word, share: the logarithm of its part of all corpus words in its slot, for the words in slots."""
+    left = in_slots(counts, top, size)
     totals = left.groupBy("slot").agg(F.sum("n").alias("total"))
     return left.join(totals, "slot").select("word", F.log(F.col("n") / F.col("total")).alias("share"))
 
 
+def token_counts(counts: DataFrame, top: pa.Table, size: Sizes) -> np.ndarray:
+    """Corpus words of each token. The driver gets a row for each slot, as it got one for each known word."""
+    out = np.zeros(size.tokens, np.int64)
+    out[: len(top)] = top["n"].to_numpy()
+    for row in in_slots(counts, top, size).groupBy("slot").agg(F.sum("n").alias("n")).collect():
+        out[size.known + row["slot"]] = row["n"]
+    return out
+
+
 def neighbours(ids: np.ndarray, at: np.ndarray, places: np.ndarray, none: int = TOKENS) -> np.ndarray:
     """The tokens around the places, `none` where a document ends."""
     doc = np.searchsorted(at, places, "right") - 1
@@ -192,81 +243,71 @@ def hidden(net: Network, around: np.ndarray) -> np.ndarray:
     return np.tanh(total)
 
 
-def softmax_of(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Probabilities and log-sums of the rows."""
-    top = logits.max(1, keepdims=True)
-    e = np.exp(logits - top)
-    total = e.sum(1, keepdims=True)
-    return e / total, (np.log(total) + top)[:, 0]
+def ways(net: Network, tree: Tree, h: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, ...]:
+    """For every node on the tokens' ways: the node, the sign, the hidden layer, the node's row, and the sum there;
+    and where each token's way begins."""
+    begin, end = tree.first[token], tree.first[token.astype(np.int64) + 1]
+    count = end - begin
+    last = np.cumsum(count)
+    at = np.arange(last[-1]) + np.repeat(begin - (last - count), count)
+    node, own = tree.nodes[at], np.repeat(h, count, axis=0)
+    row = net.nodes[node]
+    return node, tree.signs[at], own, row, np.einsum("ij,ij->i", own, row) + net.node_shift[node], last - count
+
 
+def log_sigmoid(z: np.ndarray) -> np.ndarray:
+    return np.minimum(z, 0) - np.log1p(np.exp(-np.abs(z)))
 
-def log_probs(net: Network, around: np.ndarray, token: np.ndarray) -> np.ndarray:
+
+def log_probs(net: Network, tree: Tree, around: np.ndarray, token: np.ndarray) -> np.ndarray:
     """Log-probability of each token given its neighbours."""
     out = np.empty(len(token))
-    n_classes, _, per_class = net.words.shape
     for a in range(0, len(token), PIECE):
         b = min(a + PIECE, len(token))
-        h = hidden(net, around[:, a:b])
-        kind, inner = np.divmod(token[a:b].astype(np.int64), per_class)
-        logits = h @ net.classes + net.class_shift
-        value = logits[np.arange(b - a), kind] - softmax_of(logits)[1]
-        order = np.argsort(kind, kind="stable")
-        edges = np.searchsorted(kind[order], np.arange(n_classes + 1))
-        for c in range(n_classes):
-            some = order[edges[c] : edges[c + 1]]
-            if len(some):
-                within = h[some] @ net.words[c] + net.word_shift[c]
-                value[some] += within[np.arange(len(some)), inner[some]] - softmax_of(within)[1]
-        out[a:b] = value
+        _, sign, _, _, x, first = ways(net, tree, hidden(net, around[:, a:b]), token[a:b])
+        out[a:b] = np.add.reduceat(log_sigmoid(sign * x), first)
     return out
 
 
-def slopes(net: Network, around: np.ndarray, token: np.ndarray) -> Iterator[tuple[int, object, np.ndarray]]:
+def by_row(index: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct indices and the sums of their values."""
+    order = np.argsort(index, kind="stable")
+    there = index[order]
+    first = np.flatnonzero(np.append(True, there[1:] != there[:-1]))
+    return there[first], np.add.reduceat(values[order], first, axis=0)
+
+
+def slopes(net: Network, tree: Tree, around: np.ndarray, token: np.ndarray) -> Iterator[tuple[int, object, np.ndarray]]:
     """Of the mean negative log-probability: part of the network, place in it, gradient there; it is 0 elsewhere.
 
     Each part may be changed as soon as its gradient is out.
     """
-    n, per_class = len(token), net.words.shape[2]
     h = hidden(net, around)
-    kind, inner = np.divmod(token.astype(np.int64), per_class)
-    d = softmax_of(h @ net.classes + net.class_shift)[0]
-    d[np.arange(n), kind] -= 1
-    d /= n
-    dh = d @ net.classes.T
-    yield 2, slice(None), h.T @ d
-    yield 3, slice(None), d.sum(0)
-    order = np.argsort(kind, kind="stable")
-    edges = np.flatnonzero(np.diff(kind[order], prepend=-1, append=-1))
-    for a, b in zip(edges[:-1], edges[1:]):
-        some = order[a:b]
-        c, own = kind[some[0]], h[some]
-        p = softmax_of(own @ net.words[c] + net.word_shift[c])[0]
-        p[np.arange(b - a), inner[some]] -= 1
-        p /= n
-        dh[some] += p @ net.words[c].T
-        yield 4, c, own.T @ p
-        yield 5, c, p.sum(0)
-    dh *= 1 - h * h
+    node, sign, own, row, x, first = ways(net, tree, h, token)
+    d = -sign / (1 + np.exp(sign * x)) / np.float32(len(token))
+    dh = np.add.reduceat(d[:, None] * row, first, axis=0) * (1 - h * h)
+    touched, dx = by_row(node, np.concatenate([d[:, None] * own, d[:, None]], 1))
+    yield 2, touched, dx[:, :-1]
+    yield 3, touched, dx[:, -1]
     yield 1, slice(None), dh.sum(0)
+    kind = np.uint16 if net.rows.shape[1] <= 1 << 16 else np.int64
     for k in range(len(PLACES)):
-        order = np.argsort(around[k], kind="stable")
-        there = around[k][order]
-        first = np.flatnonzero(np.diff(there, prepend=-1))
-        yield 0, (k, there[first]), np.add.reduceat(dh[order], first, axis=0)
+        touched, dx = by_row(around[k].astype(kind), dh)
+        yield 0, (k, touched), dx
 
 
-def gradient(net: Network, around: np.ndarray, token: np.ndarray) -> Network:
+def gradient(net: Network, tree: Tree, around: np.ndarray, token: np.ndarray) -> Network:
     """Of the mean negative log-probability."""
     g = Network(*[np.zeros(x.shape, np.float32) for x in net])
-    for part, at, value in slopes(net, around, token):
+    for part, at, value in slopes(net, tree, around, token):
         g[part][at] = value
     return g
 
 
-def steps(net: Network, seen: Network, around: np.ndarray, token: np.ndarray) -> None:
+def steps(net: Network, seen: Network, tree: Tree, around: np.ndarray, token: np.ndarray) -> None:
     """Gradient steps in place, with a rate for each parameter (Adagrad)."""
     for a in range(0, len(token), BATCH):
-        for part, at, dx in slopes(net, around[:, a : a + BATCH], token[a : a + BATCH]):
+        for part, at, dx in slopes(net, tree, around[:, a : a + BATCH], token[a : a + BATCH]):
             s = seen[part][at] + dx * dx
             seen[part][at] = s
             net[part][at] -= RATE * dx / np.sqrt(s)
@@ -290,8 +331,20 @@ def places_of(at: np.ndarray, turn: int, rounds: int) -> np.ndarray:
     return np.flatnonzero((np.arange(at[-1]) - np.repeat(at[:-1], np.diff(at))) % rounds == turn)
 
 
-def trained(tokens: DataFrame, size: Sizes, rounds: int = ROUNDS) -> Network:
-    """Train on every position of all documents, averaging the tasks' networks after each round."""
+def training_tasks(words: int, size: Sizes) -> int:
+    """As many tasks as may each send all parameters without sending more than about the bytes of the texts."""
+    parameters = sum(math.prod(s) for s in shapes(size))
+    return max(LEAST_TASKS, words * WORD_BYTES // (4 * parameters))
+
+
+def added(group: pa.Table) -> pa.Table:
+    """Sums of a part's changes and of their weights."""
+    sums = [pa.array([sum(np.frombuffer(x.as_py(), np.float32) for x in group[c]).tobytes()], pa.binary()) for c in ("change", "weight")]
+    return pa.table({"part": group["part"][:1], "salt": group["salt"][:1], "change": sums[0], "weight": sums[1]})
+
+
+def trained(tokens: DataFrame, size: Sizes, tree: Tree, tasks: int = 1 << 30, rounds: int = ROUNDS) -> Network:
+    """Train on every position of all documents, averaging what the tasks changed after each round."""
     net = fresh(size=size)
     for turn in range(rounds):
         start = net
@@ -303,26 +356,23 @@ def trained(tokens: DataFrame, size: Sizes, rounds: int = ROUNDS) -> Network:
             for _, ids, at in documents_in((b.column(0) for b in batches), token_type(size)):
                 places = places_of(at, turn, rounds)
                 if len(places):
-                    steps(mine, seen, neighbours(ids, at, places, size.tokens), ids[places])
+                    steps(mine, seen, tree, neighbours(ids, at, places, size.tokens), ids[places])
                     used += len(places)
             if used:
-                parts = np.array_split(flat(mine), 64)
+                change = flat(mine) - flat(start)
+                weight = np.where(change != 0, np.float32(used), np.float32(0))
+                parts = [[x.tobytes() for x in np.array_split(v, PARTS)] for v in (change * weight, weight)]
                 yield pa.RecordBatch.from_pydict(
-                    {"part": pa.array(range(64), pa.int32()), "salt": pa.array([task // 64] * 64, pa.int32()), "used": pa.array([used] * 64, pa.int64()),
-                     "mean": pa.array([p.tobytes() for p in parts], pa.binary())}
+                    {"part": pa.array(range(PARTS), pa.int32()), "salt": pa.array([task // 64] * PARTS, pa.int32()),
+                     "change": pa.array(parts[0], pa.binary()), "weight": pa.array(parts[1], pa.binary())}
                 )
 
-        def added(group: pa.Table) -> pa.Table:
-            used = np.array(group["used"].to_pylist(), np.float64)
-            total = sum(np.frombuffer(x.as_py(), np.float32) * n for x, n in zip(group["mean"], used))
-            mean = pa.array([(total / used.sum()).astype(np.float32).tobytes()], pa.binary())
-            return pa.table({"part": group["part"][:1], "salt": group["salt"][:1], "used": pa.array([int(used.sum())], pa.int64()), "mean": mean})
-
-        kind = "part int, salt int, used long, mean binary"
-        sums = tokens.select(f"{CODED}.ids").mapInArrow(local, kind).groupBy("part", "salt").applyInArrow(added, kind)
+        kind = "part int, salt int, change binary, weight binary"
+        sums = tokens.select(f"{CODED}.ids").coalesce(tasks).mapInArrow(local, kind).groupBy("part", "salt").applyInArrow(added, kind)
         means = stored(sums.groupBy("part").applyInArrow(added, kind), "network").orderBy("part").toArrow()
         if len(means):
-            net = shaped(np.concatenate([np.frombuffer(x.as_py(), np.float32) for x in means["mean"]]), size)
+            change, weight = (np.concatenate([np.frombuffer(x.as_py(), np.float32) for x in means[c]]) for c in ("change", "weight"))
+            net = shaped(flat(start) + change / np.maximum(weight, 1), size)
     return net
 
 
@@ -335,15 +385,17 @@ def with_likelihood(docs: DataFrame, text: str = "text") -> DataFrame:
     """
     rows = own_names(docs, [*COLUMNS, CODED, ROW, "_of", "_within"])
     counts = stored(word_counts(rows, text), "word-counts")
-    size = sizes(counts.agg(F.sum("n")).first()[0] or 0)
+    n_words = counts.agg(F.sum("n")).first()[0] or 0
+    size = sizes(n_words)
     top = frequent_words(counts, size)
+    tree = tree_of(token_counts(counts, top, size))
     tokens = stored(encoded(rows, text, top["word"].to_numpy().view(U), size).drop(text), "tokens")
-    net = trained(tokens, size)
+    net = trained(tokens, size, tree, training_tasks(n_words, size))
 
     @F.arrow_udf("double")
     def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for n, ids, at in documents_in(batches, token_type(size)):
-            value = log_probs(net, neighbours(ids, at, np.arange(len(ids)), size.tokens), ids)
+            value = log_probs(net, tree, neighbours(ids, at, np.arange(len(ids)), size.tokens), ids) if len(ids) else np.zeros(0)
             total = np.concatenate([[0.0], np.cumsum(value)])
             yield pa.array(total[at[1:]] - total[at[:-1]], pa.float64())
 
