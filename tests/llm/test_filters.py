@@ -176,6 +176,54 @@ def test_hits_in_small_parts_give_the_same_alignments(monkeypatch):
     assert len(whole) == 9 and decontaminate.leaks_in(texts, items) == whole
 
 
+def edited_copy(draw, words, share, block):
+    """A copy with some words replaced, and perhaps a block of other words inserted."""
+    copy = [f"new{draw.integers(10**6)}" if draw.random() < share else w for w in words]
+    if block:
+        at = int(draw.integers(len(copy) // 4, 3 * len(copy) // 4 + 1))
+        copy[at:at] = [f"in{draw.integers(10**6)}" for _ in range(int(draw.integers(1, len(words))))]
+    return copy
+
+
+def test_edited_copies_score_as_aligned_with_the_whole_document(spark):
+    """Recall and scores against brute force: replaced words, inserted blocks, both."""
+    draw = np.random.default_rng(8)
+    items, rows, wanted = [], [], {}
+    for i in range(160):
+        words = prose(f"b{i}", int(draw.integers(15, 60)))
+        share, block = [(0.1, False), (0.25, False), (0.0, True), (0.1, True)][i % 4]
+        doc = [*prose(f"before{i}", 40), *edited_copy(draw, words, share, block), *prose(f"after{i}", 40)]
+        items.append((i, " ".join(words)))
+        rows.append((1000 + i, " ".join(doc)))
+        number = {w: n for n, w in enumerate({*words, *doc}, 1)}
+        score = plain_alignment([number[w] for w in words], [number[w] for w in doc]) / (decontaminate.MATCH * len(words))
+        seeds = {tuple(words[k : k + 4]) for k in range(len(words) - 3)}
+        if score >= decontaminate.THRESHOLD and any(tuple(doc[k : k + 4]) in seeds for k in range(len(doc) - 3)):
+            wanted[1000 + i, i] = score
+    got = {(r.doc_id, r.item_id): r.score for r in decontaminate.leaks(documents(spark, rows), benchmark(spark, items)).collect()}
+    assert len(wanted) > 130 and got == pytest.approx(wanted)
+
+
+def test_a_stock_opening_of_many_items_costs_little():
+    """Every document shares its words with every item, and holds none of them."""
+    import time
+
+    items = pa.array([f"what is the name of the {' '.join(prose(f's{i}', 12))}" for i in range(8000)])
+    texts = pa.array([" ".join([*prose(f"t{i}", 30), "what is the name of the", *prose(f"u{i}", 30)]) for i in range(25)])
+    known = decontaminate.items_of(np.arange(8000), items)
+    began = time.time()
+    assert decontaminate.leaks_in(texts, known) == {}
+    assert time.time() - began < 20
+
+
+def test_words_are_counted_in_parts(monkeypatch):
+    items = decontaminate.items_of(np.arange(3), pa.array([" ".join(prose("same", 10) + prose(f"i{i}", 10)) for i in range(3)]))
+    texts = pa.array([" ".join(prose("x", 9) + prose("same", 10) + prose(f"i{i}", 10)) for i in range(3)] + ["", "a"])
+    whole = decontaminate.leaks_in(texts, items)
+    monkeypatch.setattr(decontaminate, "COUNTED_WORDS", 1)
+    assert decontaminate.leaks_in(texts, items) == whole
+
+
 def test_large_benchmarks_come_in_blocks(spark, monkeypatch):
     items = [(i, " ".join(prose(f"item{i}", 20))) for i in range(9)]
     rows = [(i, t) for i, t in items]

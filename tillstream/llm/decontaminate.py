@@ -1,11 +1,16 @@
 """Test items that leaked into training texts, also when edited or paraphrased in part.
 
-Seeds are all short word n-grams of the items. Where a document holds a seed, the words
-around it are aligned with the item (Smith-Waterman on words); the score is the
-alignment's value over that of the item with itself. Windows with too few words of the
-item to reach the threshold are passed over first; this loses no pair, so how often an
-item or its seeds stand in the documents does not matter. Items of fewer words than a
-seed are found where they stand verbatim, anywhere in a document.
+Seeds are short word n-grams of the items. Where a document holds a seed, the words around
+it, as many on both sides as the item has, are aligned with the item (Smith-Waterman on
+words); the score is the alignment's value over that of the item with itself. An alignment
+that reaches the threshold has no more gaps than that, so no score comes out too low.
+
+A seed that few items share leads to few windows. One that many share, such as a stock
+opening, is not dropped: all its windows are first counted at once for words of their item,
+and those with too few to reach the threshold are passed over. This loses no pair, so
+neither how often an item stands in the documents nor how many items share its words
+matters. Items of fewer words than a seed are found where they stand verbatim, anywhere in
+a document.
 """
 
 from __future__ import annotations
@@ -27,6 +32,7 @@ THRESHOLD = 0.5
 SHARD_WORDS = 2_000_000
 ALIGN_CELLS = 4_000_000
 HITS = 1 << 20
+COUNTED_WORDS = 1 << 21
 
 LEAKS = "doc_id long, item_id long, score double, first_word int, last_word int"
 OUT = pa.schema(
@@ -44,6 +50,7 @@ class Items(NamedTuple):
     seed_item: np.ndarray
     seed_place: np.ndarray
     sizes: list[int]
+    held: np.ndarray  # sorted: the words of each item, mixed with the item's number
 
 
 def seed_runs(words: Words, sizes: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -65,7 +72,12 @@ def items_of(ids: np.ndarray, texts: pa.Array) -> Items:
         parts.append((hashes[fits], at[fits], item[fits]))
     hashes, at, item = (np.concatenate(x) for x in zip(*parts))
     order = np.argsort(hashes, kind="stable")
-    return Items(ids, words.hashes, words.first, hashes[order], item[order], (at - words.first[item])[order], sizes)
+    held = np.unique(word_of_item(words.hashes, np.repeat(np.arange(len(ids)), np.diff(words.first))))
+    return Items(ids, words.hashes, words.first, hashes[order], item[order], (at - words.first[item])[order], sizes, held)
+
+
+def word_of_item(words: np.ndarray, item: np.ndarray) -> np.ndarray:
+    return mixed(words ^ mixed(item.astype(U) + U(1)))
 
 
 def shards(benchmark: DataFrame) -> Iterator[Items]:
@@ -153,6 +165,32 @@ def leaks_in(texts: pa.Array, items: Items) -> dict[tuple[int, int], tuple[float
     return best
 
 
+def margin_of(length: np.ndarray) -> np.ndarray:
+    """Words on each side of an item's supposed place: a score of the threshold leaves room for so many gaps."""
+    return np.maximum(length, SEED_WORDS)
+
+
+def enough_words(words: Words, items: Items, doc: np.ndarray, item: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Whether each window holds as many words of its item as the threshold takes, for all items at once."""
+    length = np.diff(items.first)[item]
+    low = np.maximum(start - margin_of(length), words.first[doc])
+    width = np.maximum(np.minimum(start + length + margin_of(length), words.first[doc + 1]) - low, 0)
+    ends = np.cumsum(width)
+    out = np.zeros(len(doc), bool)
+    a = 0
+    while a < len(doc):
+        before = ends[a] - width[a]
+        b = max(a + 1, int(np.searchsorted(ends, before + COUNTED_WORDS, "right")))
+        size = width[a:b]
+        at = np.arange(size.sum()) + np.repeat(low[a:b] - (ends[a:b] - size - before), size)
+        key = word_of_item(words.hashes[at], np.repeat(item[a:b], size))
+        place = np.minimum(np.searchsorted(items.held, key), len(items.held) - 1)
+        hit = np.concatenate([[0], np.cumsum(items.held[place] == key)])
+        out[a:b] = hit[ends[a:b] - before] - hit[ends[a:b] - size - before] >= THRESHOLD * length[a:b]
+        a = b
+    return out
+
+
 def align(words: Words, items: Items, doc: np.ndarray, item: np.ndarray, start: np.ndarray, best: dict[tuple[int, int], tuple[float, int, int]]) -> None:
     """Enter the best alignments of some hits."""
     length = np.diff(items.first)
@@ -162,20 +200,19 @@ def align(words: Words, items: Items, doc: np.ndarray, item: np.ndarray, start:
     doc, item, start, slot = doc[order], item[order], start[order], slot[order]
     new = np.append(True, (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (slot[1:] != slot[:-1]))[: len(doc)]
     doc, item, start = doc[new], item[new], start[new]
+    fits = enough_words(words, items, doc, item, start)
+    doc, item, start = doc[fits], item[fits], start[fits]
     by_item = np.argsort(item, kind="stable")
     edges = np.flatnonzero(np.append(True, np.diff(item[by_item]) != 0)[: len(item)])
     for group in np.split(by_item, edges[1:]) if len(item) else []:
         n = int(length[item[group[0]]])
-        margin = max(n // 2, 4)
+        margin = int(margin_of(np.int64(n)))
         own = items.words[items.first[item[group[0]]] : items.first[item[group[0]] + 1]]
         step = max(1, ALIGN_CELLS // (n + 2 * margin))
         for some in (group[i : i + step] for i in range(0, len(group), step)):
             column = start[some][:, None] - margin + np.arange(n + 2 * margin)
             inside = (column >= words.first[doc[some]][:, None]) & (column < words.first[doc[some] + 1][:, None])
             window = np.where(inside, words.hashes[np.clip(column, 0, len(words.hashes) - 1)], U(0))
-            # The threshold takes so many equal words, each of the item's and of the window's used once.
-            enough = np.isin(window, own).sum(1) >= THRESHOLD * n
-            some, window = some[enough], window[enough]
             value, low, high = aligned(own, window)
             for j, v, a, b in zip(some.tolist(), value.tolist(), low.tolist(), high.tolist()):
                 score = v / (MATCH * n)
