@@ -61,6 +61,20 @@ def test_small_reads_do_not_matter(monkeypatch):
     assert list(warc.frames(io.BytesIO(archive(records)))) == records
 
 
+def test_skippable_frames_may_stand_anywhere(monkeypatch):
+    records = [record("a"), record("b" * 1000)]
+
+    def skippable(number, content):
+        return struct.pack("<II", 0x184D2A50 + number, len(content)) + content
+
+    data = zstandard.compress(records[0]) + skippable(3, b"x" * 5000) + skippable(0, b"") + zstandard.compress(records[1]) + skippable(15, b"end")
+    for read_bytes in (1, 7, 1 << 16):
+        monkeypatch.setattr(warc, "READ_BYTES", read_bytes)
+        assert list(warc.frames(io.BytesIO(data))) == records
+        with pytest.raises(warc.Damaged):
+            list(warc.frames(io.BytesIO(data[:-1])))
+
+
 @pytest.mark.parametrize(
     "harm",
     [

@@ -5,7 +5,7 @@ import pyarrow as pa
 import pytest
 
 from tests.llm.shared import SF, awkward, documents
-from tillstream.llm import lm_score, quality_fm, registry, text, toxicity
+from tillstream.llm import lm_score, quality_fm, registry, samples, text, toxicity
 
 BIG = "/root/testdata/sf0.1"
 
@@ -80,6 +80,51 @@ def test_sparse_weights():
     assert weight[7] > 0 > weight[9] and len(model.slots) < 500
 
 
+def test_training_equals_the_textbook_algorithm():
+    """FTRL-proximal with a dictionary for each sum, one coordinate at a time."""
+    draw = np.random.default_rng(9)
+    examples = [np.unique(draw.integers(0, 40, 6)) for _ in range(60)]
+    labels, weights = draw.integers(0, 2, 60).astype(float), draw.uniform(0.5, 2, 60)
+    z, n = {"bias": 0.0}, {"bias": 0.0}
+
+    def weight(i):
+        if i == "bias":
+            return -z[i] / ((toxicity.BETA + n[i] ** 0.5) / toxicity.ALPHA)
+        if abs(z.get(i, 0.0)) <= toxicity.L1:
+            return 0.0
+        sign = 1 if z[i] > 0 else -1
+        return -(z[i] - sign * toxicity.L1) / ((toxicity.BETA + n[i] ** 0.5) / toxicity.ALPHA + toxicity.L2)
+
+    order = np.random.default_rng(5)
+    for _ in range(toxicity.EPOCHS):
+        for e in order.permutation(60):
+            at = ["bias", *examples[e].tolist()]
+            now = {i: weight(i) for i in at}
+            p = 1 / (1 + np.exp(-sum(now.values())))
+            g = weights[e] * (p - labels[e])
+            for i in at:
+                sigma = ((n.get(i, 0.0) + g * g) ** 0.5 - n.get(i, 0.0) ** 0.5) / toxicity.ALPHA
+                z[i] = z.get(i, 0.0) + g - sigma * now[i]
+                n[i] = n.get(i, 0.0) + g * g
+    model = toxicity.train(examples, labels, weights)
+    wanted = {i: weight(i) for i in z if i != "bias" and weight(i) != 0}
+    assert dict(zip(model.slots.tolist(), model.weights)) == pytest.approx(wanted, rel=1e-9)
+    assert wanted and model.bias == pytest.approx(weight("bias"), rel=1e-9)
+
+
+def test_a_sample_is_bounded_by_bytes(spark):
+    rows = spark.range(50).selectExpr("id as doc_id", "cast(repeat('x', 100) as binary) as a", "cast('yy' as binary) as b")
+    kept = samples.within_bytes(rows, ["a", "b"], 1050)
+    assert kept.columns == ["doc_id", "a", "b"] and kept.count() == 10
+    assert samples.within_bytes(rows, ["a"], 1).count() == 1 and samples.within_bytes(rows.limit(0), ["a"], 1).count() == 0
+
+
+def test_a_row_without_an_id_is_not_held_out(spark):
+    scored = spark.createDataFrame([(None, 0.7), (3, 0.2)], "doc_id long, score double")
+    told = registry.judged(scored, samples.fold("doc_id", 3) == 1).collect()
+    assert told[0].held_out is False and [r.predicted for r in told] == [1, 0] and isinstance(told[1].held_out, bool)
+
+
 COUNTS = np.random.default_rng(1).zipf(1.3, lm_score.TOKENS)
 
 

@@ -16,8 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstream.llm.samples import fold, labelled_sample, once, sampled_rows
-from tillstream.llm.stage import own_names
+from tillstream.llm.samples import fold, labelled_sample, once, sampled_rows, within_bytes
+from tillstream.llm.stage import own_names, stored
 from tillstream.llm.text import U, blocks, bytes_of, mixed, runs, words_of
 
 SCORE = "score"
@@ -167,7 +167,8 @@ def length_column(docs: DataFrame, chars: str):
 
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", chars: str = "n_chars", per_class: int = PER_CLASS) -> Model:
-    """Train on at most `per_class` labelled documents of each class outside the held-out fold.
+    """Train on at most `per_class` labelled documents of each class outside the held-out fold,
+    and SAMPLE_BYTES of their inputs.
 
     Examples are weighted so that the classes count as in all usable labels. Without
     labels of both classes every text scores the known share, or 0.5.
@@ -189,7 +190,8 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", chars: str = "n_
 
     chosen = sampled_rows(docs.select("doc_id", F.col(text), length_column(docs, chars).alias("said")), sample)
     rows = chosen.select("doc_id", "label", inputs_of(text, "said").alias("i"))
-    got = once(rows.select("doc_id", "label", "i.at", "i.x")).orderBy("doc_id").toArrow()
+    rows = stored(once(rows.select("doc_id", "label", "i.at", "i.x")), "examples")
+    got = within_bytes(rows, ["at", "x"]).orderBy("doc_id").toArrow()
     y = got["label"].to_numpy().astype(float)
     counts = {c: int((y == c).sum()) for c in (0, 1)}
     if not all(counts.values()):

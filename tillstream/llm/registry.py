@@ -66,7 +66,8 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def judged(scored: DataFrame, held_out: Column) -> DataFrame:
     predicted = F.when(F.col("score") >= 0.5, 1).otherwise(0)
-    return scored.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
+    # A row without an id is in no fold.
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", predicted.alias("predicted"))
 
 
 def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# A sample's inputs go to the driver, where a classifier is trained: so many bytes at most.
+SAMPLE_BYTES = 96 << 20
+
 
 def fold(doc_id: str, folds: int) -> Column:
     """crc32 of the id as text, modulo the number of folds; null for a null id."""
@@ -36,3 +39,15 @@ def once(frame: DataFrame) -> DataFrame:
     """One row for each id, so that repeated documents don't exceed the bound."""
     rest = [c for c in frame.columns if c != "doc_id"]
     return frame.groupBy("doc_id").agg(F.max_by(F.struct(*rest), F.xxhash64(*rest)).alias("row")).select("doc_id", "row.*")
+
+
+def within_bytes(rows: DataFrame, columns: list[str], limit: int = SAMPLE_BYTES) -> DataFrame:
+    """The first rows of a stored sample, by a hash of the id, whose columns together have no more than `limit` bytes.
+
+    One row at least. Only the sizes of the sample's rows meet in one task.
+    """
+    size = sum((F.octet_length(c).cast("long") for c in columns[1:]), F.octet_length(columns[0]).cast("long"))
+    order = Window.orderBy(F.xxhash64("doc_id"), "doc_id")
+    running = rows.select(F.col("doc_id").alias("_of"), F.sum(size).over(order).alias("_bytes"), F.row_number().over(order).alias("_row"))
+    kept = running.where((F.col("_bytes") <= limit) | (F.col("_row") == 1)).select("_of")
+    return rows.join(F.broadcast(kept), F.col("doc_id") == F.col("_of")).drop("_of")

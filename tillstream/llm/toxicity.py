@@ -14,8 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstream.llm.samples import fold, labelled_sample, once, sampled_rows
-from tillstream.llm.stage import own_names
+from tillstream.llm.samples import fold, labelled_sample, once, sampled_rows, within_bytes
+from tillstream.llm.stage import own_names, stored
 from tillstream.llm.text import U, Words, blocks, mixed, odd_constants, words_of
 
 SCORE = "score"
@@ -87,7 +87,8 @@ def solved(z: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", per_class: int = PER_CLASS) -> Model:
-    """Train on at most `per_class` labelled documents of each class outside the held-out fold.
+    """Train on at most `per_class` labelled documents of each class outside the held-out fold,
+    and SAMPLE_BYTES of their features.
 
     Examples are weighted so that the classes count as in all usable labels. Without
     labels of both classes every text scores the known share, or 0.5.
@@ -103,7 +104,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", per_class: int =
                 yield pa.array([slots[a:b].tobytes() for a, b in zip(at[:-1], at[1:])], pa.binary())
 
     rows = once(sampled_rows(docs.select("doc_id", text), sample).select("doc_id", "label", slots_of(text).alias("slots")))
-    got = rows.orderBy("doc_id").toArrow()
+    got = within_bytes(stored(rows, "examples"), ["slots"]).orderBy("doc_id").toArrow()
     y = got["label"].to_numpy().astype(float)
     counts = {c: int((y == c).sum()) for c in (0, 1)}
     if not all(counts.values()):

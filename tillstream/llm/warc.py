@@ -191,6 +191,9 @@ def frames(source: BinaryIO) -> Iterator[bytes]:
         pending = pending or source.read(READ_BYTES)
         if not pending:
             return
+        pending, skipped = without_skippable(pending, source)
+        if skipped:
+            continue
         frame, parts = unpack.decompressobj(), []
         while not frame.eof:
             if not pending:
@@ -206,6 +209,25 @@ def frames(source: BinaryIO) -> Iterator[bytes]:
         yield b"".join(parts)
 
 
+# The magic numbers of skippable frames, which may stand anywhere and hold nothing to decode.
+SKIPPABLE = range(0x184D2A50, 0x184D2A60)
+
+
+def without_skippable(pending: bytes, source: BinaryIO) -> tuple[bytes, bool]:
+    """The bytes behind a skippable frame, if one begins here."""
+    while len(pending) < 8 and (more := source.read(READ_BYTES)):
+        pending += more
+    if len(pending) < 8 or struct.unpack("<I", pending[:4])[0] not in SKIPPABLE:
+        return pending, False
+    left = 8 + struct.unpack("<I", pending[4:8])[0]
+    while len(pending) < left:
+        left -= len(pending)
+        pending = source.read(READ_BYTES)
+        if not pending:
+            raise Damaged("a skippable frame is cut short")
+    return pending[left:], True
+
+
 def parsed(data: bytes) -> Record:
     """Read one record and check it: version, fields, lengths, digests, nothing left over."""
     head, found, rest = data.partition(b"\r\n\r\n")
