@@ -10,6 +10,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
+from tillstream.sources.folders import Folders
+
 
 @dataclass(frozen=True)
 class TopicSettings:
@@ -77,5 +79,20 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder[app]
 
 
+_fresh: dict[str, list[str]] = {}
+
+
 def fresh_folder(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new folder for intermediate tables, which stay until `drop_fresh_folders`: a result that
+    is still to be computed reads them, also again after executors were lost."""
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    _fresh.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def drop_fresh_folders(spark: SparkSession) -> int:
+    """Drop the intermediate tables of this application so far, once its results are written. Returns how many."""
+    paths = _fresh.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        Folders(spark, path).drop(path)
+    return len(paths)
