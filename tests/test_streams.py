@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tests.conftest import at, rows, sale
 from tillstream.operators.aggregates import store_windows
 from tillstream.plans.registry import drain
+from tillstream.sources import settings
 from tillstream.sources.readers import read_days, read_events, stream_files
 from tillstream.sources.schemas import AGG_SCHEMA, RAW_SCHEMA
 from tillstream.sources.settings import TopicSettings, drop_fresh_folders, fresh_folder, shared_folder
@@ -312,15 +313,11 @@ def test_work_folder_is_the_configured_one(spark):
     assert fresh_folder(spark, "x") != fresh_folder(spark, "x")
 
 
-def test_intermediate_tables_are_dropped_on_demand(spark, sales, tmp_path):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", f"{tmp_path}/shared")
-    try:
-        drop_fresh_folders(spark)
-        for label in "ab":
-            sales(sale("a", "00:00")).write.parquet(fresh_folder(spark, label))
-        assert len(os.listdir(f"{tmp_path}/shared")) == 2
-        assert drop_fresh_folders(spark) == 2 and os.listdir(f"{tmp_path}/shared") == []
-        assert drop_fresh_folders(spark) == 0
-    finally:
-        spark.conf.unset("spark.checkpoint.dir") if before is None else spark.conf.set("spark.checkpoint.dir", before)
+def test_intermediate_tables_are_dropped_on_demand(spark, sales, tmp_path, monkeypatch):
+    monkeypatch.setattr(settings, "_fresh", {})
+    monkeypatch.setattr(settings, "shared_folder", lambda _: f"{tmp_path}/shared")
+    for label in "ab":
+        sales(sale("a", "00:00")).write.parquet(fresh_folder(spark, label))
+    assert len(os.listdir(f"{tmp_path}/shared")) == 2
+    assert drop_fresh_folders(spark) == 2 and os.listdir(f"{tmp_path}/shared") == []
+    assert drop_fresh_folders(spark) == 0
