@@ -251,10 +251,21 @@ SQL: dict[str, str] = {
         n as (select *, coalesce(sum(ends::int) over (partition by doc_id order by i rows between unbounded preceding and 1 preceding), 0) as k from b),
         c as (select doc_id, k, string_agg(line, chr(10) order by i) as chunk, count(*) as n_lines, sum(w) as w from n group by all),
         o as (select *, row_number() over (partition by chunk order by doc_id, k) > 1
-                     and (n_lines >= {line_dedup.MIN_LINES} and w >= {line_dedup.MIN_WORDS} or w > {line_dedup.LONG_LINE}) as gone from c),
-        t as (select doc_id, count(*) filter (gone) as n_removed_chunks, coalesce(sum(n_lines) filter (gone), 0)::bigint as n_removed_lines,
-                     coalesce(string_agg(chunk, chr(10) order by k) filter (not gone), '') as text from o group by doc_id)
-        select doc_id, n_removed_chunks, n_removed_lines, length(text)::bigint as n_chars_left, sha256(text) as left_sha256 from t
+                     and (n_lines >= {line_dedup.MIN_LINES} and w >= {line_dedup.MIN_WORDS} or w > {line_dedup.LONG_LINE}) as again from c),
+        p as (select doc_id, i, line || chr(10) || lead(line) over p as pair, w + lead(w) over p as w from n window p as (partition by doc_id order by i)),
+        q as (select doc_id, i, row_number() over (partition by pair order by doc_id, i) > 1 as again from p where pair is not null and w > 0),
+        m as (select distinct doc_id, i from (
+                  select n.doc_id, n.i from n join o on n.doc_id = o.doc_id and n.k = o.k where o.again
+                  union all select doc_id, i from q where again union all select doc_id, i + 1 from q where again)),
+        u as (select n.doc_id, n.i, n.w, n.i - row_number() over (partition by n.doc_id order by n.i) as run from n join m on n.doc_id = m.doc_id and n.i = m.i),
+        g as (select doc_id, run, count(*) as n_lines from u group by all
+              having count(*) >= {line_dedup.MIN_LINES} and sum(w) >= {line_dedup.MIN_WORDS} or sum(w) > {line_dedup.LONG_LINE}),
+        x as (select u.doc_id, u.i from u join g on u.doc_id = g.doc_id and u.run = g.run),
+        y as (select n.doc_id, coalesce(string_agg(line, chr(10) order by n.i) filter (x.i is null), '') as text
+              from n left join x on n.doc_id = x.doc_id and n.i = x.i group by n.doc_id),
+        z as (select doc_id, count(*) as n_passages, sum(n_lines)::bigint as n_lines from g group by doc_id)
+        select y.doc_id, coalesce(n_passages, 0) as n_removed_chunks, coalesce(n_lines, 0) as n_removed_lines,
+               length(text)::bigint as n_chars_left, sha256(text) as left_sha256 from y left join z on y.doc_id = z.doc_id
     """,
     "op9_warc": f"""
         with p as (
