@@ -15,7 +15,7 @@ from tillstream.plans.fact import refresh_fact, with_revenue
 from tillstream.sources.folders import Folders
 from tillstream.sources.readers import read_days, stream_files
 from tillstream.sources.schemas import DAY, FACT_SCHEMA, RAW_SCHEMA, wire_schema
-from tillstream.streaming.jobs import SalesJob
+from tillstream.streaming.jobs import SalesJob, start
 from tillstream.streaming.late import LATE, with_lateness
 from tillstream.streaming.sinks import append_to, replace_batch
 
@@ -171,6 +171,24 @@ def test_late_rows_come_out_marked_across_a_restart(feed):
     assert marked(feed.table(schema=LATE_SCHEMA)) == sorted(wanted, key=repr)
 
 
+def test_keys_of_late_output_are_remembered_without_python(feed):
+    feed.add(*[sale(f"k{i}", "00:00") for i in range(50)])
+    query = feed.run(with_lateness(feed.stream(), combine=False))
+    held = {op["operatorName"]: op["numRowsTotal"] for op in json.loads(query.recentProgress[0].json)["stateOperators"]}
+    assert held.pop("dedupe") == 50 and set(held.values()) == {0}
+
+
+def test_copies_of_a_batch_with_odd_keys(spark, tmp_path):
+    shape = "id bigint, x double, raw binary, transaction_ts timestamp, n bigint"
+    big = 2**53 + 1
+    data = [(big, float("nan"), b"a", at("01:00"), 1), (big, float("nan"), b"a", at("02:00"), big), (big, float("nan"), b"b", None, None), (None, 0.5, None, None, 3), (None, 0.5, None, at("00:10"), 4)]
+    spark.createDataFrame(data, shape).coalesce(1).write.parquet(f"{tmp_path}/in")
+    stream = with_lateness(stream_files(spark, f"{tmp_path}/in", shape), keys=("id", "x", "raw"), combine=False)
+    start(stream, append_to(f"{tmp_path}/out"), f"{tmp_path}/cp", {"availableNow": True}, partitions=2).awaitTermination()
+    found = spark.read.schema(stream.schema).parquet(f"{tmp_path}/out")
+    assert rows(found, "id", "transaction_ts", "n", LATE) == sorted([(big, at("02:00"), big, False), (big, None, None, False), (None, at("00:10"), 4, False)], key=repr)
+
+
 @pytest.mark.parametrize("combine", [True, False])
 def test_a_key_is_forgotten_with_its_window(feed, combine):
     for batch in (["a 00:00"], ["b 01:00"], ["x 01:00"], ["a 00:05", "c 01:01"], ["d 05:00"], ["y 05:00"], ["a 05:01", "c 04:59", "c 01:02"]):
