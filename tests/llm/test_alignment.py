@@ -111,6 +111,17 @@ def test_forgotten_units_are_encoded_again(monkeypatch, libraries):
         assert a.ids.tolist() == [x for x, _ in libraries.tokens(text)[0]]
 
 
+def test_only_texts_with_odd_units_are_joined_again(monkeypatch, libraries):
+    plain, seen = token_alignment.Encoder.spelled, []
+    monkeypatch.setattr(token_alignment.Encoder, "spelled", lambda self, text, *rest: seen.append(text) or plain(self, text, *rest))
+    encoder = token_alignment.Encoder(token_alignment.load(A, B))
+    a, b = encoder.encode(["one two", "a▁b two", "", "three", "x ▁"])
+    c, d = encoder.encode(["x two", "two a▁b"])
+    assert seen == [" a▁b two", " x ▁", " two a▁b"]
+    assert (np.diff(a.first) > 0).tolist() == (np.diff(b.first) > 0).tolist() == [True, False, False, True, False]
+    assert (np.diff(c.first) > 0).tolist() == (np.diff(d.first) > 0).tolist() == [True, False]
+
+
 def test_gallop_finds_what_binary_search_finds():
     random.seed(1)
     for _ in range(200):

@@ -20,11 +20,12 @@ import hashlib
 import os
 import re
 from collections.abc import Iterator, Sequence
-from itertools import chain
+from itertools import chain, islice
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -105,6 +106,14 @@ class Cached:
         return self.ids[where], np.concatenate([[0], ends])[first]
 
 
+class Numbers(dict):
+    """Numbers of units in the order they are met."""
+
+    def __missing__(self, unit: str) -> int:
+        self[unit] = number = len(self)
+        return number
+
+
 class Tokens(NamedTuple):
     """Ids of all texts end to end, `first[t]` to `first[t + 1]` those of text t."""
 
@@ -122,7 +131,8 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.number: dict[str, int] = {}
+        self.number = Numbers()
+        self.well = np.zeros(0, bool)
         self.a, self.b = Cached(), Cached()
 
     def a_ids(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -138,7 +148,7 @@ class Encoder:
         told = self.v.a.encode_batch_fast(joined + [units[i] for i in apart], add_special_tokens=False)
         ids = np.fromiter(chain.from_iterable(e.ids for e in told), np.int32)
         order = np.array(together + apart, np.int64)
-        size = np.fromiter((len(units[i].encode()) for i in order.tolist()), np.int64, len(order))
+        size = byte_lengths(units)[order]
         ends = np.searchsorted(np.cumsum(self.a_size[ids]), np.cumsum(size)) + 1
         starts, count = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
         count[order] = np.diff(ends, prepend=0)
@@ -157,15 +167,19 @@ class Encoder:
         cut = [self.v.unit.findall(" " + t) if t else [] for t in texts]
         if len(self.number) > KNOWN_UNITS:
             self.forget()
-        new = sorted(set(chain.from_iterable(cut)) - self.number.keys())
-        if new:
-            self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
-            self.a.add(*self.a_ids(new))
-            self.b.add(*self.b_ids(new))
+        # One look for each unit; those met for the first time get the next numbers.
+        known = len(self.number)
         units = np.fromiter(map(self.number.__getitem__, chain.from_iterable(cut)), np.int64, sum(map(len, cut)))
+        if len(self.number) > known:
+            new = list(islice(self.number, known, None))
+            a, b = self.a_ids(new), self.b_ids(new)
+            self.well = np.concatenate([self.well, spelled_units(new, *a, self.v.a_bytes) & spelled_units(new, *b, self.v.b_bytes)])
+            self.a.add(*a)
+            self.b.add(*b)
         first = np.cumsum([0, *map(len, cut)])
         a, b = Tokens(*self.a.of(units, first)), Tokens(*self.b.of(units, first))
-        bad = [i for i, t in enumerate(texts) if t and not self.spelled(" " + t, i, a, b)]
+        doubtful = np.unique(np.searchsorted(first, np.flatnonzero(~self.well[units]), "right") - 1)
+        bad = [i for i in doubtful.tolist() if not self.spelled(" " + texts[i], i, a, b)]
         return (without(a, bad), without(b, bad)) if bad else (a, b)
 
     def spelled(self, text: str, i: int, a: Tokens, b: Tokens) -> bool:
@@ -177,6 +191,20 @@ class Encoder:
         )
 
 
+def byte_lengths(units: list[str]) -> np.ndarray:
+    return pc.binary_length(pa.array(units, pa.large_string())).to_numpy().astype(np.int64)
+
+
+def spelled_units(units: list[str], ids: np.ndarray, ends: np.ndarray, table: list[bytes]) -> np.ndarray:
+    """Whether the tokens of each unit join to it. A text is its units end to end, so that only texts with others need a look."""
+    made = b"".join(map(table.__getitem__, ids.tolist()))
+    size = np.concatenate([[0], np.cumsum(np.fromiter(map(len, table), np.int64, len(table))[ids])])[np.concatenate([[0], ends])]
+    told = np.concatenate([[0], np.cumsum(byte_lengths(units))])
+    if np.array_equal(size, told) and made == "".join(units).encode():
+        return np.ones(len(units), bool)
+    return np.array([made[i:j] == u.encode() for u, i, j in zip(units, size.tolist(), size[1:].tolist())])
+
+
 def without(tokens: Tokens, texts: list[int]) -> Tokens:
     """The tokens of some texts removed."""
     count = np.diff(tokens.first)
@@ -234,14 +262,14 @@ def common_ends(a: np.ndarray, a_first: np.ndarray, b: np.ndarray, b_first: np.n
     return at_a[order], at_b[order]
 
 
-STRIDE = 32
+STRIDE = 8
 
 
 def gallop_in_order(short: np.ndarray, long: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """Galloping search where later values start from the places of earlier ones of their text."""
+    """Galloping search where later values start from the places of earlier ones, those again from earlier ones."""
     place = start.copy()
     heads = np.arange(0, len(short), STRIDE)
-    place[heads] = gallop(short[heads], long, start[heads])
+    place[heads] = (gallop_in_order if len(heads) > STRIDE else gallop)(short[heads], long, start[heads])
     reached = np.maximum(start, place[heads][np.arange(len(short)) // STRIDE] if len(heads) else start)
     return gallop(short, long, reached)
 
@@ -284,15 +312,27 @@ def links(a: Tokens, b: Tokens, g: Groups) -> Iterator[tuple[np.ndarray, np.ndar
 
 def pairs_of(a: Tokens, b: Tokens, g: Groups, texts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct pairs of every text in order, their numbers of links, and where each text's begin."""
-    text, pair, times = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    for more_text, more_pair in links(a, b, g):
-        text, pair = np.concatenate([text, more_text]), np.concatenate([pair, more_pair])
-        times = np.concatenate([times, np.ones(len(more_text), np.int64)])
-        order = np.lexsort((pair, text))
-        text, pair, times = text[order], pair[order], times[order]
-        new = np.flatnonzero(np.append(True, (text[1:] != text[:-1]) | (pair[1:] != pair[:-1])))
-        text, pair, times = text[new], pair[new], np.add.reduceat(times, new)
-    return pair, times, np.searchsorted(text, np.arange(texts + 1))
+    # One number for text and pair: a block has no more texts than bytes, so that it fits by far.
+    wide_b = int(b.ids.max(initial=0)) + 1
+    wide = (int(a.ids.max(initial=0)) + 1) * wide_b
+    if texts * wide >= 1 << 63:
+        raise ValueError("too many texts at once for vocabularies of this size")
+    key, times = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for text, pair in links(a, b, g):
+        more = np.sort(text * wide + (pair >> 32) * wide_b + (pair & 0xFFFFFFFF))
+        new = np.flatnonzero(np.append(True, more[1:] != more[:-1]))
+        more, more_times = more[new], np.diff(np.append(new, len(more)))
+        if len(key):
+            key, times = np.concatenate([key, more]), np.concatenate([times, more_times])
+            order = np.argsort(key, kind="stable")
+            key, times = key[order], times[order]
+            new = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            key, times = key[new], np.add.reduceat(times, new)
+        else:
+            key, times = more, more_times
+    first = np.searchsorted(key, np.arange(texts + 1) * wide)
+    pair = key % wide
+    return pair // wide_b << 32 | pair % wide_b, times, first
 
 
 class Spelling:
