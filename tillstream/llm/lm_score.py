@@ -4,7 +4,9 @@ Every token is predicted from the two tokens before and the two after it; a docu
 score is the sum of these conditional log-probabilities. The network adds a row per
 neighbour and place, takes tanh, and walks a Huffman tree of the tokens: at every node on
 the way to a token it tells which branch to take, so that a prediction costs some ten
-products instead of one for every token, and probabilities still add up to one.
+products instead of one for every token, and probabilities still add up to one. A batch
+goes down the tree level by level in the order of the leaves: positions that pass a node
+then stand next to each other, and their gradients add up without another sort.
 
 Tokens are the most frequent words of the corpus, in a number that grows with the square
 root of its words, and hash slots for all others. A word within a slot has the slot's
@@ -43,7 +45,7 @@ BATCH = 1 << 12
 RATE = 0.1
 CHUNK = 1 << 16
 COUNTED = 4 << 20
-PIECE = 1 << 15
+PIECE = 1 << 13
 WORD_BYTES, LEAST_TASKS = 6, 32
 PARTS = 64
 COLUMNS = ["n_tokens", "log_prob", "mean_log_prob"]
@@ -71,11 +73,13 @@ LEAST = sizes(0)
 
 
 class Tree(NamedTuple):
-    """The way to token t: the nodes from `first[t]` on to `first[t + 1]`, and at each 1 or -1 for the branch."""
+    """The way to token t, from its leaf to the root: the nodes from `first[t]` on to `first[t + 1]`, and at each 1 or
+    -1 for the branch. `rank[t]` is the token's place among the leaves from left to right."""
 
     first: np.ndarray
     nodes: np.ndarray
     signs: np.ndarray
+    rank: np.ndarray
 
 
 def tree_of(counts: np.ndarray) -> Tree:
@@ -83,18 +87,24 @@ def tree_of(counts: np.ndarray) -> Tree:
     n = len(counts)
     order = np.argsort(counts, kind="stable")
     weight = np.maximum(counts[order], 1).tolist()
-    parent, side = np.zeros(2 * n - 1, np.int64), np.ones(2 * n - 1, np.float32)
+    parent, side = np.zeros(2 * n - 1, np.int64), np.ones(2 * n - 1, np.int8)
+    leaves, before = [1] * n, [0] * (2 * n - 1)
     leaf, inner = 0, n
     # Joined nodes come in the order of their weights, so that the two lightest are at the heads of two queues.
     for new in range(n, 2 * n - 1):
-        total = 0
+        total = below = 0
         for sign in (1, -1):
             take_leaf = leaf < n and (inner >= new or weight[leaf] <= weight[inner])
             child = leaf if take_leaf else inner
             leaf, inner = leaf + take_leaf, inner + (not take_leaf)
-            parent[child], side[child] = new, sign
-            total += weight[child]
+            parent[child], side[child], before[child] = new, sign, below
+            total, below = total + weight[child], below + leaves[child]
         weight.append(total)
+        leaves.append(below)
+    for child in range(2 * n - 3, -1, -1):
+        before[child] += before[parent[child]]
+    rank = np.empty(n, np.int64)
+    rank[order] = before[:n]
     token, at = order.copy(), np.arange(n)
     tokens, nodes, signs = [], [], []
     while len(at):
@@ -107,7 +117,7 @@ def tree_of(counts: np.ndarray) -> Tree:
     by_token = np.argsort(tokens, kind="stable")
     first = np.searchsorted(tokens[by_token], np.arange(n + 1))
     kind = np.uint16 if n <= 1 << 16 else np.int32
-    return Tree(first, np.concatenate(nodes)[by_token].astype(kind), np.concatenate(signs)[by_token])
+    return Tree(first, np.concatenate(nodes)[by_token].astype(kind), np.concatenate(signs)[by_token], rank.astype(kind))
 
 
 class Network(NamedTuple):
@@ -236,23 +246,41 @@ def neighbours(ids: np.ndarray, at: np.ndarray, places: np.ndarray, none: int =
     return out
 
 
+def taken(table: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Rows of a table. All of `at` are within it: "clip" only saves numpy the check, which costs more than the rows."""
+    return np.take(table, at, axis=0, mode="clip")
+
+
+def put(table: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
+    """Replace rows of a table, each copied as a whole."""
+    whole = np.dtype((np.void, table.itemsize * table.shape[1]))
+    table.view(whole)[:, 0][at] = rows.view(whole)[:, 0]
+
+
 def hidden(net: Network, around: np.ndarray) -> np.ndarray:
-    total = net.rows[0][around[0]] + net.shift
+    total = taken(net.rows[0], around[0]) + net.shift
     for k in range(1, len(PLACES)):
-        total += net.rows[k][around[k]]
+        total += taken(net.rows[k], around[k])
     return np.tanh(total)
 
 
-def ways(net: Network, tree: Tree, h: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, ...]:
-    """For every node on the tokens' ways: the node, the sign, the hidden layer, the node's row, and the sum there;
-    and where each token's way begins."""
-    begin, end = tree.first[token], tree.first[token.astype(np.int64) + 1]
-    count = end - begin
-    last = np.cumsum(count)
-    at = np.arange(last[-1]) + np.repeat(begin - (last - count), count)
-    node, own = tree.nodes[at], np.repeat(h, count, axis=0)
-    row = net.nodes[node]
-    return node, tree.signs[at], own, row, np.einsum("ij,ij->i", own, row) + net.node_shift[node], last - count
+def levels(net: Network, tree: Tree, h: np.ndarray, token: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    """Level by level from the root, for the tokens whose way gets there: their places in `token`, the node, the sign,
+    the hidden layer, the node's row, the sum there, and which of them go on.
+
+    Tokens come in the order of the leaves. A node is on one level only.
+    """
+    place = np.argsort(tree.rank[token], kind="stable")
+    own, token = taken(h, place), token[place].astype(np.int64)
+    at, last = tree.first[token + 1] - 1, tree.first[token]
+    while len(place):
+        node = taken(tree.nodes, at).astype(np.int64)
+        row, goes_on = taken(net.nodes, node), at > last
+        yield place, node, taken(tree.signs, at), own, row, np.einsum("ij,ij->i", own, row) + taken(net.node_shift, node), goes_on
+        if not goes_on.all():
+            on = np.flatnonzero(goes_on)
+            place, own, at, last = place[on], taken(own, on), at[on], last[on]
+        at = at - 1
 
 
 def log_sigmoid(z: np.ndarray) -> np.ndarray:
@@ -261,56 +289,80 @@ def log_sigmoid(z: np.ndarray) -> np.ndarray:
 
 def log_probs(net: Network, tree: Tree, around: np.ndarray, token: np.ndarray) -> np.ndarray:
     """Log-probability of each token given its neighbours."""
-    out = np.empty(len(token))
+    out = np.zeros(len(token))
     for a in range(0, len(token), PIECE):
-        b = min(a + PIECE, len(token))
-        _, sign, _, _, x, first = ways(net, tree, hidden(net, around[:, a:b]), token[a:b])
-        out[a:b] = np.add.reduceat(log_sigmoid(sign * x), first)
+        piece = out[a : a + PIECE]
+        for place, _, sign, _, _, x, _ in levels(net, tree, hidden(net, around[:, a : a + PIECE]), token[a : a + PIECE]):
+            piece[place] += log_sigmoid(sign * x)
     return out
 
 
-def by_row(index: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct indices and the sums of their values."""
+def by_row(index: np.ndarray, columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct indices and the sums of their values, which come as columns."""
     order = np.argsort(index, kind="stable")
     there = index[order]
-    first = np.flatnonzero(np.append(True, there[1:] != there[:-1]))
-    return there[first], np.add.reduceat(values[order], first, axis=0)
+    new = np.append(True, there[1:] != there[:-1])
+    number = np.empty(len(index), np.int64)
+    number[order] = np.cumsum(new) - 1
+    touched = there[new]
+    slots = np.arange(len(columns))[:, None] * len(touched) + number
+    sums = np.bincount(slots.ravel(), columns.ravel(), len(columns) * len(touched))
+    return touched, sums.reshape(len(columns), -1).T.astype(np.float32, order="C")
+
+
+def tables(net: Network) -> tuple[np.ndarray, ...]:
+    """The parts of the network as tables of rows, on the same memory."""
+    return net.rows.reshape(-1, HIDDEN), net.shift[None], net.nodes, net.node_shift[:, None]
 
 
-def slopes(net: Network, tree: Tree, around: np.ndarray, token: np.ndarray) -> Iterator[tuple[int, object, np.ndarray]]:
-    """Of the mean negative log-probability: part of the network, place in it, gradient there; it is 0 elsewhere.
+def slopes(net: Network, tree: Tree, around: np.ndarray, token: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Of the mean negative log-probability: table of the network, rows in it, gradient there; it is 0 elsewhere.
 
-    Each part may be changed as soon as its gradient is out.
+    Rows may be changed as soon as their gradient is out.
     """
     h = hidden(net, around)
-    node, sign, own, row, x, first = ways(net, tree, h, token)
-    d = -sign / (1 + np.exp(sign * x)) / np.float32(len(token))
-    dh = np.add.reduceat(d[:, None] * row, first, axis=0) * (1 - h * h)
-    touched, dx = by_row(node, np.concatenate([d[:, None] * own, d[:, None]], 1))
-    yield 2, touched, dx[:, :-1]
-    yield 3, touched, dx[:, -1]
-    yield 1, slice(None), dh.sum(0)
-    kind = np.uint16 if net.rows.shape[1] <= 1 << 16 else np.int64
+    back, dh = np.zeros_like(h), np.empty_like(h)
+    nodes, of_row, of_shift = [], [], []
+    for place, node, sign, own, row, x, goes_on in levels(net, tree, h, token):
+        d = -sign / (1 + np.exp(sign * x)) / np.float32(len(token))
+        back += d[:, None] * row
+        ends = np.flatnonzero(~goes_on)
+        if len(ends):
+            put(dh, place[ends], taken(back, ends))
+            back = taken(back, np.flatnonzero(goes_on))
+        first = np.flatnonzero(np.append(True, node[1:] != node[:-1]))
+        nodes.append(node[first])
+        of_row.append(np.add.reduceat(d[:, None] * own, first, axis=0))
+        of_shift.append(np.add.reduceat(d, first))
+    touched = np.concatenate(nodes)
+    yield 2, touched, np.concatenate(of_row)
+    yield 3, touched, np.concatenate(of_shift)[:, None]
+    dh *= 1 - h * h
+    yield 1, np.zeros(1, np.int64), dh.sum(0)[None]
+    n = net.rows.shape[1]
+    kind = np.uint16 if n <= 1 << 16 else np.int64
+    columns = dh.T.astype(np.float64, order="C")
     for k in range(len(PLACES)):
-        touched, dx = by_row(around[k].astype(kind), dh)
-        yield 0, (k, touched), dx
+        touched, dx = by_row(around[k].astype(kind), columns)
+        yield 0, touched.astype(np.int64) + k * n, dx
 
 
 def gradient(net: Network, tree: Tree, around: np.ndarray, token: np.ndarray) -> Network:
     """Of the mean negative log-probability."""
     g = Network(*[np.zeros(x.shape, np.float32) for x in net])
     for part, at, value in slopes(net, tree, around, token):
-        g[part][at] = value
+        tables(g)[part][at] = value
     return g
 
 
 def steps(net: Network, seen: Network, tree: Tree, around: np.ndarray, token: np.ndarray) -> None:
     """Gradient steps in place, with a rate for each parameter (Adagrad)."""
+    now, squares = tables(net), tables(seen)
     for a in range(0, len(token), BATCH):
         for part, at, dx in slopes(net, tree, around[:, a : a + BATCH], token[a : a + BATCH]):
-            s = seen[part][at] + dx * dx
-            seen[part][at] = s
-            net[part][at] -= RATE * dx / np.sqrt(s)
+            s = taken(squares[part], at) + dx * dx
+            put(squares[part], at, s)
+            put(now[part], at, taken(now[part], at) - RATE * dx / np.sqrt(s))
 
 
 def documents_in(batches: Iterator[pa.Array], kind: type) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
