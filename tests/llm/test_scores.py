@@ -187,6 +187,44 @@ def test_gradient_is_that_of_the_loss():
         assert g[part][at] == pytest.approx((values[0] - values[1]) / 2e-2, abs=2e-5)
 
 
+def test_gradient_by_tiles_equals_a_plain_computation():
+    """Whole and broken tiles, tokens that repeat, and ways of very different length."""
+    draw = np.random.default_rng(8)
+    for counts, n in ((COUNTS, 1), (COUNTS, 300), (2 ** np.arange(40), 5 * lm_score.TILE), (np.array([7, 1]), 50)):
+        size, tree = lm_score.Sizes(len(counts), 1), lm_score.tree_of(counts)
+        net = lm_score.Network(*[draw.normal(0, 1, s).astype(np.float32) for s in lm_score.shapes(size)])
+        ids = np.minimum(draw.zipf(1.3, n) - 1, len(counts) - 1).astype(np.uint16)
+        around = lm_score.neighbours(ids, np.array([0, n]), np.arange(n), size.tokens)
+        wanted = lm_score.Network(*[np.zeros(s) for s in lm_score.shapes(size)])
+        for t in range(n):
+            h = np.tanh(net.shift + sum(net.rows[k][around[k][t]].astype(float) for k in range(4)))
+            dh = np.zeros(lm_score.HIDDEN)
+            for at in range(tree.first[ids[t]], tree.first[ids[t] + 1]):
+                node, sign = tree.nodes[at], float(tree.signs[at])
+                d = -sign / (1 + np.exp(sign * (h @ net.nodes[node] + net.node_shift[node]))) / n
+                dh += d * net.nodes[node]
+                wanted.nodes[node] += d * h
+                wanted.node_shift[node] += d
+            wanted.shift[:] += dh * (1 - h * h)
+            for k in range(4):
+                wanted.rows[k][around[k][t]] += dh * (1 - h * h)
+        got = lm_score.gradient(net, tree, around, ids)
+        assert all(np.allclose(a, b, atol=2e-5) for a, b in zip(got, wanted))
+
+
+def test_a_tile_meets_each_of_its_nodes_once():
+    """What a step costs: as many rows of nodes as tiles have different nodes, not one for each position and node."""
+    tree = lm_score.tree_of(COUNTS)
+    ids = np.minimum(np.random.default_rng(9).zipf(1.3, 1000) - 1, lm_score.TOKENS - 1).astype(np.uint16)
+    w = lm_score.walk(tree, ids)
+    sorted_ids = ids[w.place]
+    ways = [set(tree.nodes[tree.first[t] : tree.first[t + 1]].tolist()) for t in sorted_ids]
+    wanted = [sorted(set().union(*ways[a : a + lm_score.TILE])) for a in range(0, 1000, lm_score.TILE)]
+    got = [sorted(w.of[w.slot // w.slots == tile].tolist()) for tile in range(w.tiles)]
+    assert got == wanted and len(w.of) < sum(map(len, ways)) / 3
+    assert len(w.cell) == sum(map(len, ways)) == len(set(w.cell.tolist()))
+
+
 def test_what_tasks_send_does_not_outgrow_the_texts():
     """Whatever the number of input splits: tasks times parameters stay within a small multiple of the words' bytes."""
     for words in (10**8, 10**10, 10**13):

@@ -5,8 +5,8 @@ score is the sum of these conditional log-probabilities. The network adds a row
 neighbour and place, takes tanh, and walks a Huffman tree of the tokens: at every node on
 the way to a token it tells which branch to take, so that a prediction costs some ten
 products instead of one for every token, and probabilities still add up to one. A batch
-goes down the tree level by level in the order of the leaves: positions that pass a node
-then stand next to each other, and their gradients add up without another sort.
+is sorted by leaf and dealt into tiles of a few positions, whose ways share most nodes: the
+sums at all nodes of a tile and their gradients are three small matrix products.
 
 Tokens are the most frequent words of the corpus, in a number that grows with the square
 root of its words, and hash slots for all others. A word within a slot has the slot's
@@ -43,6 +43,7 @@ HIDDEN = 16
 ROUNDS = 2
 BATCH = 1 << 12
 RATE = 0.1
+TILE = 16
 CHUNK = 1 << 16
 COUNTED = 4 << 20
 PIECE = 1 << 13
@@ -264,39 +265,82 @@ def hidden(net: Network, around: np.ndarray) -> np.ndarray:
     return np.tanh(total)
 
 
-def levels(net: Network, tree: Tree, h: np.ndarray, token: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
-    """Level by level from the root, for the tokens whose way gets there: their places in `token`, the node, the sign,
-    the hidden layer, the node's row, the sum there, and which of them go on.
-
-    Tokens come in the order of the leaves. A node is on one level only.
-    """
-    place = np.argsort(tree.rank[token], kind="stable")
-    own, token = taken(h, place), token[place].astype(np.int64)
-    at, last = tree.first[token + 1] - 1, tree.first[token]
-    while len(place):
-        node = taken(tree.nodes, at).astype(np.int64)
-        row, goes_on = taken(net.nodes, node), at > last
-        yield place, node, taken(tree.signs, at), own, row, np.einsum("ij,ij->i", own, row) + taken(net.node_shift, node), goes_on
-        if not goes_on.all():
-            on = np.flatnonzero(goes_on)
-            place, own, at, last = place[on], taken(own, on), at[on], last[on]
-        at = at - 1
-
-
 def log_sigmoid(z: np.ndarray) -> np.ndarray:
     return np.minimum(z, 0) - np.log1p(np.exp(-np.abs(z)))
 
 
 def log_probs(net: Network, tree: Tree, around: np.ndarray, token: np.ndarray) -> np.ndarray:
-    """Log-probability of each token given its neighbours."""
+    """Log-probability of each token given its neighbours, level by level from the root for the tokens whose way gets there."""
     out = np.zeros(len(token))
     for a in range(0, len(token), PIECE):
         piece = out[a : a + PIECE]
-        for place, _, sign, _, _, x, _ in levels(net, tree, hidden(net, around[:, a : a + PIECE]), token[a : a + PIECE]):
-            piece[place] += log_sigmoid(sign * x)
+        place = np.argsort(tree.rank[token[a : a + PIECE]], kind="stable")
+        own, t = taken(hidden(net, around[:, a : a + PIECE]), place), token[a : a + PIECE][place].astype(np.int64)
+        at, last = tree.first[t + 1] - 1, tree.first[t]
+        while len(place):
+            node = taken(tree.nodes, at).astype(np.int64)
+            x = np.einsum("ij,ij->i", own, taken(net.nodes, node)) + taken(net.node_shift, node)
+            piece[place] += log_sigmoid(taken(tree.signs, at) * x)
+            on = np.flatnonzero(at > last)
+            if len(on) < len(place):
+                place, own, at, last = place[on], taken(own, on), at[on], last[on]
+            at = at - 1
     return out
 
 
+class Walk(NamedTuple):
+    """The ways of tokens that were sorted by leaf and dealt into tiles of TILE. A tile has a slot for each node on its ways.
+
+    For every node on a way (a visit): `cell`, its place in a table of sorted tokens by slots, node and sign. For every
+    slot in use: `slot`, its place among the slots of all tiles, and `of`, its node.
+    """
+
+    place: np.ndarray
+    tiles: int
+    slots: int
+    cell: np.ndarray
+    node: np.ndarray
+    sign: np.ndarray
+    slot: np.ndarray
+    of: np.ndarray
+
+
+def walk(tree: Tree, token: np.ndarray) -> Walk:
+    place = np.argsort(tree.rank[token], kind="stable")
+    n, tiles = len(token), -(-len(token) // TILE)
+    token = token[np.append(place, np.repeat(place[-1:], tiles * TILE - n))].astype(np.int64)
+    first, root = tree.first[token], tree.first[token + 1] - 1
+    left = (root - first).astype(np.int32)
+    left[n:] = -1
+    depth = np.arange(left.max() + 1, dtype=np.int32)
+    valid = depth <= left[:, None]
+    at = root[:, None] - depth
+    way = np.where(valid, taken(tree.nodes, np.maximum(at, 0)).astype(np.int32), np.int32(-1)).reshape(tiles, TILE, -1)
+    # Sorted tokens that pass a node stand next to each other, so that a node is new where the token before has another one.
+    new = valid.reshape(way.shape).copy()
+    new[:, 1:] &= way[:, 1:] != way[:, :-1]
+    number = np.cumsum(new.reshape(tiles, -1), axis=1, dtype=np.int32).reshape(way.shape)
+    slots = int(number[:, -1, -1].max())
+    number = np.maximum.accumulate(np.where(new, number, 0), axis=1) - 1
+    visit, made = np.flatnonzero(valid), np.flatnonzero(new)
+    number = number.ravel()
+    cell, tile = visit // len(depth) * slots + number[visit], made // (TILE * len(depth))
+    return Walk(
+        place, tiles, slots, cell, way.ravel()[visit], taken(tree.signs, at.ravel()[visit]),
+        tile * slots + number[made], way.ravel()[made],
+    )
+
+
+def sums_at(net: Network, w: Walk, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The sum at every visit, and the hidden layers and the rows of nodes that it comes from, by tiles."""
+    own = taken(h, np.append(w.place, np.repeat(w.place[-1:], w.tiles * TILE - len(w.place)))).reshape(w.tiles, TILE, -1)
+    of = np.zeros(w.tiles * w.slots, np.int64)
+    of[w.slot] = w.of
+    rows = taken(net.nodes, of).reshape(w.tiles, w.slots, -1)
+    x = taken((own @ rows.transpose(0, 2, 1)).ravel(), w.cell)
+    return x + taken(net.node_shift, w.node), own, rows
+
+
 def by_row(index: np.ndarray, columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct indices and the sums of their values, which come as columns."""
     order = np.argsort(index, kind="stable")
@@ -321,22 +365,19 @@ def slopes(net: Network, tree: Tree, around: np.ndarray, token: np.ndarray) -> I
     Rows may be changed as soon as their gradient is out.
     """
     h = hidden(net, around)
-    back, dh = np.zeros_like(h), np.empty_like(h)
-    nodes, of_row, of_shift = [], [], []
-    for place, node, sign, own, row, x, goes_on in levels(net, tree, h, token):
-        d = -sign / (1 + np.exp(sign * x)) / np.float32(len(token))
-        back += d[:, None] * row
-        ends = np.flatnonzero(~goes_on)
-        if len(ends):
-            put(dh, place[ends], taken(back, ends))
-            back = taken(back, np.flatnonzero(goes_on))
-        first = np.flatnonzero(np.append(True, node[1:] != node[:-1]))
-        nodes.append(node[first])
-        of_row.append(np.add.reduceat(d[:, None] * own, first, axis=0))
-        of_shift.append(np.add.reduceat(d, first))
-    touched = np.concatenate(nodes)
-    yield 2, touched, np.concatenate(of_row)
-    yield 3, touched, np.concatenate(of_shift)[:, None]
+    w = walk(tree, token)
+    x, own, rows = sums_at(net, w, h)
+    d = np.zeros(w.tiles * TILE * w.slots, h.dtype)
+    d[w.cell] = -w.sign / (1 + np.exp(w.sign * x)) / np.float32(len(token))
+    d = d.reshape(w.tiles, TILE, w.slots)
+    of_row = taken((d.transpose(0, 2, 1) @ own).reshape(-1, HIDDEN), w.slot)
+    of_shift = d.sum(1).ravel()[w.slot]
+    kind = np.uint16 if len(net.nodes) <= 1 << 16 else np.int64
+    touched, dx = by_row(w.of.astype(kind), np.concatenate([of_row.T, of_shift[None]]))
+    yield 2, touched, dx[:, :-1].copy()
+    yield 3, touched, dx[:, -1:].copy()
+    dh = np.empty_like(h)
+    put(dh, w.place, (d @ rows).reshape(-1, HIDDEN)[: len(token)])
     dh *= 1 - h * h
     yield 1, np.zeros(1, np.int64), dh.sum(0)[None]
     n = net.rows.shape[1]
